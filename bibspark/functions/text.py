@@ -180,7 +180,7 @@ def time_period_code(code) -> Column:
     c = _c(code)
     l1 = F.substring(c, 1, 1)
     d = F.substring(c, 2, 1)
-    dig = d.cast("int")
+    dig = d.try_cast("int")
     century = F.when(l1 == "b", 29 - dig).when(l1 == "c", 19 - dig).when(l1 == "d", 9 - dig)
     return (F.when(c == "a0", F.lit("-XXXX/-3000"))
             .when(l1.isin("b", "c", "d") & (F.length(c) == 2) & d.rlike("^[0-9]$"),
@@ -227,7 +227,7 @@ def creation_date(c008) -> Column:
     """X15 008/00-05 -> yyyy-mm-dd, yy < 50 -> 20yy (non-numeric -> 19yy)."""
     s = _c(c008)
     yy = F.substring(s, 1, 2)
-    century = F.when(yy.cast("double") < 50, F.lit("20")).otherwise(F.lit("19"))
+    century = F.when(yy.try_cast("double") < 50, F.lit("20")).otherwise(F.lit("19"))
     return F.concat(century, yy, F.lit("-"), F.substring(s, 3, 2), F.lit("-"), F.substring(s, 5, 2))
 
 
@@ -256,7 +256,7 @@ def pub_place(c008) -> Column:
 
 def sort_key(label, nonfiling) -> Column:
     """X18 title without its non-filing characters (indicator digit)."""
-    n = F.coalesce(_c(nonfiling).cast("int"), F.lit(0))
+    n = F.coalesce(_c(nonfiling).try_cast("int"), F.lit(0))
     return F.substr(_c(label), n + 1)
 
 
@@ -301,7 +301,7 @@ def single_token(s) -> Column:
 
 def log_data_code(line) -> Column:
     """First '^' item starting with IQ or NQ (null when none)."""
-    return F.element_at(F.filter(F.split(_c(line), r"\^"), lambda x: x.rlike("^(IQ|NQ)")), 1)
+    return F.try_element_at(F.filter(F.split(_c(line), r"\^"), lambda x: x.rlike("^(IQ|NQ)")), F.lit(1))
 
 
 def is_org_code(s) -> Column:
@@ -318,3 +318,37 @@ def date_017(s) -> Column:
 def node_text(obj, kind) -> Column:
     """URI -> its text; blank node and literal -> ''."""
     return F.when(_c(kind) == "uri", _c(obj)).otherwise(F.lit(""))
+
+
+# --- fixed values: NACO normalisation character table (natural order) -----
+NACO_DELETE = ("'[]\u02bc\u02be\u02bf\u044a\u042a\u044c\u042c"
+               "\u0301\u0306\u0310\u0327\u030a\u0325\u0302\u0323\u0360\ufe22\ufe23\u0333\u0300"
+               "\u030c\u0313\u0315\u0326\u0361\u0304\u0309\u031c\u0328\u0307\u0303\u0308\u0332\u032e")
+NACO_BLANK = ("!\"()-{}<>;:.?¿¡,/\\*|%=±∓⁺⁻®©°^_`~·")
+NACO_SUPER = "⁰¹²³⁴⁵⁶⁷⁸⁹"
+NACO_SUB = "₀₁₂₃₄₅₆₇₈₉"
+NACO_LETTER_FROM = "ĐđÐðİıŁłℓƠơƯưØø"
+NACO_LETTER_TO = "DdDdIiLllOoUuOo"
+NACO_MULTI = [("Æ", "AE"), ("æ", "ae"), ("Œ", "OE"), ("œ", "oe"),
+              ("Þ", "TH"), ("þ", "th"), ("ẞ", "SS"), ("ß", "ss")]
+NACO_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZΑΒΓ"
+NACO_LOWER = "abcdefghijklmnopqrstuvwxyzαβγ"
+# ---------------------------------------------------------------------------
+
+
+def naco_translate_args() -> tuple[str, str]:
+    """(from, to) of the single-char part; chars beyond ``to`` are deleted."""
+    src = NACO_BLANK + NACO_SUPER + NACO_SUB + NACO_LETTER_FROM + NACO_DELETE
+    dst = " " * len(NACO_BLANK) + "0123456789" * 2 + NACO_LETTER_TO
+    return src, dst
+
+
+def naco_key(s) -> Column:
+    """X21 NACO normalisation: the table's replacements never feed each
+    other, so one translate + the two-letter replacements equal the
+    sequential walk; then A-Z and three Greek capitals are lowered."""
+    src, dst = naco_translate_args()
+    c = F.translate(_c(s), src, dst)
+    for a, b in NACO_MULTI:
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return normalize_space(F.translate(c, NACO_UPPER, NACO_LOWER))
