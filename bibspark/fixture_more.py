@@ -82,3 +82,45 @@ register_extra("fx_all", """
 SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_subfields
 UNION ALL SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_more
 """)
+
+# identifiers, 3XX properties, notes and acquisition fields (one row of the list per subfield)
+_NOTE_SF = [
+    (20, "020", 1, "a"), (20, "020", 2, "q"), (20, "020", 3, "c"), (20, "020", 4, "z"),
+    (21, "022", 1, "a"), (21, "022", 2, "y"),
+    (22, "024", 1, "a"), (23, "028", 1, "a"), (23, "028", 2, "b"),
+    (24, "035", 1, "a"), (25, "017", 1, "a"), (25, "017", 2, "d"),
+    (26, "037", 1, "a"), (26, "037", 2, "b"), (26, "037", 3, "c"), (26, "037", 4, "f"),
+    (64, "340", 1, "a"), (64, "340", 2, "c"), (64, "340", 3, "3"), (64, "340", 4, "2"),
+    (65, "344", 1, "a"), (65, "344", 2, "b"), (66, "347", 1, "a"), (66, "347", 2, "b"), (66, "347", 3, "2"),
+    (67, "380", 1, "a"),
+    (560, "504", 1, "a"), (560, "504", 2, "b"), (561, "520", 1, "a"), (561, "520", 2, "b"),
+    (562, "536", 1, "a"), (562, "536", 2, "b"), (562, "536", 3, "c"),
+    (563, "545", 1, "a"), (563, "545", 2, "b"), (564, "555", 1, "a"), (565, "581", 1, "a"), (565, "581", 2, "z"),
+    (566, "508", 1, "a"), (567, "511", 1, "a"), (568, "518", 1, "a"), (568, "518", 2, "d"), (568, "518", 3, "3"),
+    (569, "522", 1, "a"), (570, "502", 1, "a"), (571, "580", 1, "a"), (572, "588", 1, "a"), (572, "588", 2, "u"),
+]
+_NOTE_LIST = "\n    UNION ALL ".join(
+    (f"SELECT {o} AS ord, '{t}' AS tag, {s} AS sf_ord, '{c}' AS code" if i == 0 else f"SELECT {o}, '{t}', {s}, '{c}'")
+    for i, (o, t, s, c) in enumerate(_NOTE_SF))
+
+register_extra("fx_notes", f"""
+SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
+  CASE t.tag WHEN '024' THEN substr('0127', CAST(l_orderkey % 4 AS INT) + 1, 1)
+    WHEN '028' THEN CASE WHEN l_orderkey % 2 = 0 THEN '2' ELSE '5' END
+    WHEN '545' THEN CAST(l_orderkey % 3 AS STRING) WHEN '555' THEN substr(' 08', CAST(l_orderkey % 3 AS INT) + 1, 1)
+    WHEN '511' THEN CAST(l_orderkey % 2 AS STRING) ELSE ' ' END AS ind1,
+  ' ' AS ind2, t.sf_ord, t.code,
+  CASE t.tag || t.code
+    WHEN '020a' THEN '978' || lpad(CAST(l_orderkey AS STRING), 10, '0') WHEN '020q' THEN '(pbk.) :'
+    WHEN '020c' THEN '$' || CAST(p_size AS STRING) || '.00 ;' WHEN '020z' THEN '979' || CAST(l_orderkey AS STRING)
+    WHEN '022a' THEN lpad(CAST(l_orderkey % 10000 AS STRING), 4, '0') || '-' || lpad(CAST(p_size AS STRING), 4, '0')
+    WHEN '035a' THEN '(OCoLC)' || CAST(l_orderkey * 7 AS STRING) WHEN '017d' THEN '1999' || lpad(CAST(p_size % 12 + 1 AS STRING), 2, '0') || '15'
+    WHEN '037b' THEN s_name WHEN '037c' THEN 'Free' WHEN '340a' THEN lower(p_type) WHEN '3403' THEN 'v. ' || CAST(n AS STRING) || ':'
+    WHEN '3402' THEN 'rdamat' WHEN '3472' THEN 'rdaft' WHEN '380a' THEN p_brand || ' form.'
+    WHEN '504b' THEN CAST(p_size AS STRING) WHEN '536b' THEN 'N' || CAST(l_orderkey AS STRING) WHEN '536c' THEN 'G-' || CAST(p_size AS STRING)
+    WHEN '581z' THEN '978' || CAST(p_size AS STRING) WHEN '5183' THEN 'Disc ' || CAST(p_size % 3 AS STRING)
+    WHEN '511a' THEN s_name || ', ' || n_name WHEN '588u' THEN 'http://example.org/d/' || CAST(l_orderkey AS STRING)
+    ELSE t.code || ' ' || p_name || ' ' || CAST(p_size AS STRING) || '.' END AS value
+FROM fx_lines CROSS JOIN ({_NOTE_LIST}) t
+WHERE n = 1 AND (t.code NOT IN ('z', 'y', '3', 'u') OR l_orderkey % 3 = 0) AND (t.tag NOT IN ('545', '581', '502') OR l_orderkey % 2 = 0)
+""")

@@ -144,3 +144,164 @@ SELECT record_id, coalesce(minted, '{C.BASE_URI}r' || substr(sha256(record_id),
 def mint_record_id(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return C.mint_record_id(fx.fx_subfields, idfield="490a")
+
+
+# ---- rule-table families (R21 3XX properties, R23 / R22 notes, R11 identifiers) ----
+from .. import fixture_more  # noqa: E402,F401  (registers fx_notes)
+from ..functions import vocab as V  # noqa: E402
+from ..plans import ruletable as RT  # noqa: E402
+
+
+def _vals(rows, cols, alias):
+    return V.values_sql(rows, cols).replace(" AS v(", f" AS {alias}(")
+
+
+def _uris(fx):
+    return C.record_uris(fx.fx_records)
+
+
+def _subfield_rule_sql(rows, rule, src="fx_notes"):
+    tags = ", ".join(sorted({f"'{r[0]}'" for r in rows}))
+    node = f"'_:' || s.record_id || '-' || CAST(s.ord AS VARCHAR) || '-' || CAST(s.sf_ord AS VARCHAR) || '-{rule}-1'"
+    prep = f"""{R_CTE},
+s AS (SELECT * FROM {src} WHERE tag IN ({tags})),
+side AS (SELECT record_id, ord,
+    coalesce(list(struct_pack(sf_ord := sf_ord, value := value) ORDER BY sf_ord) FILTER (WHERE code = '3'), []) AS s3,
+    coalesce(list(struct_pack(sf_ord := sf_ord, value := value) ORDER BY sf_ord) FILTER (WHERE code = '2'), []) AS s2
+  FROM s WHERE code IN ('2', '3') GROUP BY record_id, ord),
+h AS (SELECT s.record_id, s.ord, s.sf_ord, s.value, tb.prop, tb.cls,
+        r.ruri || CASE WHEN tb.pass = 'work' THEN '#Work' ELSE '#Instance' END AS S, {node} AS B
+      FROM s JOIN {_vals(rows, 'r_tag, r_code, pass, prop, cls', 'tb')} ON s.tag = tb.r_tag AND s.code = tb.r_code
+      JOIN r ON r.record_id = s.record_id),
+a3 AS (SELECT h.record_id, h.B, unnest(side.s3) AS x FROM h JOIN side USING (record_id, ord)),
+a2 AS (SELECT h.record_id, h.B, unnest(side.s2) AS x FROM h JOIN side USING (record_id, ord))"""
+    at = "B || '-appliesTo-' || CAST(x.sf_ord AS VARCHAR)"
+    so = "B || '-source-' || CAST(x.sf_ord AS VARCHAR)"
+    sels = [
+        triple_select("h", "S", f"'{BF}' || prop", "B", "'bnode'"),
+        triple_select("h", "B", q(TYPE), f"'{BF}' || cls", "'uri'"),
+        triple_select("h", "B", q(LABEL), "value"),
+        triple_select("a3", "B", q(BFLC + "appliesTo"), at, "'bnode'"),
+        triple_select("a3", at, q(TYPE), q(BFLC + "AppliesTo"), "'uri'"),
+        triple_select("a3", at, q(LABEL), "rtrim(x.value, '.:,;/ ')"),
+        triple_select("a2", "B", q(BF + "source"), so, "'bnode'"),
+        triple_select("a2", so, q(TYPE), q(BF + "Source"), "'uri'"),
+        triple_select("a2", so, q(LABEL), "x.value"),
+    ]
+    return prep, sels
+
+
+_P3_PREP, _P3_SELS = _subfield_rule_sql(RT.PROPERTY_3XX, "R21")
+
+
+@query("property_map_3xx", f"WITH {_P3_PREP}\n" + finish("R21", _P3_SELS))
+def property_map_3xx(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return RT.subfield_rules(spark, fx.fx_notes, _uris(fx), RT.PROPERTY_3XX, "R21")
+
+
+def _note_label_sql(codes_col: str) -> str:
+    return _ns(f"array_to_string(list_transform(list_filter(sfs, lambda s: instr({codes_col}, s.code) > 0), lambda s: s.value), ' ')")
+
+
+_FUND = "CASE x.code " + " ".join(f"WHEN '{c}' THEN {q(k)}" for c, k in RT.FUNDING_CONSTANTS) + " END"
+
+_INOTE_PREP = f"""{R_CTE},
+{nested_cte('f', "tag IN (" + ", ".join(f"'{r[0]}'" for r in RT.INSTANCE_NOTES) + ")").replace('fx_subfields', 'fx_allnotes')},
+g AS (SELECT f.*, nt.codes, coalesce(it.itype, nt.ntype) AS ty, r.ruri || '#Instance' AS I, {bn('note')} AS N
+      FROM f JOIN {_vals(RT.INSTANCE_NOTES, 'n_tag, codes, ntype', 'nt')} ON nt.n_tag = f.tag
+      LEFT JOIN {_vals(RT.INSTANCE_NOTE_IND1, 'i_tag, i_ind1, itype', 'it')} ON it.i_tag = f.tag AND it.i_ind1 = f.ind1
+      JOIN r USING (record_id)),
+l AS (SELECT *, {_note_label_sql('codes')} AS lbl FROM g),
+x AS (SELECT l.record_id, l.tag, l.N, l.I, unnest(l.sfs) AS x FROM l)"""
+
+_INOTE_SELS = [
+    triple_select("l", "I", q(BF + "note"), "N", "'bnode'"),
+    triple_select("l", "N", q(TYPE), q(BF + "Note"), "'uri'"),
+    triple_select("l", "N", q(LABEL), "lbl", "'literal'", "lbl <> ''"),
+    triple_select("l", "N", q(BF + "noteType"), "ty", "'literal'", "ty IS NOT NULL"),
+    triple_select("x", "N", q(BF + "count"), "x.value", "'literal'", "tag = '504' AND x.code = 'b'"),
+    triple_select("x", "N", q(LABEL), f"{_FUND} || x.value", "'literal'", "tag = '536' AND x.code IN ('b','c','d','e','f','g','h')"),
+    triple_select("x", "N", q(BF + "identifiedBy"), "N || '-isbn-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "tag = '581' AND x.code = 'z'"),
+    triple_select("x", "N || '-isbn-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Isbn"), "'uri'", "tag = '581' AND x.code = 'z'"),
+    triple_select("x", "N || '-isbn-' || CAST(x.sf_ord AS VARCHAR)", q(RDF + "value"), "x.value", "'literal'", "tag = '581' AND x.code = 'z'"),
+    triple_select("x", "N", q(LABEL), "x.value", "'literal'", "x.code = 'u'", datatype=q(X.XS + "anyURI")),
+    triple_select("x", "N", q(BFLC + "appliesTo"), "N || '-appliesTo-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "x.code = '3'"),
+    triple_select("x", "N || '-appliesTo-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BFLC + "AppliesTo"), "'uri'", "x.code = '3'"),
+    triple_select("x", "N || '-appliesTo-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = '3'"),
+    triple_select("x", "N", q(BFLC + "applicableInstitution"), "N || '-institution-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "x.code = '5'"),
+    triple_select("x", "N || '-institution-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Agent"), "'uri'", "x.code = '5'"),
+    triple_select("x", "N || '-institution-' || CAST(x.sf_ord AS VARCHAR)", q(BF + "code"), "x.value", "'literal'", "x.code = '5'"),
+]
+
+from ..fixtures import register_extra  # noqa: E402
+
+register_extra("fx_allnotes", """
+SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_subfields
+UNION ALL SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_notes
+""")
+
+
+@query("instance_notes", f"WITH {_INOTE_PREP}\n" + finish("R23", _INOTE_SELS))
+def instance_notes(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return RT.instance_notes(spark, C.nest_fields(fx.fx_allnotes), _uris(fx))
+
+
+_WN_SF = [(t, c, "work", p, k) for t, c, p, k in RT.WORK_NOTE_SUBFIELDS]
+_WN_PREP, _WN_SELS = _subfield_rule_sql(_WN_SF, "R22")
+_WNOTE_PREP = _WN_PREP + f""",
+{nested_cte('wf', "tag IN (" + ", ".join(f"'{r[0]}'" for r in RT.WORK_NOTES) + ")").replace('fx_subfields', 'fx_notes')},
+wg AS (SELECT wf.*, wn.codes, wn.prop AS wprop, wn.cls AS wcls, r.ruri || '#Work' AS W, {bn('worknote')} AS N
+       FROM wf JOIN {_vals(RT.WORK_NOTES, 'w_tag, codes, prop, cls', 'wn')} ON wn.w_tag = wf.tag JOIN r USING (record_id)),
+wl AS (SELECT *, {_note_label_sql('codes')} AS lbl FROM wg),
+cr AS (SELECT n.record_id, r.ruri || '#Work' AS W, CASE WHEN n.tag = '511' AND n.ind1 = '1' THEN 'Cast: ' ELSE '' END || n.value AS v
+       FROM fx_notes n JOIN r USING (record_id) WHERE n.tag IN ('508', '511') AND n.code = 'a')"""
+
+_WNOTE_SELS = _WN_SELS + [
+    triple_select("wl", "W", f"'{BF}' || wprop", "N", "'bnode'"),
+    triple_select("wl", "N", q(TYPE), f"'{BF}' || wcls", "'uri'"),
+    triple_select("wl", "N", q(LABEL), "lbl", "'literal'", "lbl <> ''"),
+    triple_select("cr", "W", q(BF + "credits"), "v"),
+]
+
+
+@query("work_notes", f"WITH {_WNOTE_PREP}\n" + finish("R22", _WNOTE_SELS))
+def work_notes(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return RT.work_notes(spark, C.nest_fields(fx.fx_notes), fx.fx_notes, _uris(fx))
+
+
+_ID_TAGS = ", ".join(sorted({f"'{r[0]}'" for r in RT.IDENTIFIER_CLASS}))
+_IDS_PREP = f"""{R_CTE},
+{nested_cte('f', f"tag IN ({_ID_TAGS})").replace('fx_subfields', 'fx_notes')},
+c AS (SELECT f.*, coalesce(ex.cls, st.cls) AS id_cls, r.ruri || '#Instance' AS I FROM f
+      LEFT JOIN {_vals([r for r in RT.IDENTIFIER_CLASS if r[1] != '*'], 'c_tag, c_ind1, cls', 'ex')} ON ex.c_tag = f.tag AND ex.c_ind1 = f.ind1
+      LEFT JOIN {_vals([r for r in RT.IDENTIFIER_CLASS if r[1] == '*'], 'c_tag, c_ind1, cls', 'st')} ON st.c_tag = f.tag
+      JOIN r USING (record_id)),
+i AS (SELECT c.*, unnest(list_filter(sfs, lambda s: s.code IN ('a', 'y', 'z'))) AS s FROM c),
+j AS (SELECT record_id, tag, sfs, I, id_cls, s.code AS code,
+        CASE WHEN tag = '035' AND instr(s.value, ')') > 0 THEN substr(s.value, instr(s.value, ')') + 1) ELSE s.value END AS vid,
+        '_:' || record_id || '-' || CAST(ord AS VARCHAR) || '-' || CAST(s.sf_ord AS VARCHAR) || '-identifier-1' AS B,
+        list_filter(sfs, lambda y: y.code = 'd')[1].value AS d017 FROM i),
+k AS (SELECT j.record_id, j.B, unnest(list_filter(sfs, lambda s: s.code IN ('c', 'q'))) AS x FROM j)"""
+
+_IDS_SELS = [
+    triple_select("j", "I", q(BF + "identifiedBy"), "B", "'bnode'"),
+    triple_select("j", "B", q(TYPE), f"'{BF}' || id_cls", "'uri'"),
+    triple_select("j", "B", q(RDF + "value"), "vid"),
+    triple_select("j", "B", q(BF + "status"), "B || '-status'", "'bnode'", "code IN ('y', 'z')"),
+    triple_select("j", "B || '-status'", q(TYPE), q(BF + "Status"), "'uri'", "code IN ('y', 'z')"),
+    triple_select("j", "B || '-status'", q(LABEL), "CASE WHEN code = 'z' THEN 'invalid' ELSE 'incorrect' END", "'literal'",
+                  "code IN ('y', 'z')"),
+    triple_select("k", "B", f"CASE WHEN x.code = 'c' THEN {q(BF + 'acquisitionTerms')} ELSE {q(BF + 'qualifier')} END",
+                  "rtrim(x.value, ':,;/ ')"),
+    triple_select("j", "B", q(BF + "date"), "substr(d017, 1, 4) || '-' || substr(d017, 5, 2) || '-' || substr(d017, 7, 2)",
+                  "'literal'", "tag = '017' AND d017 IS NOT NULL AND d017 <> ''", datatype=q(X.XS + "date")),
+]
+
+
+@query("instance_ids", f"WITH {_IDS_PREP}\n" + finish("R11", _IDS_SELS))
+def instance_ids(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return RT.instance_ids(spark, fx.fx_notes, C.nest_fields(fx.fx_notes), _uris(fx))
