@@ -98,6 +98,7 @@ _NOTE_SF = [
     (563, "545", 1, "a"), (563, "545", 2, "b"), (564, "555", 1, "a"), (565, "581", 1, "a"), (565, "581", 2, "z"),
     (566, "508", 1, "a"), (567, "511", 1, "a"), (568, "518", 1, "a"), (568, "518", 2, "d"), (568, "518", 3, "3"),
     (569, "522", 1, "a"), (570, "502", 1, "a"), (571, "580", 1, "a"), (572, "588", 1, "a"), (572, "588", 2, "u"),
+    (30, "246", 1, "i"), (30, "246", 2, "a"), (30, "246", 3, "b"), (30, "246", 4, "f"), (30, "246", 5, "n"),
 ]
 _NOTE_LIST = "\n    UNION ALL ".join(
     (f"SELECT {o} AS ord, '{t}' AS tag, {s} AS sf_ord, '{c}' AS code" if i == 0 else f"SELECT {o}, '{t}', {s}, '{c}'")
@@ -109,8 +110,9 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
     WHEN '028' THEN CASE WHEN l_orderkey % 2 = 0 THEN '2' ELSE '5' END
     WHEN '545' THEN CAST(l_orderkey % 3 AS STRING) WHEN '555' THEN substr(' 08', CAST(l_orderkey % 3 AS INT) + 1, 1)
     WHEN '511' THEN CAST(l_orderkey % 2 AS STRING) ELSE ' ' END AS ind1,
-  ' ' AS ind2, t.sf_ord, t.code,
+  CASE t.tag WHEN '246' THEN CAST(l_orderkey % 9 AS STRING) ELSE ' ' END AS ind2, t.sf_ord, t.code,
   CASE t.tag || t.code
+    WHEN '246i' THEN 'Cover title:' WHEN '246a' THEN upper(p_name) || ' :' WHEN '246b' THEN p_brand || ' /'
     WHEN '020a' THEN '978' || lpad(CAST(l_orderkey AS STRING), 10, '0') WHEN '020q' THEN '(pbk.) :'
     WHEN '020c' THEN '$' || CAST(p_size AS STRING) || '.00 ;' WHEN '020z' THEN '979' || CAST(l_orderkey AS STRING)
     WHEN '022a' THEN lpad(CAST(l_orderkey % 10000 AS STRING), 4, '0') || '-' || lpad(CAST(p_size AS STRING), 4, '0')
@@ -122,5 +124,5 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
     WHEN '511a' THEN s_name || ', ' || n_name WHEN '588u' THEN 'http://example.org/d/' || CAST(l_orderkey AS STRING)
     ELSE t.code || ' ' || p_name || ' ' || CAST(p_size AS STRING) || '.' END AS value
 FROM fx_lines CROSS JOIN ({_NOTE_LIST}) t
-WHERE n = 1 AND (t.code NOT IN ('z', 'y', '3', 'u') OR l_orderkey % 3 = 0) AND (t.tag NOT IN ('545', '581', '502') OR l_orderkey % 2 = 0)
+WHERE n = 1 AND (t.code NOT IN ('z', 'y', '3', 'u', 'i') OR l_orderkey % 3 = 0) AND (t.tag NOT IN ('545', '581', '502') OR l_orderkey % 2 = 0)
 """)

@@ -305,3 +305,74 @@ _IDS_SELS = [
 def instance_ids(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return RT.instance_ids(spark, fx.fx_notes, C.nest_fields(fx.fx_notes), _uris(fx))
+
+
+# ---- R18 titles ------------------------------------------------------------------
+from ..plans import titles as TI  # noqa: E402
+
+
+def _spaced_sql(codes: str) -> str:
+    cs = ", ".join(f"'{c}'" for c in codes)
+    return f"array_to_string(list_transform(list_filter(sfs, lambda s: s.code IN ({cs})), lambda s: s.value || ' '), '')"
+
+
+def _parts_sql(src: str, parts: dict[str, str]) -> list[str]:
+    return [triple_select(src, "T", q(BF + prop), "rtrim(x.value, '.:,;/ ')", "'literal'", f"x.code = '{code}'")
+            for code, prop in parts.items()]
+
+
+_T245_PREP = f"""{R_CTE},
+{nested_cte('f', "tag = '245'")},
+u AS (SELECT DISTINCT record_id FROM fx_subfields WHERE tag IN ('130', '240')),
+g AS (SELECT f.*, r.ruri || '#Work' AS W, r.ruri || '#Instance' AS I, {bn('worktitle')} AS Tw, {bn('instancetitle')} AS Ti,
+        u.record_id IS NOT NULL AS has_uniform, {_spaced_sql('abfgknps')} AS L
+      FROM f JOIN r USING (record_id) LEFT JOIN u USING (record_id)),
+k AS (SELECT *, CASE WHEN TRY_CAST(ind2 AS INT) IS NULL THEN ''
+        ELSE substr(L, TRY_CAST(ind2 AS INT) + 1, greatest(length(L) - TRY_CAST(ind2 AS INT) - 1, 0)) END AS key FROM g),
+t2 AS (SELECT record_id, W AS owner, Tw AS T, L, key, sfs FROM k WHERE NOT has_uniform
+       UNION ALL SELECT record_id, I, Ti, L, key, sfs FROM k),
+p AS (SELECT record_id, T, unnest(sfs) AS x FROM t2),
+c AS (SELECT record_id, I, unnest(sfs) AS x FROM k)"""
+
+_T245_SELS = [
+    triple_select("t2", "owner", q(BF + "title"), "T", "'bnode'"),
+    triple_select("t2", "T", q(TYPE), q(BF + "Title"), "'uri'"),
+    triple_select("t2", "owner", q(LABEL), _ns("L"), "'literal'", "L <> ''"),
+    triple_select("t2", "T", q(LABEL), "substr(L, 1, greatest(length(L) - 1, 0))", "'literal'", "L <> ''"),
+    triple_select("t2", "T", q(BFLC + "titleSortKey"), "key", "'literal'", "L <> ''"),
+    triple_select("c", "I", q(BF + "responsibilityStatement"), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = 'c'"),
+] + _parts_sql("p", {"a": "mainTitle", "b": "subtitle", "n": "partNumber", "p": "partName"})
+
+
+@query("title_parts", f"WITH {_T245_PREP}\n" + finish("R18", _T245_SELS))
+def title_parts(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return TI.title_245(C.nest_fields(fx.fx_subfields), ruris(fx))
+
+
+_VT = " ".join(f"WHEN '{k}' THEN {q(v)}" for k, v in TI.VARIANT_246)
+_T246_PREP = f"""{R_CTE},
+{nested_cte('f', "tag = '246'").replace('fx_subfields', 'fx_notes')},
+g AS (SELECT f.*, r.ruri || '#Instance' AS I, {bn('varianttitle')} AS T, {_spaced_sql('abginp')} AS L, {_spaced_sql('abgnp')} AS S,
+        CASE ind2 {_VT} END AS vtype
+      FROM f JOIN r USING (record_id)),
+p AS (SELECT record_id, T, unnest(sfs) AS x FROM g)"""
+
+_T246_SELS = [
+    triple_select("g", "I", q(BF + "title"), "T", "'bnode'"),
+    triple_select("g", "T", q(TYPE), q(BF + "Title"), "'uri'"),
+    triple_select("g", "T", q(TYPE), q(BF + "VariantTitle"), "'uri'"),
+    triple_select("g", "T", q(TYPE), q(BF + "ParallelTitle"), "'uri'", "ind2 = '1'"),
+    triple_select("g", "T", q(BF + "variantType"), "vtype", "'literal'", "vtype IS NOT NULL"),
+    triple_select("g", "T", q(LABEL), "substr(L, 1, greatest(length(L) - 1, 0))", "'literal'", "L <> ''"),
+    triple_select("g", "T", q(BFLC + "titleSortKey"), "substr(S, 1, greatest(length(L) - 1, 0))", "'literal'", "S <> ''"),
+    triple_select("p", "T", q(BFLC + "applicableInstitution"), "T || '-institution-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "x.code = '5'"),
+    triple_select("p", "T || '-institution-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Agent"), "'uri'", "x.code = '5'"),
+    triple_select("p", "T || '-institution-' || CAST(x.sf_ord AS VARCHAR)", q(BF + "code"), "x.value", "'literal'", "x.code = '5'"),
+] + _parts_sql("p", {"a": "mainTitle", "b": "subtitle", "f": "date", "n": "partNumber", "p": "partName"})
+
+
+@query("variant_titles", f"WITH {_T246_PREP}\n" + finish("R18", _T246_SELS))
+def variant_titles(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return TI.variant_246(C.nest_fields(fx.fx_notes), ruris(fx))
