@@ -376,3 +376,66 @@ _T246_SELS = [
 def variant_titles(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return TI.variant_246(C.nest_fields(fx.fx_notes), ruris(fx))
+
+
+# ---- R16 agent keys ----------------------------------------------------------------
+def x08_source_sql(v: str) -> str:
+    aft = f"CASE WHEN instr({v}, '(') > 0 THEN substr({v}, instr({v}, '(') + 1) ELSE '' END"
+    bef = f"CASE WHEN instr({v}, ')') > 0 THEN substr({v}, 1, instr({v}, ')') - 1) ELSE '' END"
+    return f"substr({aft}, 1, greatest(length({bef}) - 1, 0))"
+
+
+def x08_value_sql(v: str) -> str:
+    aft2 = f"CASE WHEN instr({v}, ')') > 0 THEN substr({v}, instr({v}, ')') + 1) ELSE '' END"
+    return f"CASE WHEN {x08_source_sql(v)} <> '' THEN {aft2} ELSE {v} END"
+
+
+def _sp(filter_expr: str, sfs: str = "y.sfs") -> str:
+    return f"array_to_string(list_transform(list_filter({sfs}, lambda s: {filter_expr}), lambda s: s.value || ' '), '')"
+
+
+_QUAL = "(starts_with(s.value, '(uri)') OR starts_with(s.value, 'http'))"
+
+_AGENT_PREP = _CONTRIB_PREP.split("rs AS (")[0].rstrip().rstrip(",") + f""",
+y AS (SELECT x.*, list_max(list_transform(list_filter(sfs, lambda s: s.code = 't'), lambda s: s.sf_ord)) AS lt,
+        substr(tag, 2, 2) AS xx FROM x),
+z AS (SELECT y.*, f.ind1, f.ind2 AS find2,
+        CASE WHEN y.tag = '720' THEN list_filter(y.sfs, lambda s: s.code = 'a')[1].value
+             WHEN xx = '00' THEN {_sp("s.code IN ('a','b','c','d','j','q')")}
+             WHEN xx = '10' THEN {_sp("s.code IN ('a','b','c','d','n','g') AND (lt IS NULL OR s.sf_ord < lt)")}
+             WHEN xx = '11' THEN {_sp("s.code IN ('a','c','d','e','n','g','q') AND (lt IS NULL OR s.sf_ord < lt)")} END AS label,
+        CASE WHEN y.tag = '720' THEN CASE WHEN f.ind1 = '1' THEN 'Person' END
+             WHEN xx = '00' THEN CASE WHEN f.ind1 = '3' THEN 'Family' ELSE 'Person' END
+             WHEN xx = '10' THEN CASE WHEN f.ind1 = '1' THEN 'Jurisdiction' ELSE 'Organization' END
+             WHEN xx = '11' THEN 'Meeting' END AS cls,
+        y.tag || f.ind1 || f.ind2 || {_ns("array_to_string(list_transform(y.sfs, lambda s: '$' || s.code || s.value), '')")} AS mk,
+        list_filter(y.sfs, lambda s: s.code IN ('0', 'w') AND (lt IS NULL OR s.sf_ord < lt)) AS ids0,
+        '_:' || record_id || '-' || CAST(ord AS VARCHAR) || '-0-agent-1' AS np
+      FROM y JOIN f USING (record_id, ord)),
+w AS (SELECT z.*, list_filter(ids0, lambda s: {_QUAL})[1].sf_ord AS fq FROM z),
+k AS (SELECT w.*, {_ns('label')} AS lbl, coalesce(label, '') <> '' AS has_label FROM w),
+ii AS (SELECT record_id, agent, np, unnest(list_filter(ids0, lambda s: NOT {_QUAL} OR s.sf_ord <> fq)) AS s FROM w),
+iv AS (SELECT *, np || '-id-' || CAST(s.sf_ord AS VARCHAR) AS node, {x08_source_sql('s.value')} AS src,
+        {x08_value_sql('s.value')} AS val FROM ii)"""
+
+_AGENT_SELS = [
+    triple_select("k", "agent", q(TYPE), q(BF + "Agent"), "'uri'"),
+    triple_select("k", "agent", q(TYPE), f"'{BF}' || cls", "'uri'", "cls IS NOT NULL"),
+    triple_select("k", "agent", f"'{BFLC}name' || xx || 'MatchKey'", "lbl", "'literal'", "xx IN ('00','10','11') AND has_label"),
+    triple_select("k", "agent", f"'{BFLC}primaryContributorName' || xx || 'MatchKey'", "lbl", "'literal'",
+                  "xx IN ('00','10','11') AND has_label AND substr(tag, 1, 1) = '1'"),
+    triple_select("k", "agent", f"'{BFLC}name' || xx || 'MarcKey'", "mk", "'literal'", "xx IN ('00','10','11')"),
+    triple_select("k", "agent", q(LABEL), "lbl", "'literal'", "has_label"),
+    triple_select("iv", "agent", q(BF + "identifiedBy"), "node", "'bnode'"),
+    triple_select("iv", "node", q(TYPE), q(BF + "Identifier"), "'uri'"),
+    triple_select("iv", "node", q(RDF + "value"), "val", "CASE WHEN instr(val, '://') > 0 THEN 'uri' ELSE 'literal' END"),
+    triple_select("iv", "node", q(BF + "source"), "node || '-source'", "'bnode'", "src <> ''"),
+    triple_select("iv", "node || '-source'", q(TYPE), q(BF + "Source"), "'uri'", "src <> ''"),
+    triple_select("iv", "node || '-source'", q(LABEL), "src", "'literal'", "src <> ''"),
+]
+
+
+@query("agent_keys", _AGENT_PREP + "\n" + finish("R16", _AGENT_SELS))
+def agent_keys(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return N.agent_keys(ruris(fx), nested(fx))
