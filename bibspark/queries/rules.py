@@ -439,3 +439,79 @@ _AGENT_SELS = [
 def agent_keys(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return N.agent_keys(ruris(fx), nested(fx))
+
+
+# ---- R20 publication ------------------------------------------------------------------
+from ..plans import publication as PUB  # noqa: E402
+
+_ACT = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PUB.ACTIVITY_264)
+
+
+def _brackets_sql(v: str, punct: str = ".:,;/ ") -> str:
+    return f"rtrim(ltrim({v}, '['), '{punct}]')"
+
+
+def _parens_sql(v: str) -> str:
+    return f"rtrim(ltrim({v}, '('), '.:,;/ )')"
+
+
+_PUB_PREP = f"""{R_CTE},
+{nested_cte('f', "tag IN ('260', '262', '264')")},
+g AS (SELECT f.*, tag AS etag, r.ruri || '#Instance' AS I, {bn('provision')} AS P, {bn('manufacture')} AS M,
+        {_ns("array_to_string(list_transform(list_filter(sfs, lambda s: s.code IN ('a','b','c')), lambda s: s.value), ' ')")} AS stmt,
+        CASE WHEN tag = '264' THEN coalesce(CASE ind2 {_ACT} END, '') ELSE 'Publication' END AS activity,
+        tag = '264' AND ind2 = '4' AS copyright_,
+        len(list_filter(sfs, lambda s: s.code IN ('a','b','c'))) > 0 AS has_abc,
+        len(list_filter(sfs, lambda s: s.code IN ('e','f','g'))) > 0 AS has_efg
+      FROM f JOIN r USING (record_id)),
+pv AS (SELECT * FROM g WHERE NOT copyright_ AND has_abc),
+px AS (SELECT pv.record_id, pv.etag, pv.P, unnest(pv.sfs) AS x FROM pv),
+mf AS (SELECT * FROM g WHERE etag = '260' AND has_efg),
+mx AS (SELECT mf.record_id, mf.M, unnest(mf.sfs) AS x FROM mf),
+dx AS (SELECT g.record_id, g.I, g.P, unnest(g.sfs) AS x FROM g WHERE etag = '260')"""
+
+
+def _node(base, kind):
+    return f"{base} || '-{kind}-' || CAST(x.sf_ord AS VARCHAR)"
+
+
+_PUB_SELS = [
+    triple_select("g", "I", q(BF + "copyrightDate"), "stmt", "'literal'", "copyright_"),
+    triple_select("pv", "I", q(BF + "provisionActivity"), "P", "'bnode'"),
+    triple_select("pv", "P", q(TYPE), f"'{BF}' || activity", "'uri'"),
+    triple_select("pv", "I", q(BF + "provisionActivityStatement"), "stmt"),
+    triple_select("pv", "P", q(BF + "status"), "P || '-status'", "'bnode'", "etag IN ('260','264') AND ind1 = '3'"),
+    triple_select("pv", "P || '-status'", q(TYPE), q(BF + "Status"), "'uri'", "etag IN ('260','264') AND ind1 = '3'"),
+    triple_select("pv", "P || '-status'", q(LABEL), "'current'", "'literal'", "etag IN ('260','264') AND ind1 = '3'"),
+    triple_select("px", "P", q(BFLC + "appliesTo"), _node("P", "appliesTo"), "'bnode'", "x.code = '3' AND etag IN ('260','264')"),
+    triple_select("px", _node("P", "appliesTo"), q(TYPE), q(BFLC + "AppliesTo"), "'uri'", "x.code = '3' AND etag IN ('260','264')"),
+    triple_select("px", _node("P", "appliesTo"), q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = '3' AND etag IN ('260','264')"),
+    triple_select("px", "P", q(BF + "place"), _node("P", "place"), "'bnode'", "x.code = 'a'"),
+    triple_select("px", _node("P", "place"), q(TYPE), q(BF + "Place"), "'uri'", "x.code = 'a'"),
+    triple_select("px", _node("P", "place"), q(LABEL), _brackets_sql("x.value", ":,;/ "), "'literal'", "x.code = 'a'"),
+    triple_select("px", "P", q(BF + "agent"), _node("P", "agent"), "'bnode'", "x.code = 'b'"),
+    triple_select("px", _node("P", "agent"), q(TYPE), q(BF + "Agent"), "'uri'", "x.code = 'b'"),
+    triple_select("px", _node("P", "agent"), q(LABEL), _brackets_sql("x.value", ":,;/ "), "'literal'", "x.code = 'b'"),
+    triple_select("px", "P", q(BF + "date"), _brackets_sql("x.value"), "'literal'", "x.code = 'c'"),
+    triple_select("mf", "I", q(BF + "provisionActivity"), "M", "'bnode'"),
+    triple_select("mf", "M", q(TYPE), q(BF + "Manufacture"), "'uri'"),
+    triple_select("mx", "M", q(BFLC + "appliesTo"), _node("M", "appliesTo"), "'bnode'", "x.code = '3'"),
+    triple_select("mx", _node("M", "appliesTo"), q(TYPE), q(BFLC + "AppliesTo"), "'uri'", "x.code = '3'"),
+    triple_select("mx", _node("M", "appliesTo"), q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = '3'"),
+    triple_select("mx", "M", q(BF + "place"), _node("M", "place"), "'bnode'", "x.code = 'e'"),
+    triple_select("mx", _node("M", "place"), q(TYPE), q(BF + "Place"), "'uri'", "x.code = 'e'"),
+    triple_select("mx", _node("M", "place"), q(LABEL), _parens_sql("x.value"), "'literal'", "x.code = 'e'"),
+    triple_select("mx", "M", q(BF + "agent"), _node("M", "agent"), "'bnode'", "x.code = 'f'"),
+    triple_select("mx", _node("M", "agent"), q(TYPE), q(BF + "Agent"), "'uri'", "x.code = 'f'"),
+    triple_select("mx", _node("M", "agent"), q(LABEL), _parens_sql("x.value"), "'literal'", "x.code = 'f'"),
+    triple_select("mx", "M", q(BF + "date"), _parens_sql("x.value"), "'literal'", "x.code = 'g'"),
+    triple_select("dx", "I", q(BF + "identifiedBy"), _node("P", "publisherNumber"), "'bnode'", "x.code = 'd'"),
+    triple_select("dx", _node("P", "publisherNumber"), q(TYPE), q(BF + "PublisherNumber"), "'uri'", "x.code = 'd'"),
+    triple_select("dx", _node("P", "publisherNumber"), q(RDF + "value"), "x.value", "'literal'", "x.code = 'd'"),
+]
+
+
+@query("publication_events", f"WITH {_PUB_PREP}\n" + finish("R20", _PUB_SELS))
+def publication_events(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return PUB.publication_events(nested(fx), ruris(fx))
