@@ -515,3 +515,104 @@ _PUB_SELS = [
 def publication_events(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return PUB.publication_events(nested(fx), ruris(fx))
+
+
+# ---- R26 subjects and keywords ---------------------------------------------------------
+from ..plans import subjects as SU  # noqa: E402
+from ..operators.windows import THESAURUS  # noqa: E402
+
+
+def _th_rows():
+    out = []
+    for i, c, schemes in THESAURUS:
+        for s in schemes or [None]:
+            out.append((i, c, s))
+    return out
+
+
+_COMP_CLASS = ("CASE WHEN x.code = 'v' THEN 'GenreForm' WHEN x.code = 'x' THEN 'Topic' WHEN x.code = 'y' THEN 'Temporal' "
+               "WHEN x.code = 'z' THEN 'Geographic' WHEN tag = '648' THEN 'Temporal' WHEN tag = '650' THEN "
+               "CASE WHEN x.code = 'c' THEN 'Geographic' WHEN x.code = 'd' THEN 'Temporal' ELSE 'Topic' END "
+               "WHEN tag = '651' THEN 'Geographic' WHEN tag = '655' THEN 'GenreForm' END")
+
+_SUBJ_PREP = f"""{R_CTE},
+{nested_cte('f', "tag IN ('648', '650', '651') OR (tag = '655' AND ind1 = ' ')")},
+th AS (SELECT DISTINCT t_ind2, t_code FROM {_vals(_th_rows(), 't_ind2, t_code, t_scheme', 'tv')}),
+ts AS (SELECT t_ind2, t_scheme FROM {_vals(_th_rows(), 't_ind2, t_code, t_scheme', 'tw')} WHERE t_scheme IS NOT NULL),
+g AS (SELECT f.*, r.ruri || '#Work' AS W, {_MARK} AS m, th.t_code,
+        r.ruri || CASE WHEN tag = '648' THEN '#Temporal' WHEN tag = '655' THEN '#GenreForm' ELSE '#Topic' END || tag || '-' || CAST(ord AS VARCHAR) AS dflt,
+        list_filter(sfs, lambda s: instr(CASE WHEN tag = '650' THEN 'abcdvxyz' WHEN tag = '651' THEN 'abvxyz' ELSE 'avxyz' END, s.code) > 0) AS comps,
+        CASE WHEN len(list_filter(sfs, lambda s: s.code IN ('v','x','y','z'))) > 0 THEN 'ComplexSubject'
+             WHEN tag = '648' THEN 'Temporal'
+             WHEN tag = '650' THEN CASE WHEN len(list_filter(sfs, lambda s: s.code IN ('b','c','d'))) > 0 THEN 'ComplexSubject' ELSE 'Topic' END
+             WHEN tag = '651' THEN CASE WHEN len(list_filter(sfs, lambda s: s.code = 'b')) > 0 THEN 'ComplexSubject' ELSE 'Geographic' END
+             WHEN tag = '655' THEN 'GenreForm' END AS mads
+      FROM f JOIN r USING (record_id) LEFT JOIN th ON th.t_ind2 = f.ind2),
+h AS (SELECT *, CASE WHEN instr(m, 'T') > 0 THEN NULL WHEN instr(m, 'Q') > 0 THEN {uri_sql("sfs[instr(m, 'Q')].value")} END AS u FROM g),
+k AS (SELECT *, CASE WHEN coalesce(u, '') <> '' THEN u ELSE dflt END AS T,
+        rtrim(array_to_string(list_transform(comps, lambda s: s.value || '--'), ''), '- ') AS L, len(comps) AS n,
+        list_filter(sfs, lambda s: s.code = '2')[1].value AS code2,
+        list_filter(sfs, lambda s: s.code IN ('0', 'w')) AS ids0 FROM h),
+cx AS (SELECT record_id, tag, T, n, generate_subscripts(comps, 1) AS i, unnest(comps) AS x FROM k WHERE mads = 'ComplexSubject' AND n > 0),
+sc AS (SELECT k.record_id, k.T, ts.t_scheme FROM k JOIN ts ON ts.t_ind2 = k.ind2),
+gx AS (SELECT record_id, T, unnest(sfs) AS x FROM k),
+w2 AS (SELECT k.*, list_filter(ids0, lambda s: {_QUAL})[1].sf_ord AS fq FROM k),
+ii AS (SELECT record_id, T, unnest(list_filter(ids0, lambda s: NOT {_QUAL} OR s.sf_ord <> fq)) AS s FROM w2),
+iv AS (SELECT *, T || '-id-' || CAST(s.sf_ord AS VARCHAR) AS node, {x08_source_sql('s.value')} AS src,
+        {x08_value_sql('s.value')} AS val FROM ii)"""
+
+_LN = "T || '-list-' || CAST(i AS VARCHAR)"
+_CN = "T || '-component-' || CAST(i AS VARCHAR)"
+_SUBJ_SELS = [
+    triple_select("k", "W", f"CASE WHEN tag = '655' THEN {q(BF + 'genreForm')} ELSE {q(BF + 'subject')} END", "T", "'uri'"),
+    triple_select("k", "T", q(TYPE), f"'{BF}' || CASE WHEN tag = '648' THEN 'Temporal' WHEN tag = '651' THEN 'Place' "
+                  "WHEN tag = '655' THEN 'GenreForm' ELSE 'Topic' END", "'uri'"),
+    triple_select("k", "T", q(LABEL), "L"),
+    triple_select("k", "T", q(X.MADSRDF + "authoritativeLabel"), "L"),
+    triple_select("k", "T", q(TYPE), f"'{X.MADSRDF}' || mads", "'uri'", "mads IS NOT NULL"),
+    triple_select("sc", "T", q(X.MADSRDF + "isMemberofMADSScheme"), "t_scheme", "'uri'"),
+    triple_select("k", "T", q(X.MADSRDF + "componentList"), "T || '-list-1'", "'bnode'", "mads = 'ComplexSubject' AND n > 0"),
+    triple_select("cx", _LN, q(RDF + "first"), _CN, "'bnode'"),
+    triple_select("cx", _LN, q(RDF + "rest"), f"CASE WHEN i < n THEN T || '-list-' || CAST(i + 1 AS VARCHAR) ELSE {q(RDF + 'nil')} END",
+                  "CASE WHEN i < n THEN 'bnode' ELSE 'uri' END"),
+    triple_select("cx", _CN, q(TYPE), f"'{X.MADSRDF}' || {_COMP_CLASS}", "'uri'"),
+    triple_select("cx", _CN, q(X.MADSRDF + "authoritativeLabel"), "rtrim(x.value, '.:,;/ ')"),
+    triple_select("gx", "T", q(BF + "note"), "T || '-note-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "x.code = 'g'"),
+    triple_select("gx", "T || '-note-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Note"), "'uri'", "x.code = 'g'"),
+    triple_select("gx", "T || '-note-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "x.value", "'literal'", "x.code = 'g'"),
+    triple_select("k", "T", q(BF + "source"), "T || '-source'", "'bnode'", "t_code IS NOT NULL OR (ind2 = '7' AND code2 IS NOT NULL)"),
+    triple_select("k", "T || '-source'", q(TYPE), q(BF + "Source"), "'uri'", "t_code IS NOT NULL OR (ind2 = '7' AND code2 IS NOT NULL)"),
+    triple_select("k", "T || '-source'", q(BF + "code"), "coalesce(t_code, code2)", "'literal'",
+                  "t_code IS NOT NULL OR (ind2 = '7' AND code2 IS NOT NULL)"),
+    triple_select("iv", "T", q(BF + "identifiedBy"), "node", "'bnode'"),
+    triple_select("iv", "node", q(TYPE), q(BF + "Identifier"), "'uri'"),
+    triple_select("iv", "node", q(RDF + "value"), "val", "CASE WHEN instr(val, '://') > 0 THEN 'uri' ELSE 'literal' END"),
+    triple_select("iv", "node", q(BF + "source"), "node || '-source'", "'bnode'", "src <> ''"),
+    triple_select("iv", "node || '-source'", q(TYPE), q(BF + "Source"), "'uri'", "src <> ''"),
+    triple_select("iv", "node || '-source'", q(LABEL), "src", "'literal'", "src <> ''"),
+]
+
+
+@query("subject_components", f"WITH {_SUBJ_PREP}\n" + finish("R26", _SUBJ_SELS))
+def subject_components(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return SU.subjects(spark, nested(fx), ruris(fx))
+
+
+_KW = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SU.KEYWORD_RESOURCE)
+_KW_PREP = f"""{R_CTE},
+{nested_cte('f', "tag = '653'").replace('fx_subfields', 'fx_notes')},
+k AS (SELECT f.*, r.ruri || '#Work' AS W, {bn('keyword')} AS K,
+        rtrim(array_to_string(list_transform(list_filter(sfs, lambda s: s.code = 'a'), lambda s: s.value || '--'), ''), '- ') AS L
+      FROM f JOIN r USING (record_id))"""
+_KW_SELS = [
+    triple_select("k", "W", f"CASE WHEN ind2 = '6' THEN {q(BF + 'genreForm')} ELSE {q(BF + 'subject')} END", "K", "'bnode'"),
+    triple_select("k", "K", q(TYPE), f"'{BF}' || coalesce(CASE ind2 {_KW} END, 'Topic')", "'uri'"),
+    triple_select("k", "K", q(LABEL), "L"),
+]
+
+
+@query("keywords", f"WITH {_KW_PREP}\n" + finish("R26", _KW_SELS))
+def keywords(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return SU.keywords(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
