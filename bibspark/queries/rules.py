@@ -616,3 +616,72 @@ _KW_SELS = [
 def keywords(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return SU.keywords(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
+
+
+# ---- X09 entity URIs, X18 sort keys, X20 script language tags ----------------------------
+from ..plans.names import _marks, generate_uri  # noqa: E402
+
+
+@query("entity_uri", f"""WITH {R_CTE},
+{nested_cte('f', "tag IN ('100', '600', '700')").replace('fx_subfields', 'fx_all')},
+g AS (SELECT f.*, r.ruri, {_MARK} AS m FROM f JOIN r USING (record_id)),
+h AS (SELECT *, instr(m, 'T') > 0 AS has_t, instr(m, 'T') AS pos_t,
+        CASE WHEN regexp_matches(m, 'Q-*T') THEN length(regexp_extract(m, '^(.*?)Q-*T', 1)) + 1 ELSE 0 END AS agent_t FROM g),
+u AS (SELECT *, CASE WHEN has_t THEN agent_t ELSE instr(m, 'Q') END AS apos,
+        CASE WHEN has_t THEN CASE WHEN instr(substr(m, pos_t + 1), 'Q') > 0 THEN pos_t + instr(substr(m, pos_t + 1), 'Q') ELSE 0 END
+             ELSE instr(m, 'Q') END AS wpos FROM h),
+v AS (SELECT *, {uri_sql('CASE WHEN apos > 0 THEN sfs[apos].value END')} AS au,
+        {uri_sql('CASE WHEN wpos > 0 THEN sfs[wpos].value END')} AS wu FROM u)
+SELECT record_id, ord, tag,
+  CASE WHEN coalesce(au, '') <> '' THEN au ELSE ruri || '#Agent' || tag || '-' || CAST(ord AS VARCHAR) END AS agent_uri,
+  CASE WHEN coalesce(wu, '') <> '' THEN wu ELSE ruri || '#Work' || tag || '-' || CAST(ord AS VARCHAR) END AS work_uri
+FROM v""")
+def entity_uri(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    f = C.nest_fields(fx.fx_all.where(F.col("tag").isin("100", "600", "700"))).join(ruris(fx), "record_id")
+    f = f.withColumn("m", _marks(F.col("sfs")))
+    d = F.concat(F.col("ruri"), F.lit("#Agent"), F.col("tag"), F.lit("-"), F.col("ord").cast("string"))
+    dw = F.concat(F.col("ruri"), F.lit("#Work"), F.col("tag"), F.lit("-"), F.col("ord").cast("string"))
+    return f.select("record_id", "ord", "tag", generate_uri(F.col("sfs"), "Agent", d, F.col("m")).alias("agent_uri"),
+                    generate_uri(F.col("sfs"), "Work", dw, F.col("m")).alias("work_uri"))
+
+
+@query("title_sort_key", f"""WITH {nested_cte('f', "tag IN ('245', '130', '240')")},
+g AS (SELECT record_id, ord, tag, CASE WHEN tag = '130' THEN ind1 ELSE ind2 END AS nfi,
+        {_ns("array_to_string(list_transform(list_filter(sfs, lambda s: s.code IN ('a','b','f','g','k','n','p','s')), lambda s: s.value), ' ')")} AS label
+      FROM f)
+SELECT record_id, ord, tag, label, substr(label, coalesce(TRY_CAST(nfi AS INT), 0) + 1) AS sort_key FROM g""")
+def title_sort_key(spark, sf_dir):
+    """Non-filing characters from ind2 (ind1 for 130/630/730/740)."""
+    f = C.nest_fields(Fixtures(spark, sf_dir).fx_subfields.where(F.col("tag").isin("245", "130", "240")))
+    nfi = F.when(F.col("tag").isin("130", "630", "730", "740"), F.col("ind1")).otherwise(F.col("ind2"))
+    lbl = C.label(F.col("sfs"), "abfgknps")
+    return f.select("record_id", "ord", "tag", lbl.alias("label"), X.sort_key(lbl, nfi).alias("sort_key"))
+
+
+# --- fixed values: ISO 639-2 to xml:lang language map (a parameter; the map the
+# stylesheet names is not part of the reference) --------------------------------
+LANGUAGE_MAP = [("eng", "en"), ("fre", "fr"), ("ger", "de"), ("spa", "es"), ("ita", "it"), ("rus", "ru"),
+                ("chi", "zh"), ("jpn", "ja"), ("kor", "ko"), ("ara", "ar"), ("heb", "he"), ("gre", "el")]
+
+
+@query("script_lang_tag", f"""WITH
+s AS (SELECT record_id, ord, value AS sf6 FROM fx_subfields WHERE code = '6'),
+j AS (SELECT s.*, substr(x.c008, 36, 3) AS lang008 FROM s JOIN fx_records x USING (record_id)),
+k AS (SELECT j.*, CASE WHEN instr(sf6, '/') > 0 THEN substr(sf6, instr(sf6, '/') + 1) ELSE '' END AS rest FROM j),
+c AS (SELECT k.*, CASE WHEN instr(rest, '/') > 0 THEN substr(rest, 1, instr(rest, '/') - 1) ELSE rest END AS sc FROM k),
+n AS (SELECT c.*, CASE WHEN sc = '(3' THEN 'arab' WHEN sc = '(B' THEN 'latn' WHEN sc = '$1' AND lang008 = 'kor' THEN 'hang'
+        WHEN sc = '$1' AND lang008 = 'chi' THEN 'hani' WHEN sc = '$1' AND lang008 = 'jpn' THEN 'jpan' WHEN sc = '(N' THEN 'cyrl'
+        WHEN sc = '(S' THEN 'grek' WHEN sc = '(2' THEN 'hebr' END AS script, lm.xl FROM c
+      LEFT JOIN {_vals(LANGUAGE_MAP, 'iso, xl', 'lm')} ON lm.iso = c.lang008)
+SELECT record_id, ord, CASE WHEN coalesce(xl, '') <> '' AND coalesce(script, '') <> '' THEN xl || '-' || script END AS xml_lang FROM n""")
+def script_lang_tag(spark, sf_dir):
+    """Xml:lang of a field from its $6 script code and the 008 language."""
+    fx = Fixtures(spark, sf_dir)
+    s = fx.fx_subfields.where(F.col("code") == "6").select("record_id", "ord", F.col("value").alias("sf6"))
+    j = s.join(fx.fx_records.select("record_id", F.substring("c008", 36, 3).alias("lang008")), "record_id")
+    lm = spark.createDataFrame(LANGUAGE_MAP, "iso string, xl string")
+    j = j.join(F.broadcast(lm), F.col("lang008") == F.col("iso"), "left")
+    script = X.script_name(F.col("sf6"), F.col("lang008"))
+    ok = (F.coalesce(F.col("xl"), F.lit("")) != "") & (F.coalesce(script, F.lit("")) != "")
+    return j.select("record_id", "ord", F.when(ok, F.concat(F.col("xl"), F.lit("-"), script)).alias("xml_lang"))
