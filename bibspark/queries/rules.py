@@ -685,3 +685,64 @@ def script_lang_tag(spark, sf_dir):
     script = X.script_name(F.col("sf6"), F.col("lang008"))
     ok = (F.coalesce(F.col("xl"), F.lit("")) != "") & (F.coalesce(script, F.lit("")) != "")
     return j.select("record_id", "ord", F.when(ok, F.concat(F.col("xl"), F.lit("-"), script)).alias("xml_lang"))
+
+
+# ---- R07 008 work fields and J01 code-list lookups -------------------------------------
+from ..plans import fixed as FX  # noqa: E402
+from ..plans import record as REC  # noqa: E402
+
+
+def _cand_sql() -> str:
+    rows = []
+    for mat, reads in FX.MATERIAL_READS.items():
+        for lst, pos, width, xkeys in reads:
+            for k in range(width):
+                rows.append((mat, lst, str(pos + k), "1" if xkeys else "0"))
+    return V.values_sql(rows, "material, list, pos, xkeys").replace(" AS v(", " AS mr(")
+
+
+_MAT_SQL = """CASE WHEN substr(leader, 7, 1) = 'a' AND substr(leader, 8, 1) IN ('a','c','d','m') THEN 'books'
+  WHEN substr(leader, 7, 1) = 'm' THEN 'computer' WHEN substr(leader, 7, 1) IN ('e','f') THEN 'maps'
+  WHEN substr(leader, 7, 1) IN ('c','d','i','j') THEN 'music'
+  WHEN substr(leader, 7, 1) = 'a' AND substr(leader, 8, 1) IN ('b','i','s') THEN 'continuing'
+  WHEN substr(leader, 7, 1) IN ('g','k','o','r') THEN 'visual' END"""
+
+_LOOKUP_CTE = f"""{R_CTE},
+h AS (SELECT x.record_id, x.c008, r.ruri, {_MAT_SQL} AS material FROM fx_records x JOIN r USING (record_id)),
+c AS (SELECT h.record_id, h.ruri, mr.list, CAST(mr.pos AS INT) AS pos, substr(substr(h.c008, 19, 17), CAST(mr.pos AS INT), 1) AS ch, mr.xkeys
+      FROM h JOIN {_cand_sql()} ON mr.material = h.material),
+k AS (SELECT record_id, ruri, list, pos, ch AS key FROM c UNION ALL SELECT record_id, ruri, list, pos, 'x' || ch FROM c WHERE xkeys = '1'),
+hits AS (SELECT k.record_id, k.ruri, k.list, k.pos, v.uri, v.label FROM k
+         JOIN {V.values_sql(FX.CODE_LISTS, 'v_list, v_key, uri, label')} ON v.v_list = k.list AND v.v_key = k.key)"""
+
+
+@query("lookup_audience", f"WITH {_LOOKUP_CTE}\nSELECT record_id, pos, uri, label FROM hits WHERE list = 'audience'")
+def lookup_audience(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return FX.lookups(spark, REC.headers_with_uri(fx.fx_records), ("audience",)).select("record_id", "pos", "uri", "label")
+
+
+@query("lookup_genre", f"""WITH {_LOOKUP_CTE}
+SELECT record_id, list, pos, uri, label FROM hits WHERE list IN ('marcgt', 'litform', 'bioform', 'govdoc', 'conference', 'festschrift')""")
+def lookup_genre(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    lists = ("marcgt", "litform", "bioform", "govdoc", "conference", "festschrift")
+    return FX.lookups(spark, REC.headers_with_uri(fx.fx_records), lists).select("record_id", "list", "pos", "uri", "label")
+
+
+@query("fixed_field_work", f"""WITH {_LOOKUP_CTE},
+lg AS (SELECT x.record_id, r.ruri || '#Work' AS W, '{X.LANGUAGES}' || substr(x.c008, 36, 3) AS L FROM fx_records x JOIN r USING (record_id)
+       WHERE x.c008 IS NOT NULL AND substr(x.c008, 36, 3) NOT IN ('   ', '|||')),
+hh AS (SELECT *, ruri || '#Work' AS W FROM hits)
+""" + finish("R07", [
+    triple_select("hh", "W", f"CASE WHEN list = 'audience' THEN {q(BF + 'intendedAudience')} ELSE {q(BF + 'genreForm')} END",
+                  "uri", "'uri'"),
+    triple_select("hh", "uri", q(TYPE), f"CASE WHEN list = 'audience' THEN {q(BF + 'IntendedAudience')} ELSE {q(BF + 'GenreForm')} END",
+                  "'uri'"),
+    triple_select("hh", "uri", q(LABEL), "label"),
+    triple_select("lg", "W", q(BF + "language"), "L", "'uri'"),
+    triple_select("lg", "L", q(TYPE), q(BF + "Language"), "'uri'"),
+]))
+def fixed_field_work(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return FX.fixed_field_work(spark, REC.headers_with_uri(fx.fx_records))
