@@ -746,3 +746,40 @@ hh AS (SELECT *, ruri || '#Work' AS W FROM hits)
 def fixed_field_work(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return FX.fixed_field_work(spark, REC.headers_with_uri(fx.fx_records))
+
+
+# ---- R04 / R05 007 ---------------------------------------------------------------------
+from ..plans import physical as PH  # noqa: E402
+
+
+@query("physical_007_work", f"""WITH {R_CTE},
+h AS (SELECT x.*, r.ruri, r.ruri || '#Work' AS W, substr(c007, 1, 1) AS cat FROM fx_records x JOIN r USING (record_id) WHERE c007 IS NOT NULL),
+t AS (SELECT h.*, wt.wtype FROM h JOIN {V.values_sql(PH.WORK_TYPE_007, 'w_cat, wtype, suppress').replace(' AS v(', ' AS wt(')}
+      ON wt.w_cat = h.cat WHERE instr(wt.suppress, substr(h.leader, 7, 1)) = 0),
+c AS (SELECT h.*, cc.label, cc.uri, CASE WHEN cc.uri IS NOT NULL THEN '{PH.MCOLOR}' || cc.uri ELSE '_:' || h.record_id || '-5-0-colorContent-1' END AS N
+      FROM h JOIN {V.values_sql([(a, str(b), c, d, e) for a, b, c, d, e in PH.COLOR_007], 'c_cat, pos, code, label, uri').replace(' AS v(', ' AS cc(')}
+      ON cc.c_cat = h.cat AND substr(h.c007, CAST(cc.pos AS INT), 1) = cc.code WHERE cc.label IS NOT NULL)
+""" + finish("R04", [
+    triple_select("t", "W", q(TYPE), f"'{BF}' || wtype", "'uri'"),
+    triple_select("c", "W", q(BF + "colorContent"), "N", "CASE WHEN uri IS NOT NULL THEN 'uri' ELSE 'bnode' END"),
+    triple_select("c", "N", q(TYPE), q(BF + "ColorContent"), "'uri'"),
+    triple_select("c", "N", q(LABEL), "label"),
+]))
+def physical_007_work(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return PH.physical_007_work(spark, REC.headers_with_uri(fx.fx_records))
+
+
+@query("physical_007_instance", f"""WITH {R_CTE},
+h AS (SELECT x.*, r.ruri || '#Instance' AS I, substr(c007, 1, 1) AS cat FROM fx_records x JOIN r USING (record_id) WHERE c007 IS NOT NULL),
+e AS (SELECT * FROM h WHERE cat = 'c' AND substr(leader, 7, 1) <> 'm'),
+m AS (SELECT h.*, '{PH.MEDIA}' || md.media AS U FROM h JOIN {V.values_sql(PH.MEDIA_007, 'm_cat, media').replace(' AS v(', ' AS md(')}
+      ON md.m_cat = h.cat WHERE h.record_id NOT IN (SELECT record_id FROM fx_all WHERE tag = '337'))
+""" + finish("R05", [
+    triple_select("e", "I", q(TYPE), q(BF + "Electronic"), "'uri'"),
+    triple_select("m", "I", q(BF + "media"), "U", "'uri'"),
+    triple_select("m", "U", q(TYPE), q(BF + "Media"), "'uri'"),
+]))
+def physical_007_instance(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return PH.physical_007_instance(spark, REC.headers_with_uri(fx.fx_records), fx.fx_all)
