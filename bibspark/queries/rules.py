@@ -783,3 +783,75 @@ m AS (SELECT h.*, '{PH.MEDIA}' || md.media AS U FROM h JOIN {V.values_sql(PH.MED
 def physical_007_instance(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return PH.physical_007_instance(spark, REC.headers_with_uri(fx.fx_records), fx.fx_all)
+
+
+# ---- R30 series -------------------------------------------------------------------------
+from ..plans import series as SE  # noqa: E402
+
+_SER_PREP = f"""{R_CTE},
+{nested_cte('f', "tag = '490'")},
+w AS (SELECT f.*, len(list_filter(sfs, lambda s: s.code = 'a')) AS n_a,
+        len(list_filter(sfs, lambda s: instr(s.value, '=') > 0)) > 0 AS has_eq FROM f),
+c AS (SELECT *, n_a > 1 AND has_eq AS parallel,
+        coalesce(sum(CASE WHEN n_a > 1 AND has_eq THEN 1 WHEN n_a > 1 THEN n_a WHEN n_a = 1 THEN 1 ELSE 0 END)
+          OVER (PARTITION BY record_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS cur FROM w),
+a AS (SELECT c.*, generate_subscripts(list_filter(sfs, lambda s: s.code = 'a'), 1) - 1 AS p,
+        unnest(list_filter(sfs, lambda s: s.code = 'a')) AS av FROM c),
+a2 AS (SELECT *, list_filter(sfs, lambda s: s.code = 'v' AND s.sf_ord > av.sf_ord)[1].value AS nv,
+        list_filter(sfs, lambda s: s.code = 'x' AND s.sf_ord > av.sf_ord)[1].value AS nx,
+        list_filter(sfs, lambda s: s.code = '3')[1].value AS s3 FROM a WHERE NOT (parallel AND p > 0)),
+l AS (SELECT record_id, CAST(cur + p AS INT) AS rank, ord AS ord_490, av.sf_ord AS sf_a, av.value AS label490,
+        CASE WHEN parallel THEN {_spaced_sql('av')} ELSE av.value || ' ' || CASE WHEN nv IS NOT NULL THEN nv || ' ' ELSE '' END END AS stmt490,
+        nv AS v490, nx AS x490, s3 AS s3_490 FROM a2),
+{nested_cte('e', "tag IN ('800', '810', '811', '830')")},
+e8 AS (SELECT record_id, CAST(row_number() OVER (PARTITION BY record_id ORDER BY ord) AS INT) AS rank, ord AS ord_8xx,
+         tag AS tag8, sfs AS sfs8 FROM e),
+j AS (SELECT coalesce(l.record_id, e8.record_id) AS record_id, l.*, e8.ord_8xx, e8.tag8, e8.sfs8 FROM l FULL OUTER JOIN e8
+      ON l.record_id = e8.record_id AND l.rank = e8.rank),
+j2 AS (SELECT j.*, r.ruri, ord_490 IS NOT NULL AS from490,
+        list_filter(sfs8, lambda s: s.code = 'v')[1].value AS v8, list_filter(sfs8, lambda s: s.code = 'x')[1].value AS x8,
+        list_filter(sfs8, lambda s: s.code = '3')[1].value AS s38,
+        array_to_string(list_transform(sfs8, lambda s: CASE WHEN s.code = 't' THEN 'T' WHEN s.code IN ('0', 'w') AND
+          (starts_with(s.value, '(uri)') OR starts_with(s.value, 'http')) THEN 'Q' ELSE '-' END), '') AS m
+      FROM j JOIN r ON r.record_id = j.record_id),
+k AS (SELECT j2.*,
+        CASE WHEN from490 THEN label490 WHEN tag8 IN ('830', '440') THEN {_sp("s.code IN ('a','n','p')", 'sfs8')}
+             ELSE {_sp("s.code IN ('t','n','p')", 'sfs8')} END AS label,
+        CASE WHEN from490 THEN stmt490 WHEN tag8 IN ('830', '440') THEN {_sp("s.code IN ('a','n','p','v')", 'sfs8')}
+             ELSE {_sp("s.code IN ('t','n','p','v')", 'sfs8')} END AS stmt,
+        CASE WHEN from490 THEN coalesce(v8, v490) ELSE v8 END AS enum,
+        CASE WHEN from490 THEN coalesce(x490, x8) ELSE x8 END AS issn,
+        CASE WHEN from490 THEN coalesce(s3_490, s38) ELSE s38 END AS applies,
+        CASE WHEN from490 THEN '_:' || record_id || '-' || CAST(ord_490 AS VARCHAR) || '-' || CAST(sf_a AS VARCHAR) || '-series-1'
+             ELSE '_:' || record_id || '-' || CAST(ord_8xx AS VARCHAR) || '-0-series-1' END AS S,
+        CASE WHEN sfs8 IS NULL THEN NULL ELSE coalesce(nullif(
+          CASE WHEN instr(m, 'T') > 0 THEN CASE WHEN instr(substr(m, instr(m, 'T') + 1), 'Q') > 0
+                 THEN {uri_sql("sfs8[instr(m, 'T') + instr(substr(m, instr(m, 'T') + 1), 'Q')].value")} END
+               WHEN instr(m, 'Q') > 0 THEN {uri_sql("sfs8[instr(m, 'Q')].value")} END, ''),
+          ruri || '#Work' || tag8 || '-' || CAST(ord_8xx AS VARCHAR)) END AS SW,
+        ruri || '#Instance' AS I FROM j2)"""
+
+_SER_SELS = [
+    triple_select("k", "I", q(BF + "hasSeries"), "S", "'bnode'"),
+    triple_select("k", "S", q(TYPE), q(BF + "Instance"), "'uri'"),
+    triple_select("k", "S", q(LABEL), "rtrim(label, '.:,;/ ')"),
+    triple_select("k", "S", q(BF + "seriesStatement"), "rtrim(stmt, '.:,;/ ')"),
+    triple_select("k", "S", q(BF + "seriesEnumeration"), "rtrim(enum, '.:,;/ ')", "'literal'", "coalesce(enum, '') <> ''"),
+    triple_select("k", "S", q(BF + "identifiedBy"), "S || '-issn'", "'bnode'", "coalesce(issn, '') <> ''"),
+    triple_select("k", "S || '-issn'", q(TYPE), q(BF + "Issn"), "'uri'", "coalesce(issn, '') <> ''"),
+    triple_select("k", "S || '-issn'", q(RDF + "value"), "rtrim(issn, '.:,;/ ')", "'literal'", "coalesce(issn, '') <> ''"),
+    triple_select("k", "S", q(BFLC + "appliesTo"), "S || '-appliesTo'", "'bnode'", "coalesce(applies, '') <> ''"),
+    triple_select("k", "S || '-appliesTo'", q(TYPE), q(BFLC + "AppliesTo"), "'uri'", "coalesce(applies, '') <> ''"),
+    triple_select("k", "S || '-appliesTo'", q(LABEL), "rtrim(applies, '.:,;/ ')", "'literal'", "coalesce(applies, '') <> ''"),
+    triple_select("k", "S", q(BF + "instanceOf"), "SW", "'uri'", "SW IS NOT NULL"),
+    triple_select("k", "SW", q(TYPE), q(BF + "Work"), "'uri'", "SW IS NOT NULL"),
+    triple_select("k", "SW", q(BF + "identifiedBy"), "SW || '-issn'", "'bnode'", "SW IS NOT NULL AND coalesce(x8, '') <> ''"),
+    triple_select("k", "SW || '-issn'", q(TYPE), q(BF + "Issn"), "'uri'", "SW IS NOT NULL AND coalesce(x8, '') <> ''"),
+    triple_select("k", "SW || '-issn'", q(RDF + "value"), "rtrim(x8, '.:,;/ ')", "'literal'", "SW IS NOT NULL AND coalesce(x8, '') <> ''"),
+]
+
+
+@query("series_entries", f"WITH {_SER_PREP}\n" + finish("R30", _SER_SELS))
+def series_entries(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return SE.series_entries(nested(fx), ruris(fx))
