@@ -855,3 +855,46 @@ _SER_SELS = [
 def series_entries(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return SE.series_entries(nested(fx), ruris(fx))
+
+
+# ---- R29 holdings ----------------------------------------------------------------------------
+from ..plans import holdings as HO  # noqa: E402
+
+
+def _bn2(kind: str, n: str) -> str:
+    return f"'_:' || record_id || '-' || CAST(ord AS VARCHAR) || '-' || CAST(sa AS VARCHAR) || '-{kind}-' || CAST({n} AS VARCHAR)"
+
+
+_HOLD_PREP = f"""{R_CTE},
+{nested_cte('f', "tag IN ('850', '852')").replace('fx_subfields', 'fx_all')},
+a AS (SELECT f.*, r.ruri || '#Item' || tag || '-' || CAST(ord AS VARCHAR) AS ITEM, r.ruri || '#Instance' AS I,
+        rtrim(array_to_string(list_transform(list_filter(sfs, lambda s: s.code IN ('e', 'n')), lambda s: s.value || ', '), ''), '.:,;/ ') AS addr,
+        unnest(list_filter(sfs, lambda s: s.code = 'a')) AS av FROM f JOIN r USING (record_id)),
+b AS (SELECT a.*, av.sf_ord AS sa, length(av.value) < 10 AS org FROM a),
+c AS (SELECT b.*, CASE WHEN org THEN '{HO.ORGANIZATIONS}' || av.value ELSE {_bn2('heldBy', '1')} END AS AG FROM b),
+x AS (SELECT c.record_id, c.ord, c.sa, c.tag, c.ITEM, unnest(c.sfs) AS x FROM c)"""
+
+_HOLD_SELS = [
+    triple_select("c", "I", q(BF + "hasItem"), "ITEM", "'uri'"),
+    triple_select("c", "ITEM", q(TYPE), q(BF + "Item"), "'uri'"),
+    triple_select("c", "ITEM", q(BF + "heldBy"), "AG", "CASE WHEN org THEN 'uri' ELSE 'bnode' END"),
+    triple_select("c", "AG", q(TYPE), q(BF + "Agent"), "'uri'"),
+    triple_select("c", "ITEM", q(BF + "itemOf"), "I", "'uri'"),
+    triple_select("c", "AG", q(LABEL), "av.value", "'literal'", "NOT org"),
+    triple_select("x", "ITEM", q(BF + "subLocation"), _bn2("subLocation", "x.sf_ord"), "'bnode'", "tag = '852' AND x.code = 'b'"),
+    triple_select("x", _bn2("subLocation", "x.sf_ord"), q(TYPE), q(BF + "SubLocation"), "'uri'", "tag = '852' AND x.code = 'b'"),
+    triple_select("x", _bn2("subLocation", "x.sf_ord"), q(LABEL), "x.value", "'literal'", "tag = '852' AND x.code = 'b'"),
+    triple_select("c", "ITEM", q(BF + "subLocation"), _bn2("address", "1"), "'bnode'", "tag = '852' AND addr <> ''"),
+    triple_select("c", _bn2("address", "1"), q(TYPE), q(BF + "SubLocation"), "'uri'", "tag = '852' AND addr <> ''"),
+    triple_select("c", _bn2("address", "1"), q(LABEL), "addr", "'literal'", "tag = '852' AND addr <> ''"),
+    triple_select("x", "ITEM", q(BF + "electronicLocator"), "x.value", "'uri'", "tag = '852' AND x.code = 'u'"),
+    triple_select("x", "ITEM", q(BF + "note"), _bn2("note", "x.sf_ord"), "'bnode'", "tag = '852' AND x.code IN ('x', 'z')"),
+    triple_select("x", _bn2("note", "x.sf_ord"), q(TYPE), q(BF + "Note"), "'uri'", "tag = '852' AND x.code IN ('x', 'z')"),
+    triple_select("x", _bn2("note", "x.sf_ord"), q(LABEL), "x.value", "'literal'", "tag = '852' AND x.code IN ('x', 'z')"),
+]
+
+
+@query("holdings", f"WITH {_HOLD_PREP}\n" + finish("R29", _HOLD_SELS))
+def holdings(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return HO.holdings(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
