@@ -898,3 +898,57 @@ _HOLD_SELS = [
 def holdings(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return HO.holdings(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
+
+
+# ---- R25 reproductions -------------------------------------------------------------------
+from ..plans import copies as CP  # noqa: E402
+
+_REPRO_PREP = f"""{R_CTE},
+{nested_cte('f', "TRUE").replace('fx_subfields', 'fx_all')},
+lb AS (SELECT record_id, ord, tag, sfs,
+        array_to_string(list_transform(list_filter(sfs, lambda s: s.code IN ('a','b','f','g','k','n','p','s')), lambda s: s.value || ' '), '') AS l245,
+        array_to_string(list_transform(list_filter(sfs, lambda s: s.code IN ('a','d','f','g','k','l','m','n','o','p','r','s')), lambda s: s.value || ' '), '') AS lu
+      FROM f WHERE tag IN ('245', '130', '240')),
+t245 AS (SELECT record_id, arg_min(l245, ord) AS t FROM lb WHERE tag = '245' GROUP BY record_id),
+t130 AS (SELECT record_id, arg_min(lu, ord) AS t FROM lb WHERE tag = '130' GROUP BY record_id),
+t240 AS (SELECT record_id, arg_min(lu, ord) AS t FROM lb WHERE tag = '240' GROUP BY record_id),
+n0 AS (SELECT record_id, ord, tag, ind1, list_filter(sfs, lambda s: s.code = '6')[1].value AS sf6 FROM f),
+nn AS (SELECT *, lead(ord) OVER w AS n_ord, lead(tag) OVER w AS n_tag, lead(ind1) OVER w AS n_ind1, lead(sf6) OVER w AS n_sf6
+       FROM n0 WINDOW w AS (PARTITION BY record_id ORDER BY ord)),
+ho AS (SELECT record_id, ord, CASE WHEN (n_tag = '535' OR (n_tag = '880' AND starts_with(n_sf6, '535')))
+         AND n_ind1 = CASE WHEN tag = '533' THEN '2' ELSE '1' END THEN n_ord END AS holding_ord FROM nn WHERE tag IN ('533', '534')),
+c AS (SELECT f.record_id, f.ord, f.tag, f.sfs, r.ruri || '#Work' AS W, r.ruri || '#Instance' AS I,
+        r.ruri || '#Instance' || f.tag || '-' || CAST(f.ord AS VARCHAR) AS NI, {bn('reproductionTitle').replace('record_id', 'f.record_id').replace('CAST(ord', 'CAST(f.ord')} AS T,
+        ho.holding_ord, r.ruri || '#Item535-' || CAST(ho.holding_ord AS VARCHAR) AS ITEM,
+        CASE WHEN f.tag = '533' THEN substr(coalesce(t245.t, ''), 1, greatest(length(coalesce(t245.t, '')) - 1, 0))
+             WHEN f.tag = '534' AND len(list_filter(f.sfs, lambda s: s.code = 't')) > 0 THEN list_filter(f.sfs, lambda s: s.code = 't')[1].value
+             ELSE substr(coalesce(t130.t, t240.t, t245.t, ''), 1, greatest(length(coalesce(t130.t, t240.t, t245.t, '')) - 1, 0)) END AS title,
+        CASE WHEN f.tag = '534' AND len(list_filter(f.sfs, lambda s: s.code = 't')) > 0 THEN '{BF}InstanceTitle' ELSE '{BF}Title' END AS cls
+      FROM f JOIN r ON r.record_id = f.record_id LEFT JOIN t245 ON t245.record_id = f.record_id
+      LEFT JOIN t130 ON t130.record_id = f.record_id LEFT JOIN t240 ON t240.record_id = f.record_id
+      LEFT JOIN ho ON ho.record_id = f.record_id AND ho.ord = f.ord
+      WHERE f.tag IN ('530', '533', '534')),
+ca AS (SELECT record_id, NI, T, unnest(list_filter(sfs, lambda s: s.code = 'a')) AS x FROM c WHERE tag = '533')"""
+
+_REPRO_SELS = [
+    triple_select("c", "W", q(BF + "hasInstance"), "NI", "'uri'"),
+    triple_select("c", "NI", q(TYPE), q(BF + "Instance"), "'uri'"),
+    triple_select("c", "NI", q(BF + "instanceOf"), "W", "'uri'"),
+    triple_select("c", "NI", q(BF + "title"), "T", "'bnode'"),
+    triple_select("c", "T", q(TYPE), "cls", "'uri'"),
+    triple_select("c", "T", q(LABEL), "title", "'literal'", "title <> ''"),
+    triple_select("c", "NI", q(BF + "reproductionOf"), "I", "'uri'", "tag = '533'"),
+    triple_select("c", "I", q(BF + "hasReproduction"), "NI", "'uri'", "tag = '533'"),
+    triple_select("ca", "NI", q(BF + "carrier"), "T || '-carrier-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'"),
+    triple_select("ca", "T || '-carrier-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Carrier"), "'uri'"),
+    triple_select("ca", "T || '-carrier-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "rtrim(x.value, '.:,;/ ')"),
+    triple_select("c", "NI", q(BF + "hasItem"), "ITEM", "'uri'", "holding_ord IS NOT NULL"),
+    triple_select("c", "ITEM", q(TYPE), q(BF + "Item"), "'uri'", "holding_ord IS NOT NULL"),
+    triple_select("c", "ITEM", q(BF + "itemOf"), "NI", "'uri'", "holding_ord IS NOT NULL"),
+]
+
+
+@query("reproductions", f"WITH {_REPRO_PREP}\n" + finish("R25", _REPRO_SELS))
+def reproductions(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return CP.reproductions(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
