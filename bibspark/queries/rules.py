@@ -952,3 +952,55 @@ _REPRO_SELS = [
 def reproductions(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return CP.reproductions(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
+
+
+# ---- R32 alternate script (880 linked to 245) -------------------------------------------
+_ALT_PREP = f"""{R_CTE},
+{nested_cte('f', "tag IN ('880', '130', '240')")},
+u AS (SELECT DISTINCT record_id FROM f WHERE tag IN ('130', '240')),
+a AS (SELECT f.* FROM f WHERE tag = '880' AND substr(list_filter(sfs, lambda s: s.code = '6')[1].value, 1, 3) = '245'),
+s6 AS (SELECT a.*, list_filter(sfs, lambda s: s.code = '6')[1].value AS sf6, substr(x.c008, 36, 3) AS lang008
+       FROM a JOIN fx_records x USING (record_id)),
+k6 AS (SELECT s6.*, CASE WHEN instr(sf6, '/') > 0 THEN substr(sf6, instr(sf6, '/') + 1) ELSE '' END AS rest FROM s6),
+c6 AS (SELECT k6.*, CASE WHEN instr(rest, '/') > 0 THEN substr(rest, 1, instr(rest, '/') - 1) ELSE rest END AS sc FROM k6),
+n6 AS (SELECT c6.*, CASE WHEN sc = '(3' THEN 'arab' WHEN sc = '(B' THEN 'latn' WHEN sc = '$1' AND lang008 = 'kor' THEN 'hang'
+        WHEN sc = '$1' AND lang008 = 'chi' THEN 'hani' WHEN sc = '$1' AND lang008 = 'jpn' THEN 'jpan' WHEN sc = '(N' THEN 'cyrl'
+        WHEN sc = '(S' THEN 'grek' WHEN sc = '(2' THEN 'hebr' END AS script, lm.xl FROM c6
+      LEFT JOIN {_vals(LANGUAGE_MAP, 'iso, xl', 'lm')} ON lm.iso = c6.lang008),
+g AS (SELECT n6.*, CASE WHEN coalesce(xl, '') <> '' AND coalesce(script, '') <> '' THEN xl || '-' || script END AS lang,
+        r.ruri || '#Work' AS W, r.ruri || '#Instance' AS I, {bn('worktitle')} AS Tw, {bn('instancetitle')} AS Ti,
+        u.record_id IS NOT NULL AS has_uniform, {_spaced_sql('abfgknps')} AS L
+      FROM n6 JOIN r USING (record_id) LEFT JOIN u USING (record_id)),
+k AS (SELECT *, CASE WHEN TRY_CAST(ind2 AS INT) IS NULL THEN ''
+        ELSE substr(L, TRY_CAST(ind2 AS INT) + 1, greatest(length(L) - TRY_CAST(ind2 AS INT) - 1, 0)) END AS key FROM g),
+t2 AS (SELECT record_id, W AS owner, Tw AS T, L, key, sfs, lang FROM k WHERE NOT has_uniform
+       UNION ALL SELECT record_id, I, Ti, L, key, sfs, lang FROM k),
+p AS (SELECT record_id, T, lang, unnest(sfs) AS x FROM t2),
+c AS (SELECT record_id, I, lang, unnest(sfs) AS x FROM k)"""
+
+_ALT_SELS = [
+    triple_select("t2", "owner", q(BF + "title"), "T", "'bnode'"),
+    triple_select("t2", "T", q(TYPE), q(BF + "Title"), "'uri'"),
+    triple_select("t2", "T", q(LABEL), "substr(L, 1, greatest(length(L) - 1, 0))", "'literal'", "L <> ''", lang="lang"),
+    triple_select("t2", "T", q(BFLC + "titleSortKey"), "key", "'literal'", "L <> ''"),
+    triple_select("c", "I", q(BF + "responsibilityStatement"), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = 'c'", lang="lang"),
+] + [triple_select("p", "T", q(BF + prop), "rtrim(x.value, '.:,;/ ')", "'literal'", f"x.code = '{code}'", lang="lang")
+     for code, prop in {"a": "mainTitle", "b": "subtitle", "n": "partNumber", "p": "partName"}.items()]
+
+
+@query("alternate_script", f"WITH {_ALT_PREP}\n" + finish("R32", _ALT_SELS))
+def alternate_script(spark, sf_dir):
+    """880 fields go to the rule of their linked tag (here 245) with xml:lang."""
+    fx = Fixtures(spark, sf_dir)
+    lm = spark.createDataFrame(LANGUAGE_MAP, "iso string, xl string")
+    h = fx.fx_records.select("record_id", F.substring("c008", 36, 3).alias("lang008")).join(ruris(fx), "record_id")
+    h = h.join(F.broadcast(lm), F.col("lang008") == F.col("iso"), "left")
+    f = nested(fx)
+    sf6 = C.first_value(F.col("sfs"), "6")
+    lang6 = f.where(F.col("tag") == "880").select("record_id", "ord", sf6.alias("sf6"))
+    j = lang6.join(h, "record_id")
+    script = X.script_name(F.col("sf6"), F.col("lang008"))
+    ok = (F.coalesce(F.col("xl"), F.lit("")) != "") & (F.coalesce(script, F.lit("")) != "")
+    langs = j.select("record_id", "ord", F.when(ok, F.concat(F.col("xl"), F.lit("-"), script)).alias("lang"))
+    fl = f.join(langs, ["record_id", "ord"], "left")
+    return TI.title_245(fl, ruris(fx), alternate=True)
