@@ -1004,3 +1004,44 @@ def alternate_script(spark, sf_dir):
     langs = j.select("record_id", "ord", F.when(ok, F.concat(F.col("xl"), F.lit("-"), script)).alias("lang"))
     fl = f.join(langs, ["record_id", "ord"], "left")
     return TI.title_245(fl, ruris(fx), alternate=True)
+
+
+# ---- R31 control subfields ------------------------------------------------------------------
+from ..plans import control as CS  # noqa: E402
+
+_T7 = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CS.TYPE_7)
+_I7 = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CS.ISSUANCE_7)
+_CS_PREP = f"""s AS (SELECT record_id, ord, sf_ord, code, value,
+    '_:' || record_id || '-' || CAST(ord AS VARCHAR) || '-0-field-1' AS O,
+    '_:' || record_id || '-' || CAST(ord AS VARCHAR) || '-0-field-1-' || code || '-' || CAST(sf_ord AS VARCHAR) AS N,
+    CASE substr(value, 1, 1) {_T7} END AS t7, CASE substr(value, 2, 1) {_I7} END AS i7,
+    {x08_source_sql('value')} AS src, {x08_value_sql('value')} AS val
+  FROM fx_allnotes WHERE code IN ('0', 'w', '2', '3', '5', '7', 'u'))"""
+
+_CS_SELS = [
+    triple_select("s", "O", q(BF + "identifiedBy"), "N", "'bnode'", "code IN ('0', 'w')"),
+    triple_select("s", "N", q(TYPE), q(BF + "Identifier"), "'uri'", "code IN ('0', 'w')"),
+    triple_select("s", "N", q(RDF + "value"), "val", "CASE WHEN instr(val, '://') > 0 THEN 'uri' ELSE 'literal' END", "code IN ('0', 'w')"),
+    triple_select("s", "N", q(BF + "source"), "N || '-source'", "'bnode'", "code IN ('0', 'w') AND src <> ''"),
+    triple_select("s", "N || '-source'", q(TYPE), q(BF + "Source"), "'uri'", "code IN ('0', 'w') AND src <> ''"),
+    triple_select("s", "N || '-source'", q(LABEL), "src", "'literal'", "code IN ('0', 'w') AND src <> ''"),
+    triple_select("s", "O", q(BF + "source"), "N", "'bnode'", "code = '2'"),
+    triple_select("s", "N", q(TYPE), q(BF + "Source"), "'uri'", "code = '2'"),
+    triple_select("s", "N", q(LABEL), "value", "'literal'", "code = '2'"),
+    triple_select("s", "O", q(BFLC + "appliesTo"), "N", "'bnode'", "code = '3'"),
+    triple_select("s", "N", q(TYPE), q(BFLC + "AppliesTo"), "'uri'", "code = '3'"),
+    triple_select("s", "N", q(LABEL), "rtrim(value, '.:,;/ ')", "'literal'", "code = '3'"),
+    triple_select("s", "O", q(BFLC + "applicableInstitution"), "N", "'bnode'", "code = '5'"),
+    triple_select("s", "N", q(TYPE), q(BF + "Agent"), "'uri'", "code = '5'"),
+    triple_select("s", "N", q(BF + "code"), "value", "'literal'", "code = '5'"),
+    triple_select("s", "O", q(TYPE), f"'{BF}' || t7", "'uri'", "code = '7' AND t7 IS NOT NULL"),
+    triple_select("s", "O", q(BF + "issuance"), "N", "'bnode'", "code = '7' AND i7 IS NOT NULL"),
+    triple_select("s", "N", q(TYPE), q(BF + "Issuance"), "'uri'", "code = '7' AND i7 IS NOT NULL"),
+    triple_select("s", "N", q(BF + "code"), "i7", "'literal'", "code = '7' AND i7 IS NOT NULL"),
+    triple_select("s", "O", q(LABEL), "value", "'literal'", "code = 'u'", datatype=q(X.XS + "anyURI")),
+]
+
+
+@query("control_subfields", f"WITH {_CS_PREP}\n" + finish("R31", _CS_SELS))
+def control_subfields(spark, sf_dir):
+    return CS.control_subfields(Fixtures(spark, sf_dir).fx_allnotes)
