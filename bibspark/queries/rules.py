@@ -1045,3 +1045,55 @@ _CS_SELS = [
 @query("control_subfields", f"WITH {_CS_PREP}\n" + finish("R31", _CS_SELS))
 def control_subfields(spark, sf_dir):
     return CS.control_subfields(Fixtures(spark, sf_dir).fx_allnotes)
+
+
+# ---- R10 capture -----------------------------------------------------------------------------
+from ..plans import capture as CAP  # noqa: E402
+
+
+def _edtf_sql(s: str) -> str:
+    t = f"(translate(substr({s}, 1, 12), '-', 'X') || substr({s}, 13))"
+    return (f"(CASE WHEN substr({t}, 7, 2) <> '' THEN substr({t}, 1, 4) || '-' || substr({t}, 5, 2) || '-' || substr({t}, 7, 2) "
+            f"ELSE substr({t}, 1, 4) || '-' || substr({t}, 5, 2) END "
+            f"|| CASE WHEN substr({t}, 9, 4) <> '' THEN 'T' || substr({t}, 9, 2) || ':' || substr({t}, 11, 2) || ':00' ELSE '' END "
+            f"|| CASE WHEN substr({t}, 13, 5) <> '' THEN substr({t}, 13, 3) || ':' || substr({t}, 16, 2) ELSE '' END)")
+
+
+_CAP_PREP = f"""{R_CTE},
+{nested_cte('f', "tag = '033'").replace('fx_subfields', 'fx_all')},
+g AS (SELECT f.*, r.ruri || '#Work' AS W, {bn('capture')} AS CP,
+        CASE ind1 WHEN '0' THEN {_edtf_sql("coalesce(list_filter(sfs, lambda s: s.code = 'a')[1].value, '')")}
+                  WHEN '2' THEN array_to_string(list_transform(list_filter(sfs, lambda s: s.code = 'a'), lambda s: {_edtf_sql('s.value')}), '/')
+                  ELSE '' END AS date,
+        CASE ind2 WHEN '1' THEN 'broadcast' WHEN '2' THEN 'finding' END AS note
+      FROM f JOIN r USING (record_id)),
+s AS (SELECT record_id, ord, sf_ord, code, value, lead(code) OVER w AS n_code, lead(value) OVER w AS n_value
+      FROM fx_all WHERE tag = '033' WINDOW w AS (PARTITION BY record_id, ord ORDER BY sf_ord)),
+p AS (SELECT s.record_id, g.CP, s.sf_ord, {_ns("concat_ws(' ', s.value, CASE WHEN s.n_code = 'c' THEN s.n_value END)")} AS v,
+        g.CP || '-place-' || CAST(s.sf_ord AS VARCHAR) AS P FROM s JOIN g ON g.record_id = s.record_id AND g.ord = s.ord WHERE s.code = 'b'),
+x AS (SELECT g.record_id, g.CP, g.ind1, unnest(g.sfs) AS x FROM g)"""
+
+_CAP_SELS = [
+    triple_select("g", "W", q(BF + "capture"), "CP", "'bnode'"),
+    triple_select("g", "CP", q(TYPE), q(BF + "Capture"), "'uri'"),
+    triple_select("g", "CP", q(BF + "note"), "CP || '-note'", "'bnode'", "note IS NOT NULL"),
+    triple_select("g", "CP || '-note'", q(TYPE), q(BF + "Note"), "'uri'", "note IS NOT NULL"),
+    triple_select("g", "CP || '-note'", q(LABEL), "note", "'literal'", "note IS NOT NULL"),
+    triple_select("g", "CP", q(BF + "date"), "date", "'literal'", "date <> ''", datatype=q(X.EDTF)),
+    triple_select("x", "CP", q(BF + "date"), _edtf_sql("x.value"), "'literal'", "ind1 = '1' AND x.code = 'a'", datatype=q(X.EDTF)),
+    triple_select("p", "CP", q(BF + "place"), "P", "'bnode'"),
+    triple_select("p", "P", q(TYPE), q(BF + "Place"), "'uri'"),
+    triple_select("p", "P", q(RDF + "value"), "v"),
+    triple_select("p", "P", q(BF + "source"), "P || '-source'", "'bnode'"),
+    triple_select("p", "P || '-source'", q(TYPE), q(BF + "Source"), "'uri'"),
+    triple_select("p", "P || '-source'", q(LABEL), f"'{CAP.PLACE_SOURCE}'"),
+    triple_select("x", "CP", q(BFLC + "appliesTo"), "CP || '-appliesTo-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "x.code = '3'"),
+    triple_select("x", "CP || '-appliesTo-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BFLC + "AppliesTo"), "'uri'", "x.code = '3'"),
+    triple_select("x", "CP || '-appliesTo-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = '3'"),
+]
+
+
+@query("capture_events", f"WITH {_CAP_PREP}\n" + finish("R10", _CAP_SELS))
+def capture_events(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return CAP.capture_events(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
