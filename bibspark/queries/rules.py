@@ -1097,3 +1097,46 @@ _CAP_SELS = [
 def capture_events(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return CAP.capture_events(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
+
+
+# ---- R12 acquisition ----------------------------------------------------------------------------
+from ..plans import acquisition as ACQ  # noqa: E402
+
+_ACQ_PREP = f"""{R_CTE},
+{nested_cte('f', "tag = '037'").replace('fx_subfields', 'fx_notes')},
+g AS (SELECT f.*, r.ruri || '#Instance' AS I, {bn('acquisitionSource')} AS A,
+        CASE ind1 WHEN '2' THEN 'intervening source' WHEN '3' THEN 'current source' END AS note FROM f JOIN r USING (record_id)),
+x AS (SELECT record_id, A, unnest(sfs) AS x FROM g)"""
+
+
+def _an(kind):
+    return f"A || '-{kind}-' || CAST(x.sf_ord AS VARCHAR)"
+
+
+_ACQ_SELS = [
+    triple_select("g", "I", q(BF + "acquisitionSource"), "A", "'bnode'"),
+    triple_select("g", "A", q(TYPE), q(BF + "AcquisitionSource"), "'uri'"),
+    triple_select("g", "A", q(BF + "note"), "A || '-note'", "'bnode'", "note IS NOT NULL"),
+    triple_select("g", "A || '-note'", q(TYPE), q(BF + "Note"), "'uri'", "note IS NOT NULL"),
+    triple_select("g", "A || '-note'", q(LABEL), "note", "'literal'", "note IS NOT NULL"),
+    triple_select("x", "A", q(BFLC + "appliesTo"), _an("appliesTo"), "'bnode'", "x.code = '3'"),
+    triple_select("x", _an("appliesTo"), q(TYPE), q(BFLC + "AppliesTo"), "'uri'", "x.code = '3'"),
+    triple_select("x", _an("appliesTo"), q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = '3'"),
+    triple_select("x", "A", q(BF + "identifiedBy"), _an("stock"), "'bnode'", "x.code = 'a'"),
+    triple_select("x", _an("stock"), q(TYPE), q(BF + "StockNumber"), "'uri'", "x.code = 'a'"),
+    triple_select("x", _an("stock"), q(RDF + "value"), "x.value", "'literal'", "x.code = 'a'"),
+    triple_select("x", "A", q(LABEL), "x.value", "'literal'", "x.code = 'b'"),
+    triple_select("x", "A", q(BF + "acquisitionTerms"), "x.value", "'literal'", "x.code = 'c'"),
+    triple_select("x", "A", q(BF + "note"), _an("note"), "'bnode'", "x.code IN ('f', 'g', 'n')"),
+    triple_select("x", _an("note"), q(TYPE), q(BF + "Note"), "'uri'", "x.code IN ('f', 'g', 'n')"),
+    triple_select("x", _an("note"), q(LABEL), "x.value", "'literal'", "x.code IN ('f', 'g', 'n')"),
+    triple_select("x", "A", q(BFLC + "applicableInstitution"), _an("institution"), "'bnode'", "x.code = '5'"),
+    triple_select("x", _an("institution"), q(TYPE), q(BF + "Agent"), "'uri'", "x.code = '5'"),
+    triple_select("x", _an("institution"), q(BF + "code"), "x.value", "'literal'", "x.code = '5'"),
+]
+
+
+@query("acquisition", f"WITH {_ACQ_PREP}\n" + finish("R12", _ACQ_SELS))
+def acquisition(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return ACQ.acquisition(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
