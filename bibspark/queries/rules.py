@@ -1140,3 +1140,68 @@ _ACQ_SELS = [
 def acquisition(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return ACQ.acquisition(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
+
+
+# ---- R17 subject names -------------------------------------------------------------------------
+_SN_PREP = f"""{R_CTE},
+{nested_cte('f', "tag IN ('600', '610', '611')").replace('fx_subfields', 'fx_all')},
+th AS (SELECT DISTINCT t_ind2, t_code FROM {_vals(_th_rows(), 't_ind2, t_code, t_scheme', 'tv')}),
+ts AS (SELECT t_ind2, t_scheme FROM {_vals(_th_rows(), 't_ind2, t_code, t_scheme', 'tw')} WHERE t_scheme IS NOT NULL),
+y AS (SELECT f.*, r.ruri, {_MARK} AS m, th.t_code, substr(f.tag, 2, 2) AS xx,
+        list_max(list_transform(list_filter(sfs, lambda s: s.code = 't'), lambda s: s.sf_ord)) AS lt,
+        list_min(list_transform(list_filter(sfs, lambda s: s.code = 't'), lambda s: s.sf_ord)) AS ft,
+        list_filter(sfs, lambda s: s.code = '2')[1].value AS code2
+      FROM f JOIN r USING (record_id) LEFT JOIN th ON th.t_ind2 = f.ind2),
+z AS (SELECT y.*,
+        CASE WHEN xx = '00' THEN {_sp("s.code IN ('a','b','c','d','j','q')", 'sfs')}
+             WHEN xx = '10' THEN {_sp("s.code IN ('a','b','c','d','n','g') AND (lt IS NULL OR s.sf_ord < lt)", 'sfs')}
+             WHEN xx = '11' THEN {_sp("s.code IN ('a','c','d','e','n','g','q') AND (lt IS NULL OR s.sf_ord < lt)", 'sfs')} END AS nlab,
+        CASE WHEN xx = '00' THEN {_sp("s.code = 't' OR (instr('fgklmnoprs', s.code) > 0 AND ft IS NOT NULL AND s.sf_ord > ft)", 'sfs')}
+             WHEN xx = '10' THEN {_sp("s.code = 't' OR (instr('dfgklmnoprs', s.code) > 0 AND ft IS NOT NULL AND s.sf_ord > ft)", 'sfs')}
+             WHEN xx = '11' THEN {_sp("s.code = 't' OR (instr('fgklnps', s.code) > 0 AND ft IS NOT NULL AND s.sf_ord > ft)", 'sfs')}
+             ELSE '' END AS tlab,
+        CASE WHEN len(list_filter(sfs, lambda s: s.code IN ('v','x','y','z'))) > 0 THEN 'ComplexSubject'
+             WHEN len(list_filter(sfs, lambda s: s.code = 't')) > 0 THEN 'NameTitle'
+             WHEN tag = '600' THEN 'Name' WHEN tag = '610' THEN 'CorporateName' WHEN tag = '611' THEN 'ConferenceName' END AS mads,
+        CASE WHEN xx = '00' THEN CASE WHEN ind1 = '3' THEN 'Family' ELSE 'Person' END
+             WHEN xx = '10' THEN CASE WHEN ind1 = '1' THEN 'Jurisdiction' ELSE 'Organization' END
+             WHEN xx = '11' THEN 'Meeting' END AS cls,
+        instr(m, 'T') > 0 AS has_t, instr(m, 'T') AS pos_t,
+        CASE WHEN regexp_matches(m, 'Q-*T') THEN length(regexp_extract(m, '^(.*?)Q-*T', 1)) + 1 ELSE 0 END AS agent_t FROM y),
+u AS (SELECT z.*, CASE WHEN has_t THEN agent_t ELSE instr(m, 'Q') END AS apos,
+        CASE WHEN has_t THEN CASE WHEN instr(substr(m, pos_t + 1), 'Q') > 0 THEN pos_t + instr(substr(m, pos_t + 1), 'Q') ELSE 0 END
+             ELSE instr(m, 'Q') END AS wpos,
+        rtrim(rtrim({_ns("coalesce(nlab, '') || ' ' || tlab")}, ':,;/ ') || '--' ||
+          array_to_string(list_transform(list_filter(sfs, lambda s: s.code IN ('v','x','y','z')), lambda s: s.value || '--'), ''), '- ') AS ml
+      FROM z),
+k AS (SELECT u.*,
+        coalesce(nullif({uri_sql('CASE WHEN apos > 0 THEN sfs[apos].value END')}, ''), ruri || '#Agent' || tag || '-' || CAST(ord AS VARCHAR)) AS A,
+        coalesce(nullif({uri_sql('CASE WHEN wpos > 0 THEN sfs[wpos].value END')}, ''), ruri || '#Work' || tag || '-' || CAST(ord AS VARCHAR)) AS WI,
+        ruri || '#Work' AS W, {bn('contribution')} AS Cn, {_ns('nlab')} AS nl FROM u),
+k2 AS (SELECT k.*, CASE WHEN has_t THEN WI ELSE A END AS S,
+        t_code IS NOT NULL OR (ind2 = '7' AND code2 IS NOT NULL) AS has_src FROM k),
+sc AS (SELECT k2.record_id, k2.S, ts.t_scheme FROM k2 JOIN ts ON ts.t_ind2 = k2.ind2)"""
+
+_SN_SELS = [
+    triple_select("k2", "W", q(BF + "subject"), "S", "'uri'"),
+    triple_select("k2", "S", q(TYPE), f"'{X.MADSRDF}' || mads", "'uri'"),
+    triple_select("k2", "S", q(X.MADSRDF + "authoritativeLabel"), "ml"),
+    triple_select("sc", "S", q(X.MADSRDF + "isMemberofMADSScheme"), "t_scheme", "'uri'"),
+    triple_select("k2", "S", q(BF + "source"), "S || '-source'", "'bnode'", "has_src"),
+    triple_select("k2", "S || '-source'", q(TYPE), q(BF + "Source"), "'uri'", "has_src"),
+    triple_select("k2", "S || '-source'", q(BF + "code"), "coalesce(t_code, code2)", "'literal'", "has_src"),
+    triple_select("k2", "WI", q(TYPE), q(BF + "Work"), "'uri'", "has_t"),
+    triple_select("k2", "WI", q(BF + "contribution"), "Cn", "'bnode'", "has_t"),
+    triple_select("k2", "Cn", q(TYPE), q(BF + "Contribution"), "'uri'", "has_t"),
+    triple_select("k2", "Cn", q(BF + "agent"), "A", "'uri'", "has_t"),
+    triple_select("k2", "Cn", q(BF + "role"), q(X.RELATORS + "ctb"), "'uri'", "has_t"),
+    triple_select("k2", "A", q(TYPE), q(BF + "Agent"), "'uri'"),
+    triple_select("k2", "A", q(TYPE), f"'{BF}' || cls", "'uri'", "cls IS NOT NULL"),
+    triple_select("k2", "A", q(LABEL), "nl", "'literal'", "coalesce(nl, '') <> ''"),
+]
+
+
+@query("subject_names", f"WITH {_SN_PREP}\n" + finish("R17", _SN_SELS))
+def subject_names(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return N.subject_names(spark, ruris(fx), C.with_eff_tag(C.nest_fields(fx.fx_all)))
