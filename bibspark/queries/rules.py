@@ -1205,3 +1205,60 @@ _SN_SELS = [
 def subject_names(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return N.subject_names(spark, ruris(fx), C.with_eff_tag(C.nest_fields(fx.fx_all)))
+
+
+# ---- R19 uniform titles ---------------------------------------------------------------------------
+from ..plans import uniform as UT  # noqa: E402
+
+
+def _utitle_sels(src: str, owner: str, T: str, L: str, where: str) -> list[str]:
+    key = _ns(f"substr({L}, coalesce(TRY_CAST(nfi AS INT), 0) + 1)")
+    w = f" AND {where}" if where else ""
+    return [
+        triple_select(src, owner, q(LABEL), _ns(L), "'literal'", f"{L} <> ''{w}"),
+        triple_select(src, owner, q(BF + "title"), T, "'bnode'", where),
+        triple_select(src, T, q(TYPE), q(BF + "Title"), "'uri'", where),
+        triple_select(src, T, q(LABEL), f"substr({L}, 1, greatest(length({L}) - 1, 0))", "'literal'", f"{L} <> ''{w}"),
+        triple_select(src, T, q(BFLC + "titleSortKey"), key, "'literal'", f"{L} <> ''{w}"),
+    ]
+
+
+_UT_PREP = f"""{R_CTE},
+{nested_cte('f', "tag IN ('130', '240', '041')").replace('fx_subfields', 'fx_all')},
+hh AS (SELECT record_id, count(*) AS n_h, min(h) AS h, min(ind2) AS h_ind2 FROM
+        (SELECT record_id, ind2, unnest(list_transform(list_filter(sfs, lambda s: s.code = 'h'), lambda s: s.value)) AS h
+         FROM f WHERE tag = '041' AND ind1 = '1') z GROUP BY record_id HAVING count(*) = 1),
+g AS (SELECT f.*, r.ruri, {_MARK} AS m, CASE WHEN tag = '130' THEN ind1 ELSE ind2 END AS nfi, hh.h, hh.h_ind2,
+        {_spaced_sql('adfgklmnoprs')} AS L, {_spaced_sql('adfgkmnoprs')} AS Lt, r.ruri || '#Work' AS W,
+        {bn('uniformtitle').replace('record_id', 'f.record_id').replace('CAST(ord', 'CAST(f.ord')} AS T,
+        {bn('translationtitle').replace('record_id', 'f.record_id').replace('CAST(ord', 'CAST(f.ord')} AS TT,
+        {bn('language').replace('record_id', 'f.record_id').replace('CAST(ord', 'CAST(f.ord')} AS LG,
+        len(list_filter(sfs, lambda s: s.code = 'l')) > 0 AS has_l
+      FROM f JOIN r ON r.record_id = f.record_id LEFT JOIN hh ON hh.record_id = f.record_id WHERE f.tag IN ('130', '240')),
+k AS (SELECT g.*, CASE WHEN instr(m, 'T') > 0 THEN CASE WHEN instr(substr(m, instr(m, 'T') + 1), 'Q') > 0
+          THEN {uri_sql("sfs[instr(m, 'T') + instr(substr(m, instr(m, 'T') + 1), 'Q')].value")} END
+        WHEN instr(m, 'Q') > 0 THEN {uri_sql("sfs[instr(m, 'Q')].value")} END AS wu FROM g),
+k2 AS (SELECT k.*, coalesce(nullif(wu, ''), ruri || '#Work' || tag || '-' || CAST(ord AS VARCHAR)) AS WT FROM k),
+p AS (SELECT record_id, W, WT, T, TT, has_l, LG, unnest(sfs) AS x FROM k2)"""
+
+_UT_SELS = (_utitle_sels("k2", "W", "T", "L", "") + _utitle_sels("k2", "WT", "TT", "Lt", "has_l") + [
+    triple_select("p", "T", q(BF + prop), "rtrim(x.value, '.:,;/ ')", "'literal'", f"x.code = '{code}'")
+    for code, prop in {"a": "mainTitle", "n": "partNumber", "p": "partName"}.items()] + [
+    triple_select("p", "TT", q(BF + prop), "rtrim(x.value, '.:,;/ ')", "'literal'", f"has_l AND x.code = '{code}'")
+    for code, prop in {"a": "mainTitle", "n": "partNumber", "p": "partName"}.items()] + [
+    triple_select("p", "W", q(BF + "language"), "LG || '-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "x.code = 'l'"),
+    triple_select("p", "LG || '-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Language"), "'uri'", "x.code = 'l'"),
+    triple_select("p", "LG || '-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = 'l'"),
+    triple_select("k2", "W", q(BF + "translationOf"), "WT", "'uri'", "has_l"),
+    triple_select("k2", "WT", q(TYPE), q(BF + "Work"), "'uri'", "has_l"),
+    triple_select("k2", "WT", q(BF + "language"), f"'{X.LANGUAGES}' || h", "'uri'", "has_l AND h IS NOT NULL AND h_ind2 = ' '"),
+    triple_select("k2", "WT", q(BF + "language"), "LG || '-translation'", "'bnode'", "has_l AND h IS NOT NULL AND h_ind2 <> ' '"),
+    triple_select("k2", "LG || '-translation'", q(TYPE), q(BF + "Language"), "'uri'", "has_l AND h IS NOT NULL AND h_ind2 <> ' '"),
+    triple_select("k2", "LG || '-translation'", q(LABEL), "h", "'literal'", "has_l AND h IS NOT NULL AND h_ind2 <> ' '"),
+])
+
+
+@query("uniform_titles", f"WITH {_UT_PREP}\n" + finish("R19", _UT_SELS))
+def uniform_titles(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return UT.uniform_titles(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
