@@ -1262,3 +1262,53 @@ _UT_SELS = (_utitle_sels("k2", "W", "T", "L", "") + _utitle_sels("k2", "WT", "TT
 def uniform_titles(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return UT.uniform_titles(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
+
+
+# ---- R08 008 instance fields ------------------------------------------------------------------
+_FI_PREP = f"""{R_CTE},
+h0 AS (SELECT x.record_id, x.c008, r.ruri || '#Instance' AS I, substr(c008, 7, 1) AS dt, substr(c008, 8, 4) AS d1,
+         substr(c008, 12, 4) AS d2raw, CASE WHEN substr(c008, 18, 1) = ' ' THEN substr(c008, 16, 2) ELSE substr(c008, 16, 3) END AS place
+       FROM fx_records x JOIN r USING (record_id) WHERE c008 IS NOT NULL),
+h AS (SELECT *, coalesce(translate(CASE
+    WHEN dt = 'c' THEN d1 || '/..'
+    WHEN dt IN ('d','i','k','m','q','u') OR (dt = '|' AND d1 NOT IN ('    ','||||') AND d2raw NOT IN ('    ','||||')) THEN d1 || '/' || d2raw
+    WHEN dt = 'e' THEN CASE WHEN substr(c008, 14, 2) = '  ' THEN d1 || '-' || substr(c008, 12, 2)
+                            ELSE d1 || '-' || substr(c008, 12, 2) || '-' || substr(c008, 14, 2) END
+    WHEN dt IN ('p','r','s','t') OR (dt = '|' AND d1 NOT IN ('    ','||||')) THEN d1 END, 'uU', 'XX'), '') AS pdate,
+    translate(d2raw, 'uU', 'XX') AS d2,
+    '_:' || record_id || '-0-0-provision008-1' AS P, '_:' || record_id || '-0-0-production008-1' AS P2,
+    '_:' || record_id || '-0-0-note008-1' AS N,
+    CASE WHEN dt IN ('c','d','e','m','q','r','s','t','u','|') THEN 'Publication' WHEN dt IN ('i','k') THEN 'Production'
+         WHEN dt = 'p' THEN 'Distribution' END AS ptype,
+    place <> '' AND place <> '|||' AS has_place, '{X.COUNTRIES}' || place AS PU FROM h0),
+d AS (SELECT * FROM h WHERE pdate <> ''), u AS (SELECT * FROM h WHERE pdate = '' AND has_place)"""
+
+_FI_SELS = [
+    triple_select("d", "I", q(BF + "provisionActivity"), "P", "'bnode'"),
+    triple_select("d", "P", q(BF + "date"), "pdate", "'literal'", datatype=q(X.EDTF)),
+    triple_select("d", "P", q(TYPE), f"'{BF}' || ptype", "'uri'", "ptype IS NOT NULL"),
+    triple_select("d", "P", q(BF + "note"), "P || '-note'", "'bnode'", "dt IN ('i', 'k')"),
+    triple_select("d", "P || '-note'", q(TYPE), q(BF + "Note"), "'uri'", "dt IN ('i', 'k')"),
+    triple_select("d", "P || '-note'", q(LABEL), "CASE WHEN dt = 'i' THEN 'inclusive collection dates' ELSE 'bulk collection dates' END",
+                  "'literal'", "dt IN ('i', 'k')"),
+    triple_select("d", "P", q(BF + "place"), "PU", "'uri'", "has_place"),
+    triple_select("d", "PU", q(TYPE), q(BF + "Place"), "'uri'", "has_place"),
+    triple_select("d", "I", q(BF + "note"), "N", "'bnode'", "dt IN ('c', 'd')"),
+    triple_select("d", "N", q(TYPE), q(BF + "Note"), "'uri'", "dt IN ('c', 'd')"),
+    triple_select("d", "N", q(LABEL), "CASE WHEN dt = 'c' THEN 'Currently published' ELSE 'Ceased publication' END", "'literal'",
+                  "dt IN ('c', 'd')"),
+    triple_select("d", "I", q(BF + "provisionActivity"), "P2", "'bnode'", "dt = 'p'"),
+    triple_select("d", "P2", q(TYPE), q(BF + "Production"), "'uri'", "dt = 'p'"),
+    triple_select("d", "P2", q(BF + "date"), "d2", "'literal'", "dt = 'p'", datatype=q(X.EDTF)),
+    triple_select("d", "I", q(BF + "copyrightDate"), "d2", "'literal'", "dt = 't'", datatype=q(X.EDTF)),
+    triple_select("u", "I", q(BF + "provisionActivity"), "P", "'bnode'"),
+    triple_select("u", "P", q(TYPE), q(BF + "Publication"), "'uri'"),
+    triple_select("u", "P", q(BF + "place"), "PU", "'uri'"),
+    triple_select("u", "PU", q(TYPE), q(BF + "Place"), "'uri'"),
+]
+
+
+@query("fixed_field_instance", f"WITH {_FI_PREP}\n" + finish("R08", _FI_SELS))
+def fixed_field_instance(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return FX.fixed_field_instance(REC.headers_with_uri(fx.fx_records))
