@@ -100,6 +100,9 @@ _NOTE_SF = [
     (569, "522", 1, "a"), (570, "502", 1, "a"), (571, "580", 1, "a"), (572, "588", 1, "a"), (572, "588", 2, "u"),
     (30, "246", 1, "i"), (30, "246", 2, "a"), (30, "246", 3, "b"), (30, "246", 4, "f"), (30, "246", 5, "n"),
     (260, "653", 1, "a"), (260, "653", 2, "a"),
+    (770, "773", 1, "a"), (770, "773", 2, "t"), (770, "773", 3, "e"), (771, "780", 1, "a"), (771, "780", 2, "t"),
+    (772, "785", 1, "t"), (772, "785", 2, "v"), (773, "787", 1, "i"), (773, "787", 2, "t"),
+    (775, "752", 1, "a"), (775, "752", 2, "b"), (775, "752", 3, "d"), (775, "752", 4, "2"),
 ]
 _NOTE_LIST = "\n    UNION ALL ".join(
     (f"SELECT {o} AS ord, '{t}' AS tag, {s} AS sf_ord, '{c}' AS code" if i == 0 else f"SELECT {o}, '{t}', {s}, '{c}'")
@@ -111,8 +114,11 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
     WHEN '028' THEN CASE WHEN l_orderkey % 2 = 0 THEN '2' ELSE '5' END
     WHEN '545' THEN CAST(l_orderkey % 3 AS STRING) WHEN '555' THEN substr(' 08', CAST(l_orderkey % 3 AS INT) + 1, 1)
     WHEN '511' THEN CAST(l_orderkey % 2 AS STRING) ELSE ' ' END AS ind1,
-  CASE t.tag WHEN '246' THEN CAST(l_orderkey % 9 AS STRING) WHEN '653' THEN CAST(l_orderkey % 8 AS STRING) ELSE ' ' END AS ind2, t.sf_ord, t.code,
+  CASE t.tag WHEN '246' THEN CAST(l_orderkey % 9 AS STRING) WHEN '653' THEN CAST(l_orderkey % 8 AS STRING)
+    WHEN '780' THEN CAST(l_orderkey % 8 AS STRING) WHEN '785' THEN CAST((l_orderkey + 3) % 9 AS STRING) ELSE ' ' END AS ind2, t.sf_ord, t.code,
   CASE t.tag || t.code
+    WHEN '773e' THEN 'eng' WHEN '752a' THEN n_name WHEN '752b' THEN 'State ' || CAST(p_size % 7 AS STRING)
+    WHEN '752d' THEN 'City ' || s_name WHEN '7522' THEN 'naf' WHEN '787i' THEN 'Related to:'
     WHEN '653a' THEN CASE WHEN t.sf_ord = 1 THEN 'keyword ' || p_brand ELSE lower(p_type) || '.-' END
     WHEN '246i' THEN 'Cover title:' WHEN '246a' THEN upper(p_name) || ' :' WHEN '246b' THEN p_brand || ' /'
     WHEN '020a' THEN '978' || lpad(CAST(l_orderkey AS STRING), 10, '0') WHEN '020q' THEN '(pbk.) :'

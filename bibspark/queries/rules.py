@@ -1312,3 +1312,87 @@ _FI_SELS = [
 def fixed_field_instance(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return FX.fixed_field_instance(REC.headers_with_uri(fx.fx_records))
+
+
+# ---- R28 linking entries, R27 hierarchical places ------------------------------------------------
+from ..plans import links as LK  # noqa: E402
+
+_LK_TAGS = ", ".join(sorted({f"'{r[0]}'" for r in LK.LINK_PROPERTY}))
+_LK_PREP = f"""{R_CTE},
+{nested_cte('f', f"tag IN ({_LK_TAGS})").replace('fx_subfields', 'fx_notes')},
+g AS (SELECT f.*, coalesce(ex.prop, st.prop) AS lprop, r.ruri || '#Work' AS W, {_MARK} AS m,
+        r.ruri || '#Work' || tag || '-' || CAST(ord AS VARCHAR) AS dflt, {bn('link').replace('record_id', 'f.record_id').replace('CAST(ord', 'CAST(f.ord')} AS B
+      FROM f LEFT JOIN {_vals([r for r in LK.LINK_PROPERTY if r[1] != '*'], 'l_tag, l_ind2, prop', 'ex')} ON ex.l_tag = f.tag AND ex.l_ind2 = f.ind2
+      LEFT JOIN {_vals([r for r in LK.LINK_PROPERTY if r[1] == '*'], 'l_tag, l_ind2, prop', 'st')} ON st.l_tag = f.tag
+      JOIN r ON r.record_id = f.record_id),
+k AS (SELECT g.*, coalesce(nullif(CASE WHEN instr(m, 'T') > 0 THEN NULL WHEN instr(m, 'Q') > 0 THEN {uri_sql("sfs[instr(m, 'Q')].value")} END, ''), dflt) AS L
+      FROM g WHERE lprop IS NOT NULL),
+x AS (SELECT record_id, W, L, B, unnest(sfs) AS x FROM k)"""
+
+
+def _lk(kind):
+    return f"B || '-{kind}-' || CAST(x.sf_ord AS VARCHAR)"
+
+
+_LK_SELS = [
+    triple_select("k", "W", f"'{BF}' || lprop", "L", "'uri'"),
+    triple_select("k", "L", q(TYPE), q(BF + "Work"), "'uri'"),
+    triple_select("x", "L", q(BF + "contribution"), _lk("contribution"), "'bnode'", "x.code = 'a'"),
+    triple_select("x", _lk("contribution"), q(TYPE), q(BFLC + "PrimaryContribution"), "'uri'", "x.code = 'a'"),
+    triple_select("x", _lk("contribution"), q(BF + "agent"), _lk("agent"), "'bnode'", "x.code = 'a'"),
+    triple_select("x", _lk("agent"), q(TYPE), q(BF + "Agent"), "'uri'", "x.code = 'a'"),
+    triple_select("x", _lk("agent"), q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = 'a'"),
+    triple_select("x", "L", q(BF + "title"), _lk("title"), "'bnode'", "x.code = 't'"),
+    triple_select("x", _lk("title"), q(TYPE), q(BF + "Title"), "'uri'", "x.code = 't'"),
+    triple_select("x", _lk("title"), q(BF + "mainTitle"), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = 't'"),
+    triple_select("x", "L", q(BF + "language"), f"'{X.LANGUAGES}' || x.value", "'uri'", "x.code = 'e'"),
+    triple_select("x", f"'{X.LANGUAGES}' || x.value", q(TYPE), q(BF + "Language"), "'uri'", "x.code = 'e'"),
+    triple_select("x", "L", q(BF + "note"), _lk("note"), "'bnode'", "x.code = 'v'"),
+    triple_select("x", _lk("note"), q(TYPE), q(BF + "Note"), "'uri'", "x.code = 'v'"),
+    triple_select("x", _lk("note"), q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = 'v'"),
+    triple_select("x", "L", q(BFLC + "relationship"), _lk("relationship"), "'bnode'", "x.code = 'i'"),
+    triple_select("x", _lk("relationship"), q(TYPE), q(BFLC + "Relationship"), "'uri'", "x.code = 'i'"),
+    triple_select("x", _lk("relationship"), q(BFLC + "relation"), _lk("relation"), "'bnode'", "x.code = 'i'"),
+    triple_select("x", _lk("relation"), q(TYPE), q(BFLC + "Relation"), "'uri'", "x.code = 'i'"),
+    triple_select("x", _lk("relation"), q(LABEL), "rtrim(x.value, '.:,;/ ')", "'literal'", "x.code = 'i'"),
+    triple_select("x", _lk("relationship"), q(BF + "relatedTo"), "W", "'uri'", "x.code = 'i'"),
+]
+
+
+@query("linking_entries", f"WITH {_LK_PREP}\n" + finish("R28", _LK_SELS))
+def linking_entries(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return LK.linking_entries(spark, C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
+
+
+_PC = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LK.PLACE_COMPONENTS)
+_HP_PREP = f"""{R_CTE},
+{nested_cte('f', "tag = '752'").replace('fx_subfields', 'fx_notes')},
+g AS (SELECT f.*, r.ruri || '#Work' AS W, {_MARK} AS m, {bn('place')} AS dflt,
+        list_filter(sfs, lambda s: s.code IN ('a','b','c','d','f','g','h')) AS comps FROM f JOIN r USING (record_id)),
+k AS (SELECT g.*, coalesce(nullif(CASE WHEN instr(m, 'T') > 0 THEN NULL WHEN instr(m, 'Q') > 0 THEN {uri_sql("sfs[instr(m, 'Q')].value")} END, ''), dflt) AS P,
+        len(comps) AS n FROM g),
+cx AS (SELECT record_id, P, n, generate_subscripts(comps, 1) AS i, unnest(comps) AS x FROM k),
+sx AS (SELECT record_id, P, unnest(list_filter(sfs, lambda s: s.code = '2')) AS x FROM k)"""
+
+_HL = "P || '-list-' || CAST(i AS VARCHAR)"
+_HC = "P || '-component-' || CAST(i AS VARCHAR)"
+_HP_SELS = [
+    triple_select("k", "W", q(BF + "place"), "P", "CASE WHEN starts_with(P, '_:') THEN 'bnode' ELSE 'uri' END"),
+    triple_select("k", "P", q(TYPE), q(BF + "Place"), "'uri'"),
+    triple_select("k", "P", q(X.MADSRDF + "componentList"), "P || '-list-1'", "'bnode'", "n > 0"),
+    triple_select("cx", _HL, q(RDF + "first"), _HC, "'bnode'"),
+    triple_select("cx", _HL, q(RDF + "rest"), f"CASE WHEN i < n THEN P || '-list-' || CAST(i + 1 AS VARCHAR) ELSE {q(RDF + 'nil')} END",
+                  "CASE WHEN i < n THEN 'bnode' ELSE 'uri' END"),
+    triple_select("cx", _HC, q(TYPE), f"'{X.MADSRDF}' || CASE x.code {_PC} END", "'uri'"),
+    triple_select("cx", _HC, q(X.MADSRDF + "authoritativeLabel"), "x.value"),
+    triple_select("sx", "P", q(BF + "source"), "P || '-source-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'"),
+    triple_select("sx", "P || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Source"), "'uri'"),
+    triple_select("sx", "P || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "x.value"),
+]
+
+
+@query("hierarchical_places", f"WITH {_HP_PREP}\n" + finish("R27", _HP_SELS))
+def hierarchical_places(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return LK.hierarchical_places(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
