@@ -1396,3 +1396,28 @@ _HP_SELS = [
 def hierarchical_places(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return LK.hierarchical_places(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
+
+
+# ---- J01 048 instrument lookup -------------------------------------------------------------------
+from ..plans import instruments as INS  # noqa: E402
+
+
+@query("lookup_instrument", f"""WITH {R_CTE},
+s AS (SELECT x.*, substr(value, 1, 2) AS code2, substr(value, 3, 2) AS cnt0 FROM fx_notes x
+      WHERE tag = '048' AND ind2 = ' ' AND code IN ('a', 'b')),
+j AS (SELECT s.record_id, ic.*, s.cnt0, CASE WHEN TRY_CAST(trim(s.cnt0) AS INT) IS NOT NULL
+        THEN CAST(TRY_CAST(trim(s.cnt0) AS INT) AS VARCHAR) ELSE 'NaN' END AS cnt,
+        '_:' || s.record_id || '-' || CAST(s.ord AS VARCHAR) || '-' || CAST(s.sf_ord AS VARCHAR) || '-instrument-1' AS N,
+        r.ruri || '#Work' AS W
+      FROM s JOIN {_vals(INS.instrument_codes(), 'i_code, prop, entity, tprop, itype, label', 'ic')} ON ic.i_code = s.code2
+      JOIN r ON r.record_id = s.record_id)
+""" + finish("R10", [
+    triple_select("j", "W", f"'{BF}' || prop", "N", "'bnode'"),
+    triple_select("j", "N", q(TYPE), f"'{BF}' || entity", "'uri'"),
+    triple_select("j", "N", f"'{BF}' || tprop", "itype"),
+    triple_select("j", "N", q(LABEL), "label", "'literal'", "label IS NOT NULL"),
+    triple_select("j", "N", q(BF + "count"), "cnt", "'literal'", "cnt0 <> ''"),
+]))
+def lookup_instrument(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return INS.instruments(spark, fx.fx_notes, ruris(fx))
