@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # --- fixed values that must equal the conversion rules --------------------
 PUNCT = ".:,;/ "            # default chopPunctuation set
 URL_SAFE = "!'()*-.0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz~"
+URL_UNSAFE_ASCII = "".join(chr(c) for c in range(32, 127) if chr(c) not in URL_SAFE)
 BF = "http://id.loc.gov/ontologies/bibframe/"
 BFLC = "http://id.loc.gov/ontologies/bflc/"
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
@@ -74,15 +75,18 @@ def edtf_format(s) -> Column:
 
 
 def url_encode(s) -> Column:
-    """ASCII percent-encoding; non-ASCII (and control) chars become %3F."""
-    chars = F.split(_c(s), "")
-    enc = F.transform(
-        chars,
-        lambda c: F.when(F.instr(F.lit(URL_SAFE), c) > 0, c)
-        .when(F.ascii(c).between(32, 126), F.concat(F.lit("%"), F.hex(c)))
-        .otherwise(F.lit("%3F")),
-    )
-    return F.array_join(enc, "")
+    """ASCII percent-encoding; non-ASCII (and control) chars become %3F.
+
+    Closed form: '%' first, then every other unsafe printable ASCII char, then one
+    regex for everything outside printable ASCII (one code point at a time, as the
+    recursive rule).  All steps are code-generated string replaces; the inserted text
+    is never re-encoded because '%' is handled before anything inserts one.
+    """
+    out = F.replace(_c(s), F.lit("%"), F.lit("%25"))
+    for ch in URL_UNSAFE_ASCII:
+        if ch != "%":
+            out = F.replace(out, F.lit(ch), F.lit("%%%02X" % ord(ch)))
+    return F.regexp_replace(out, r"[^\x20-\x7E]", "%3F")
 
 
 def lcc_valid(s) -> Column:

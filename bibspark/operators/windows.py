@@ -104,16 +104,30 @@ def translation_language(subfields: DataFrame) -> DataFrame:
 
 def next_field_holding(fields: DataFrame) -> DataFrame:
     """A 533 (534) takes the immediately following field as holding when it
-    is a 535 (or an 880 linked to 535) with ind1=2 (ind1=1 for 534 per the rule)."""
+    is a 535 (or an 880 linked to 535) with ind1=2 (ind1=1 for 534 per the rule).
+
+    ``fields`` needs record_id, ord, tag, ind1 and either ``sf6`` or nested ``sfs``;
+    :func:`field_heads` builds the lean form from flat subfields (a plain hash
+    aggregate, no arrays), then one window per record.
+    """
+    if "sf6" not in fields.columns:
+        fields = fields.withColumn("sf6", C.first_value(F.col("sfs"), "6"))
     w = Window.partitionBy("record_id").orderBy("ord")
-    nxt = F.lead(F.struct("ord", "tag", "ind1", F.col("sf6").alias("sf6"))).over(w)
-    f = fields.withColumn("sf6", C.first_value(F.col("sfs"), "6")).withColumn("nxt", nxt)
+    f = fields.select("record_id", "ord", "tag", "ind1", "sf6") \
+        .withColumn("nxt", F.lead(F.struct("ord", "tag", "ind1", "sf6")).over(w))
     is535 = (F.col("nxt.tag") == "535") | ((F.col("nxt.tag") == "880") & F.col("nxt.sf6").startswith("535"))
     ok = is535 & (F.col("nxt.ind1") == F.when(F.col("tag") == "533", F.lit("2")).otherwise(F.lit("1")))
     return f.where(F.col("tag").isin("533", "534")).select(
         "record_id", "ord", "tag", F.when(ok, F.col("nxt.ord")).alias("holding_ord"))
 
 
+def field_heads(subfields: DataFrame) -> DataFrame:
+    """One row per field: (record_id, ord, tag, ind1, sf6) from flat subfields."""
+    return subfields.groupBy("record_id", "ord", "tag", "ind1").agg(
+        F.min(F.when(F.col("code") == "6", F.struct("sf_ord", "value"))).alias("_s6")) \
+        .select("record_id", "ord", "tag", "ind1", F.col("_s6.value").alias("sf6"))
+
+
 def rda_pairs(subfields: DataFrame) -> DataFrame:
     """J08 (336-338): each $b a resource labelled by an immediately preceding $a and
     identified by an immediately following $0; each $a not followed by $b a label

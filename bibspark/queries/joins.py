@@ -115,7 +115,7 @@ SELECT record_id, ord, tag,
         AND n_ind1 = CASE WHEN tag = '533' THEN '2' ELSE '1' END THEN n_ord END AS holding_ord
 FROM n WHERE tag IN ('533', '534')""")
 def next_field_holding(spark, sf_dir):
-    return W.next_field_holding(_nested(spark, sf_dir))
+    return W.next_field_holding(W.field_heads(_all(spark, sf_dir)))
 
 
 @query("rda_pairs", """
