@@ -13,7 +13,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from .fixture_sql import FIXTURE_SQL
-from .session import TABLES
+from .session import TABLES, scratch_path
+
+# fixtures read by many queries: written once per session as tables in the shared
+# folder (spark.checkpoint.dir) and read back, instead of re-deriving them per query
+MATERIALIZE = {"fx_lines", "fx_subfields", "fx_more", "fx_notes", "fx_records"}
+_WRITTEN: dict[tuple[int, str, str], str] = {}
 
 _FX_NAME = re.compile(r"\bfx_[a-z0-9_]+\b")
 
@@ -51,9 +56,11 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
 class Fixtures:
     """Lazily registered fixtures of one scale factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        from . import fixture_more  # noqa: F401  (registers the extra fixtures)
         self.spark = spark
         self.sf_dir = sf_dir
+        self.materialize = materialize
         register_tables(spark, sf_dir)
         self._done: set[str] = set()
 
@@ -63,10 +70,22 @@ class Fixtures:
     def __getitem__(self, name: str) -> DataFrame:
         for n in _closure({name}):
             if n not in self._done:
-                self.spark.sql(FIXTURE_SQL[n]).createOrReplaceTempView(n)
+                self._register(n)
                 self._done.add(n)
         return self.spark.table(name)
 
+    def _register(self, n: str) -> None:
+        df = self.spark.sql(FIXTURE_SQL[n])
+        if self.materialize and n in MATERIALIZE:
+            key = (id(self.spark), self.sf_dir, n)
+            path = _WRITTEN.get(key)
+            if path is None:
+                path = scratch_path(self.spark, f"fixture-{n}")
+                df.write.mode("overwrite").parquet(path)
+                _WRITTEN[key] = path
+            df = self.spark.read.parquet(path)
+        df.createOrReplaceTempView(n)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_"):
             return self[name]
