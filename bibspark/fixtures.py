@@ -58,6 +58,8 @@ class Fixtures:
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         from . import fixture_more  # noqa: F401  (registers the extra fixtures)
+        from .queries import load_all
+        load_all()  # query modules register the fixtures they introduce
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize

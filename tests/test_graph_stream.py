@@ -45,3 +45,23 @@ def test_no_python_udf_in_plans(spark):
     for name in ["contributions", "record_graph", "series_match", "url_encode", "naco_key", "timing_summary"]:
         plan = q[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_stream_routes_bad_frames_to_rejects(spark):
+    from bibspark.operators import decode as D
+    from bibspark.session import scratch_path
+    from bibspark.sources import frames as FR
+    from bibspark.streaming import convert as S
+    fx = Fixtures(spark, SF_SMALL)
+    bad = fx.fx_bad_frames
+    src, out, rej, ck = (scratch_path(spark, n) for n in ("bad-in", "fields", "rejects", "ckpt"))
+    body = F.when(F.col("frame").endswith("\x1d"), F.expr("substr(frame, 1, length(frame) - 1)")).otherwise(F.col("frame"))
+    bad.select(body.alias("value")).repartition(3).write.option("lineSep", "\x1d").text(src)
+    counters = {}
+    S.run_available(S.file_frames(spark, src, max_files=1), None, ck,
+                    foreach_batch=S.convert_batch(out, rej, counters=counters))
+    expected_bad = FR.split_frames(bad, "frame", keep=["k"]).where(D.frame_status("frame").isNotNull()).count()
+    assert spark.read.parquet(rej).count() == expected_bad
+    good_frames = bad.count() - expected_bad
+    assert sum(m["frames"] for m in counters.values()) == good_frames
+    assert spark.read.parquet(out).select("record_id").distinct().count() == good_frames
