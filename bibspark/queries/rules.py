@@ -773,12 +773,21 @@ def physical_007_work(spark, sf_dir):
 @query("physical_007_instance", f"""WITH {R_CTE},
 h AS (SELECT x.*, r.ruri || '#Instance' AS I, substr(c007, 1, 1) AS cat FROM fx_records x JOIN r USING (record_id) WHERE c007 IS NOT NULL),
 e AS (SELECT * FROM h WHERE cat = 'c' AND substr(leader, 7, 1) <> 'm'),
-m AS (SELECT h.*, '{PH.MEDIA}' || md.media AS U FROM h JOIN {V.values_sql(PH.MEDIA_007, 'm_cat, media').replace(' AS v(', ' AS md(')}
-      ON md.m_cat = h.cat WHERE h.record_id NOT IN (SELECT record_id FROM fx_all WHERE tag = '337'))
+m AS (SELECT h.*, '{PH.MEDIA}' || md.media AS U, md.m_label FROM h
+      JOIN {V.values_sql(PH.MEDIA_007, 'm_cat, media, m_label').replace(' AS v(', ' AS md(')} ON md.m_cat = h.cat
+      WHERE h.record_id NOT IN (SELECT record_id FROM fx_all WHERE tag = '337')),
+c AS (SELECT h.*, '{PH.CARRIERS}' || cr.c_uri AS N, cr.c_label FROM h
+      JOIN {V.values_sql(PH.CARRIER_007, 'c_cat, code, c_label, c_uri').replace(' AS v(', ' AS cr(')}
+      ON cr.c_cat = h.cat AND cr.code = substr(h.c007, 2, 1)
+      WHERE h.record_id NOT IN (SELECT record_id FROM fx_all WHERE tag = '338'))
 """ + finish("R05", [
     triple_select("e", "I", q(TYPE), q(BF + "Electronic"), "'uri'"),
     triple_select("m", "I", q(BF + "media"), "U", "'uri'"),
     triple_select("m", "U", q(TYPE), q(BF + "Media"), "'uri'"),
+    triple_select("m", "U", q(LABEL), "m_label"),
+    triple_select("c", "I", q(BF + "carrier"), "N", "'uri'"),
+    triple_select("c", "N", q(TYPE), q(BF + "Carrier"), "'uri'"),
+    triple_select("c", "N", q(LABEL), "c_label", "'literal'", "c_label IS NOT NULL"),
 ]))
 def physical_007_instance(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
