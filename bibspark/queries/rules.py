@@ -723,23 +723,25 @@ def lookup_audience(spark, sf_dir):
 
 
 @query("lookup_genre", f"""WITH {_LOOKUP_CTE}
-SELECT record_id, list, pos, uri, label FROM hits WHERE list IN ('marcgt', 'litform', 'bioform', 'govdoc', 'conference', 'festschrift')""")
+SELECT record_id, list, pos, uri, label FROM hits
+WHERE list IN ('marcgt', 'litform', 'bioform', 'govdoc', 'conference', 'festschrift', 'computerfile', 'mapform', 'visualtype')""")
 def lookup_genre(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    lists = ("marcgt", "litform", "bioform", "govdoc", "conference", "festschrift")
+    lists = ("marcgt", "litform", "bioform", "govdoc", "conference", "festschrift", "computerfile", "mapform", "visualtype")
     return FX.lookups(spark, REC.headers_with_uri(fx.fx_records), lists).select("record_id", "list", "pos", "uri", "label")
 
 
 @query("fixed_field_work", f"""WITH {_LOOKUP_CTE},
 lg AS (SELECT x.record_id, r.ruri || '#Work' AS W, '{X.LANGUAGES}' || substr(x.c008, 36, 3) AS L FROM fx_records x JOIN r USING (record_id)
        WHERE x.c008 IS NOT NULL AND substr(x.c008, 36, 3) NOT IN ('   ', '|||')),
-hh AS (SELECT *, ruri || '#Work' AS W FROM hits)
+hh AS (SELECT *, ruri || '#Work' AS W, coalesce(uri, '_:' || record_id || '-008-' || CAST(pos AS VARCHAR) || '-' || list) AS U,
+        CASE WHEN uri IS NULL THEN 'bnode' ELSE 'uri' END AS K FROM hits)
 """ + finish("R07", [
     triple_select("hh", "W", f"CASE WHEN list = 'audience' THEN {q(BF + 'intendedAudience')} ELSE {q(BF + 'genreForm')} END",
-                  "uri", "'uri'"),
-    triple_select("hh", "uri", q(TYPE), f"CASE WHEN list = 'audience' THEN {q(BF + 'IntendedAudience')} ELSE {q(BF + 'GenreForm')} END",
+                  "U", "K"),
+    triple_select("hh", "U", q(TYPE), f"CASE WHEN list = 'audience' THEN {q(BF + 'IntendedAudience')} ELSE {q(BF + 'GenreForm')} END",
                   "'uri'"),
-    triple_select("hh", "uri", q(LABEL), "label"),
+    triple_select("hh", "U", q(LABEL), "label"),
     triple_select("lg", "W", q(BF + "language"), "L", "'uri'"),
     triple_select("lg", "L", q(TYPE), q(BF + "Language"), "'uri'"),
 ]))
