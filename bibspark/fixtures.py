@@ -88,6 +88,21 @@ class Fixtures:
             df = self.spark.read.parquet(path)
         df.createOrReplaceTempView(n)
 
+    def nested(self, source: str) -> DataFrame:
+        """Fields of a flat subfield source nested once per session (one shuffle by field),
+        with the effective tag, written to the shared folder; rule jobs read this table."""
+        from .plans import common as C
+        key = (id(self.spark), self.sf_dir, f"nested:{source}")
+        path = _WRITTEN.get(key) if self.materialize else None
+        if path is None:
+            df = C.with_eff_tag(C.nest_fields(self[source]))
+            if not self.materialize:
+                return df
+            path = scratch_path(self.spark, f"nested-{source}")
+            df.write.mode("overwrite").parquet(path)
+            _WRITTEN[key] = path
+        return self.spark.read.parquet(path)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_"):
             return self[name]

@@ -20,7 +20,7 @@ def _all(spark, sf_dir):
 
 
 def _nested(spark, sf_dir):
-    return C.nest_fields(_all(spark, sf_dir))
+    return Fixtures(spark, sf_dir).nested("fx_all")
 
 
 def _label_sql(codes: str, src: str = "fx_all", where: str = "TRUE") -> str:
@@ -238,7 +238,7 @@ SELECT record_id, ord, tag, own AS own_item,
 FROM g JOIN r USING (record_id)""")
 def item_grouping(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return W.item_grouping(C.nest_fields(fx.fx_all), C.record_uris(fx.fx_records))
+    return W.item_grouping(fx.nested("fx_all"), C.record_uris(fx.fx_records))
 
 
 @query("subject_label", """

@@ -16,7 +16,7 @@ TYPE, LABEL = RDF + "type", RDFS + "label"
 
 
 def nested(fx: Fixtures):
-    return C.with_eff_tag(C.nest_fields(fx.fx_subfields))
+    return fx.nested("fx_subfields")
 
 
 def ruris(fx: Fixtures):
@@ -245,7 +245,7 @@ UNION ALL SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_no
 @query("instance_notes", f"WITH {_INOTE_PREP}\n" + finish("R23", _INOTE_SELS))
 def instance_notes(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return RT.instance_notes(spark, C.nest_fields(fx.fx_allnotes), _uris(fx))
+    return RT.instance_notes(spark, fx.nested("fx_allnotes"), _uris(fx))
 
 
 _WN_SF = [(t, c, "work", p, k) for t, c, p, k in RT.WORK_NOTE_SUBFIELDS]
@@ -269,7 +269,7 @@ _WNOTE_SELS = _WN_SELS + [
 @query("work_notes", f"WITH {_WNOTE_PREP}\n" + finish("R22", _WNOTE_SELS))
 def work_notes(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return RT.work_notes(spark, C.nest_fields(fx.fx_notes), fx.fx_notes, _uris(fx))
+    return RT.work_notes(spark, fx.nested("fx_notes"), fx.fx_notes, _uris(fx))
 
 
 _ID_TAGS = ", ".join(sorted({f"'{r[0]}'" for r in RT.IDENTIFIER_CLASS}))
@@ -304,7 +304,7 @@ _IDS_SELS = [
 @query("instance_ids", f"WITH {_IDS_PREP}\n" + finish("R11", _IDS_SELS))
 def instance_ids(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return RT.instance_ids(spark, fx.fx_notes, C.nest_fields(fx.fx_notes), _uris(fx))
+    return RT.instance_ids(spark, fx.fx_notes, fx.nested("fx_notes"), _uris(fx))
 
 
 # ---- R18 titles ------------------------------------------------------------------
@@ -347,7 +347,7 @@ _T245_SELS = [
 @query("title_parts", f"WITH {_T245_PREP}\n" + finish("R18", _T245_SELS))
 def title_parts(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return TI.title_245(C.nest_fields(fx.fx_subfields), ruris(fx))
+    return TI.title_245(fx.nested("fx_subfields"), ruris(fx))
 
 
 _VT = " ".join(f"WHEN '{k}' THEN {q(v)}" for k, v in TI.VARIANT_246)
@@ -375,7 +375,7 @@ _T246_SELS = [
 @query("variant_titles", f"WITH {_T246_PREP}\n" + finish("R18", _T246_SELS))
 def variant_titles(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return TI.variant_246(C.nest_fields(fx.fx_notes), ruris(fx))
+    return TI.variant_246(fx.nested("fx_notes"), ruris(fx))
 
 
 # ---- R16 agent keys ----------------------------------------------------------------
@@ -615,7 +615,7 @@ _KW_SELS = [
 @query("keywords", f"WITH {_KW_PREP}\n" + finish("R26", _KW_SELS))
 def keywords(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return SU.keywords(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
+    return SU.keywords(fx.nested("fx_notes"), ruris(fx))
 
 
 # ---- X09 entity URIs, X18 sort keys, X20 script language tags ----------------------------
@@ -638,7 +638,7 @@ SELECT record_id, ord, tag,
 FROM v""")
 def entity_uri(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    f = C.nest_fields(fx.fx_all.where(F.col("tag").isin("100", "600", "700"))).join(ruris(fx), "record_id")
+    f = fx.nested("fx_all").where(F.col("tag").isin("100", "600", "700")).join(ruris(fx), "record_id")
     f = f.withColumn("m", _marks(F.col("sfs")))
     d = F.concat(F.col("ruri"), F.lit("#Agent"), F.col("tag"), F.lit("-"), F.col("ord").cast("string"))
     dw = F.concat(F.col("ruri"), F.lit("#Work"), F.col("tag"), F.lit("-"), F.col("ord").cast("string"))
@@ -908,7 +908,7 @@ _HOLD_SELS = [
 @query("holdings", f"WITH {_HOLD_PREP}\n" + finish("R29", _HOLD_SELS))
 def holdings(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return HO.holdings(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
+    return HO.holdings(fx.nested("fx_all"), ruris(fx))
 
 
 # ---- R25 reproductions -------------------------------------------------------------------
@@ -962,7 +962,7 @@ _REPRO_SELS = [
 @query("reproductions", f"WITH {_REPRO_PREP}\n" + finish("R25", _REPRO_SELS))
 def reproductions(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return CP.reproductions(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
+    return CP.reproductions(fx.nested("fx_all"), ruris(fx))
 
 
 # ---- R32 alternate script (880 linked to 245) -------------------------------------------
@@ -1107,7 +1107,7 @@ _CAP_SELS = [
 @query("capture_events", f"WITH {_CAP_PREP}\n" + finish("R10", _CAP_SELS))
 def capture_events(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return CAP.capture_events(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
+    return CAP.capture_events(fx.nested("fx_all"), ruris(fx))
 
 
 # ---- R12 acquisition ----------------------------------------------------------------------------
@@ -1150,7 +1150,7 @@ _ACQ_SELS = [
 @query("acquisition", f"WITH {_ACQ_PREP}\n" + finish("R12", _ACQ_SELS))
 def acquisition(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return ACQ.acquisition(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
+    return ACQ.acquisition(fx.nested("fx_notes"), ruris(fx))
 
 
 # ---- R17 subject names -------------------------------------------------------------------------
@@ -1215,7 +1215,7 @@ _SN_SELS = [
 @query("subject_names", f"WITH {_SN_PREP}\n" + finish("R17", _SN_SELS))
 def subject_names(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return N.subject_names(spark, ruris(fx), C.with_eff_tag(C.nest_fields(fx.fx_all)))
+    return N.subject_names(spark, ruris(fx), fx.nested("fx_all"))
 
 
 # ---- R19 uniform titles ---------------------------------------------------------------------------
@@ -1272,7 +1272,7 @@ _UT_SELS = (_utitle_sels("k2", "W", "T", "L", "") + _utitle_sels("k2", "WT", "TT
 @query("uniform_titles", f"WITH {_UT_PREP}\n" + finish("R19", _UT_SELS))
 def uniform_titles(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return UT.uniform_titles(C.with_eff_tag(C.nest_fields(fx.fx_all)), ruris(fx))
+    return UT.uniform_titles(fx.nested("fx_all"), ruris(fx))
 
 
 # ---- R08 008 instance fields ------------------------------------------------------------------
@@ -1373,7 +1373,7 @@ _LK_SELS = [
 @query("linking_entries", f"WITH {_LK_PREP}\n" + finish("R28", _LK_SELS))
 def linking_entries(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return LK.linking_entries(spark, C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
+    return LK.linking_entries(spark, fx.nested("fx_notes"), ruris(fx))
 
 
 _PC = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LK.PLACE_COMPONENTS)
@@ -1406,7 +1406,7 @@ _HP_SELS = [
 @query("hierarchical_places", f"WITH {_HP_PREP}\n" + finish("R27", _HP_SELS))
 def hierarchical_places(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return LK.hierarchical_places(C.with_eff_tag(C.nest_fields(fx.fx_notes)), ruris(fx))
+    return LK.hierarchical_places(fx.nested("fx_notes"), ruris(fx))
 
 
 # ---- J01 048 instrument lookup -------------------------------------------------------------------
