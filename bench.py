@@ -41,6 +41,8 @@ def main() -> None:
     fx = Fixtures(spark, sf_dir)
     for name in sorted(MATERIALIZE):
         fx[name]
+    for source in ("fx_subfields", "fx_all", "fx_notes"):
+        fx.nested(source)
     fixture_build = round(time.time() - t0, 3)
     times: dict[str, float] = {}
     for n in names:
