@@ -96,6 +96,8 @@ class Fixtures:
         path = _WRITTEN.get(key) if self.materialize else None
         if path is None:
             df = C.with_eff_tag(C.nest_fields(self[source]))
+            # the record URI rides along, so rule jobs need no join for it
+            df = df.join(C.record_uris(self["fx_records"]), "record_id")
             if not self.materialize:
                 return df
             path = scratch_path(self.spark, f"nested-{source}")

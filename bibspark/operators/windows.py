@@ -261,7 +261,7 @@ def class_items(subfields: DataFrame, tags=("050", "060", "082", "084")) -> Data
 def item_grouping(fields: DataFrame, records: DataFrame) -> DataFrame:
     """541/561/563/583 without $3/$5 merge into one item named by the first;
     those with $3/$5 are their own items."""
-    f = fields.where(F.col("tag").isin("541", "561", "563", "583")).join(records, "record_id")
+    f = C.with_uri(fields.where(F.col("tag").isin("541", "561", "563", "583")), records)
     own = F.exists("sfs", lambda s: s["code"].isin("3", "5"))
     w = Window.partitionBy("record_id", own).orderBy("ord")
     first = F.first(F.struct("tag", "ord")).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))

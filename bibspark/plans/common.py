@@ -80,6 +80,14 @@ def record_uris(records: DataFrame, id_col: str = "c001", base: str = BASE_URI)
     return records.select("record_id", F.concat(F.lit(base), X.url_encode(id_col)).alias("ruri"))
 
 
+def with_uri(fields: DataFrame, uris: DataFrame) -> DataFrame:
+    """Attach the record URI unless the fields already carry it (nested once per
+    session with the URI, or decoded from frames with it): no join per rule then."""
+    if "ruri" in fields.columns:
+        return fields
+    return fields.join(uris.select("record_id", "ruri"), "record_id")
+
+
 def mint_record_id(fields: DataFrame, idfield: str = "001", base: str = BASE_URI) -> DataFrame:
     """F05 recordid: the id field must occur exactly once, else a generated id.
 

@@ -638,7 +638,7 @@ SELECT record_id, ord, tag,
 FROM v""")
 def entity_uri(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    f = fx.nested("fx_all").where(F.col("tag").isin("100", "600", "700")).join(ruris(fx), "record_id")
+    f = C.with_uri(fx.nested("fx_all").where(F.col("tag").isin("100", "600", "700")), ruris(fx))
     f = f.withColumn("m", _marks(F.col("sfs")))
     d = F.concat(F.col("ruri"), F.lit("#Agent"), F.col("tag"), F.lit("-"), F.col("ord").cast("string"))
     dw = F.concat(F.col("ruri"), F.lit("#Work"), F.col("tag"), F.lit("-"), F.col("ord").cast("string"))
