@@ -692,9 +692,9 @@ from ..plans import fixed as FX  # noqa: E402
 from ..plans import record as REC  # noqa: E402
 
 
-def _cand_sql() -> str:
+def _cand_sql(reads_by_material=None) -> str:
     rows = []
-    for mat, reads in FX.MATERIAL_READS.items():
+    for mat, reads in (reads_by_material or FX.MATERIAL_READS).items():
         for lst, pos, width, xkeys in reads:
             for k in range(width):
                 rows.append((mat, lst, str(pos + k), "1" if xkeys else "0"))
@@ -1292,7 +1292,14 @@ h AS (SELECT *, coalesce(translate(CASE
     CASE WHEN dt IN ('c','d','e','m','q','r','s','t','u','|') THEN 'Publication' WHEN dt IN ('i','k') THEN 'Production'
          WHEN dt = 'p' THEN 'Distribution' END AS ptype,
     place <> '' AND place <> '|||' AS has_place, '{X.COUNTRIES}' || place AS PU FROM h0),
-d AS (SELECT * FROM h WHERE pdate <> ''), u AS (SELECT * FROM h WHERE pdate = '' AND has_place)"""
+d AS (SELECT * FROM h WHERE pdate <> ''), u AS (SELECT * FROM h WHERE pdate = '' AND has_place),
+ih AS (SELECT x.record_id, x.c008, r.ruri, {_MAT_SQL} AS material FROM fx_records x JOIN r USING (record_id)),
+ic AS (SELECT ih.record_id, ih.ruri, mr.list, CAST(mr.pos AS INT) AS pos, substr(substr(ih.c008, 19, 17), CAST(mr.pos AS INT), 1) AS key
+       FROM ih JOIN {_cand_sql(FX.INSTANCE_READS)} ON mr.material = ih.material),
+ihits AS (SELECT ic.*, v.uri, v.label, ic.ruri || '#Instance' AS I,
+            coalesce(v.uri, '_:' || ic.record_id || '-008i-' || CAST(ic.pos AS VARCHAR) || '-' || ic.list) AS U,
+            CASE WHEN v.uri IS NULL THEN 'bnode' ELSE 'uri' END AS K
+          FROM ic JOIN {V.values_sql(FX.INSTANCE_LISTS, 'v_list, v_key, uri, label')} ON v.v_list = ic.list AND v.v_key = ic.key)"""
 
 _FI_SELS = [
     triple_select("d", "I", q(BF + "provisionActivity"), "P", "'bnode'"),
@@ -1316,13 +1323,18 @@ _FI_SELS = [
     triple_select("u", "P", q(TYPE), q(BF + "Publication"), "'uri'"),
     triple_select("u", "P", q(BF + "place"), "PU", "'uri'"),
     triple_select("u", "PU", q(TYPE), q(BF + "Place"), "'uri'"),
+    triple_select("ihits", "I", f"CASE list WHEN 'millus' THEN {q(BF + 'illustrativeContent')} WHEN 'carrier' THEN {q(BF + 'carrier')} "
+                  f"ELSE {q(BF + 'supplementaryContent')} END", "U", "K"),
+    triple_select("ihits", "U", q(TYPE), f"CASE list WHEN 'millus' THEN {q(BF + 'Illustration')} WHEN 'carrier' THEN {q(BF + 'Carrier')} "
+                  f"ELSE {q(BF + 'SupplementaryContent')} END", "'uri'"),
+    triple_select("ihits", "U", q(LABEL), "label"),
 ]
 
 
 @query("fixed_field_instance", f"WITH {_FI_PREP}\n" + finish("R08", _FI_SELS))
 def fixed_field_instance(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return FX.fixed_field_instance(REC.headers_with_uri(fx.fx_records))
+    return FX.fixed_field_instance(REC.headers_with_uri(fx.fx_records), spark)
 
 
 # ---- R28 linking entries, R27 hierarchical places ------------------------------------------------
