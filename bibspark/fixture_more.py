@@ -104,6 +104,7 @@ _NOTE_SF = [
     (772, "785", 1, "t"), (772, "785", 2, "v"), (773, "787", 1, "i"), (773, "787", 2, "t"),
     (775, "752", 1, "a"), (775, "752", 2, "b"), (775, "752", 3, "d"), (775, "752", 4, "2"),
     (27, "048", 1, "a"), (27, "048", 2, "b"),
+    (28, "082", 1, "a"), (28, "082", 2, "b"), (28, "082", 3, "2"),
 ]
 _NOTE_LIST = "\n    UNION ALL ".join(
     (f"SELECT {o} AS ord, '{t}' AS tag, {s} AS sf_ord, '{c}' AS code" if i == 0 else f"SELECT {o}, '{t}', {s}, '{c}'")
@@ -114,14 +115,18 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
   CASE t.tag WHEN '024' THEN substr('0127', CAST(l_orderkey % 4 AS INT) + 1, 1)
     WHEN '028' THEN CASE WHEN l_orderkey % 2 = 0 THEN '2' ELSE '5' END
     WHEN '545' THEN CAST(l_orderkey % 3 AS STRING) WHEN '555' THEN substr(' 08', CAST(l_orderkey % 3 AS INT) + 1, 1)
-    WHEN '511' THEN CAST(l_orderkey % 2 AS STRING) ELSE ' ' END AS ind1,
+    WHEN '511' THEN CAST(l_orderkey % 2 AS STRING) WHEN '082' THEN substr('01 ', CAST(l_orderkey % 3 AS INT) + 1, 1)
+    ELSE ' ' END AS ind1,
   CASE t.tag WHEN '246' THEN CAST(l_orderkey % 9 AS STRING) WHEN '653' THEN CAST(l_orderkey % 8 AS STRING)
     WHEN '048' THEN CASE WHEN l_orderkey % 5 = 0 THEN '7' ELSE ' ' END
+    WHEN '082' THEN CASE WHEN l_orderkey % 2 = 0 THEN '0' ELSE '4' END
     WHEN '780' THEN CAST(l_orderkey % 8 AS STRING) WHEN '785' THEN CAST((l_orderkey + 3) % 9 AS STRING) ELSE ' ' END AS ind2, t.sf_ord, t.code,
   CASE t.tag || t.code
     WHEN '048a' THEN substr('bkswvocetp', CAST(l_orderkey % 10 AS INT) + 1, 1) || substr('abcdnuyz', CAST(p_size % 8 AS INT) + 1, 1)
       || CASE WHEN l_orderkey % 7 = 0 THEN '' ELSE lpad(CAST(p_size % 12 AS STRING), 2, '0') END
     WHEN '048b' THEN CASE WHEN l_orderkey % 3 = 0 THEN 'zz01' ELSE 'va' || CASE WHEN l_orderkey % 4 = 0 THEN 'x' ELSE '02' END END
+    WHEN '082a' THEN CAST(p_size * 7 AS STRING) || '.' || CAST(l_orderkey % 100 AS STRING) WHEN '082b' THEN 'B' || CAST(p_size AS STRING)
+    WHEN '0822' THEN CAST(20 + l_orderkey % 4 AS STRING)
     WHEN '773e' THEN 'eng' WHEN '752a' THEN n_name WHEN '752b' THEN 'State ' || CAST(p_size % 7 AS STRING)
     WHEN '752d' THEN 'City ' || s_name WHEN '7522' THEN 'naf' WHEN '787i' THEN 'Related to:'
     WHEN '653a' THEN CASE WHEN t.sf_ord = 1 THEN 'keyword ' || p_brand ELSE lower(p_type) || '.-' END

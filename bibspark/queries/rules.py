@@ -1444,3 +1444,45 @@ j AS (SELECT s.record_id, ic.*, s.cnt0, CASE WHEN TRY_CAST(trim(s.cnt0) AS INT)
 def lookup_instrument(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return INS.instruments(spark, fx.fx_notes, ruris(fx))
+
+
+# ---- R13 classification -----------------------------------------------------------------------------
+from ..plans import classification as CL  # noqa: E402
+
+register_extra("fx_class", """
+SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_more WHERE tag IN ('050', '051')
+UNION ALL SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_notes WHERE tag = '082'
+""")
+
+_CL_PREP = rf"""{R_CTE},
+{nested_cte('f', "tag IN ('050', '082')").replace('fx_subfields', 'fx_class')},
+a AS (SELECT f.*, generate_subscripts(list_filter(sfs, lambda s: s.code = 'a'), 1) - 1 AS p,
+        unnest(list_filter(sfs, lambda s: s.code = 'a')) AS av FROM f),
+k AS (SELECT a.*, r.ruri || '#Work' AS W,
+        '_:' || a.record_id || '-' || CAST(a.ord AS VARCHAR) || '-' || CAST(av.sf_ord AS VARCHAR) || '-classification-1' AS CLN,
+        CASE ind1 WHEN '0' THEN 'full' WHEN '1' THEN 'abridged' END AS ed
+      FROM a JOIN r ON r.record_id = a.record_id
+      WHERE tag <> '050' OR regexp_matches(coalesce(av.value, ''), '^([A-Z]{{1,3}}[0-9]|[A-Z]{{0,3}}\z)')),
+x AS (SELECT record_id, tag, p, CLN, unnest(sfs) AS x, generate_subscripts(list_filter(sfs, lambda s: true), 1) AS i FROM k),
+xb AS (SELECT record_id, tag, p, CLN, x, row_number() OVER (PARTITION BY record_id, CLN ORDER BY x.sf_ord) AS nb
+       FROM x WHERE x.code = 'b')"""
+
+_CL_SELS = [
+    triple_select("k", "W", q(BF + "classification"), "CLN", "'bnode'"),
+    triple_select("k", "CLN", q(TYPE), f"CASE WHEN tag = '050' THEN {q(BF + 'ClassificationLcc')} ELSE {q(BF + 'ClassificationDdc')} END", "'uri'"),
+    triple_select("k", "CLN", q(BF + "classificationPortion"), "av.value"),
+    triple_select("k", "CLN", q(BF + "source"), f"'{CL.ORGANIZATIONS}dlc'", "'uri'", "ind2 = '0'"),
+    triple_select("k", f"'{CL.ORGANIZATIONS}dlc'", q(TYPE), q(BF + "Source"), "'uri'", "ind2 = '0'"),
+    triple_select("xb", "CLN", q(BF + "itemPortion"), "x.value", "'literal'", "p = 0 AND (tag <> '050' OR nb = 1)"),
+    triple_select("x", "CLN", q(BF + "edition"), "x.value", "'literal'", "tag <> '050' AND x.code = '2'"),
+    triple_select("k", "CLN", q(BF + "edition"), "ed", "'literal'", "tag <> '050' AND ed IS NOT NULL"),
+    triple_select("x", "CLN", q(BF + "source"), "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "tag <> '050' AND x.code = 'q'"),
+    triple_select("x", "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Source"), "'uri'", "tag <> '050' AND x.code = 'q'"),
+    triple_select("x", "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "x.value", "'literal'", "tag <> '050' AND x.code = 'q'"),
+]
+
+
+@query("classification", f"WITH {_CL_PREP}\n" + finish("R13", _CL_SELS))
+def classification(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return CL.classification(fx.nested("fx_class"), ruris(fx))
