@@ -105,6 +105,8 @@ _NOTE_SF = [
     (775, "752", 1, "a"), (775, "752", 2, "b"), (775, "752", 3, "d"), (775, "752", 4, "2"),
     (27, "048", 1, "a"), (27, "048", 2, "b"),
     (28, "082", 1, "a"), (28, "082", 2, "b"), (28, "082", 3, "2"),
+    (29, "060", 1, "a"), (29, "060", 2, "b"),
+    (31, "084", 1, "a"), (31, "084", 2, "a"), (31, "084", 3, "b"), (31, "084", 4, "q"), (31, "084", 5, "2"),
 ]
 _NOTE_LIST = "\n    UNION ALL ".join(
     (f"SELECT {o} AS ord, '{t}' AS tag, {s} AS sf_ord, '{c}' AS code" if i == 0 else f"SELECT {o}, '{t}', {s}, '{c}'")
@@ -120,6 +122,7 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
   CASE t.tag WHEN '246' THEN CAST(l_orderkey % 9 AS STRING) WHEN '653' THEN CAST(l_orderkey % 8 AS STRING)
     WHEN '048' THEN CASE WHEN l_orderkey % 5 = 0 THEN '7' ELSE ' ' END
     WHEN '082' THEN CASE WHEN l_orderkey % 2 = 0 THEN '0' ELSE '4' END
+    WHEN '060' THEN CASE WHEN l_orderkey % 3 = 0 THEN '0' ELSE '4' END
     WHEN '780' THEN CAST(l_orderkey % 8 AS STRING) WHEN '785' THEN CAST((l_orderkey + 3) % 9 AS STRING) ELSE ' ' END AS ind2, t.sf_ord, t.code,
   CASE t.tag || t.code
     WHEN '048a' THEN substr('bkswvocetp', CAST(l_orderkey % 10 AS INT) + 1, 1) || substr('abcdnuyz', CAST(p_size % 8 AS INT) + 1, 1)
@@ -127,6 +130,9 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
     WHEN '048b' THEN CASE WHEN l_orderkey % 3 = 0 THEN 'zz01' ELSE 'va' || CASE WHEN l_orderkey % 4 = 0 THEN 'x' ELSE '02' END END
     WHEN '082a' THEN CAST(p_size * 7 AS STRING) || '.' || CAST(l_orderkey % 100 AS STRING) WHEN '082b' THEN 'B' || CAST(p_size AS STRING)
     WHEN '0822' THEN CAST(20 + l_orderkey % 4 AS STRING)
+    WHEN '060a' THEN 'W ' || CAST(p_size AS STRING) WHEN '060b' THEN 'B' || CAST(l_orderkey % 50 AS STRING)
+    WHEN '084a' THEN 'KB ' || CAST(p_size + t.sf_ord AS STRING) WHEN '084b' THEN 'X' || CAST(p_size AS STRING)
+    WHEN '084q' THEN 'DE-101' WHEN '0842' THEN 'rvk'
     WHEN '773e' THEN 'eng' WHEN '752a' THEN n_name WHEN '752b' THEN 'State ' || CAST(p_size % 7 AS STRING)
     WHEN '752d' THEN 'City ' || s_name WHEN '7522' THEN 'naf' WHEN '787i' THEN 'Related to:'
     WHEN '653a' THEN CASE WHEN t.sf_ord = 1 THEN 'keyword ' || p_brand ELSE lower(p_type) || '.-' END
@@ -143,4 +149,5 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
     ELSE t.code || ' ' || p_name || ' ' || CAST(p_size AS STRING) || '.' END AS value
 FROM fx_lines CROSS JOIN ({_NOTE_LIST}) t
 WHERE n = 1 AND (t.code NOT IN ('z', 'y', '3', 'u', 'i') OR l_orderkey % 3 = 0) AND (t.tag NOT IN ('545', '581', '502') OR l_orderkey % 2 = 0)
+  AND (t.tag <> '084' OR t.sf_ord <> 2 OR l_orderkey % 4 = 0) AND (t.tag <> '084' OR t.code <> 'q' OR l_orderkey % 5 <> 0)
 """)

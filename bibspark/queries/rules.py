@@ -1451,11 +1451,15 @@ from ..plans import classification as CL  # noqa: E402
 
 register_extra("fx_class", """
 SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_more WHERE tag IN ('050', '051')
-UNION ALL SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_notes WHERE tag = '082'
+UNION ALL SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM fx_notes WHERE tag IN ('060', '082', '084')
 """)
 
 _CL_PREP = rf"""{R_CTE},
-{nested_cte('f', "tag IN ('050', '082')").replace('fx_subfields', 'fx_class')},
+{nested_cte('f', "tag IN ('050', '082', '084')").replace('fx_subfields', 'fx_class')},
+{nested_cte('n', "tag = '060'").replace('fx_subfields', 'fx_class')},
+nl AS (SELECT n.*, r.ruri || '#Work' AS W, '_:' || n.record_id || '-' || CAST(n.ord AS VARCHAR) || '-0-classification-1' AS CLN
+       FROM n JOIN r ON r.record_id = n.record_id),
+nx AS (SELECT record_id, CLN, unnest(sfs) AS x FROM nl),
 a AS (SELECT f.*, generate_subscripts(list_filter(sfs, lambda s: s.code = 'a'), 1) - 1 AS p,
         unnest(list_filter(sfs, lambda s: s.code = 'a')) AS av FROM f),
 k AS (SELECT a.*, r.ruri || '#Work' AS W,
@@ -1469,16 +1473,35 @@ xb AS (SELECT record_id, tag, p, CLN, x, row_number() OVER (PARTITION BY record_
 
 _CL_SELS = [
     triple_select("k", "W", q(BF + "classification"), "CLN", "'bnode'"),
-    triple_select("k", "CLN", q(TYPE), f"CASE WHEN tag = '050' THEN {q(BF + 'ClassificationLcc')} ELSE {q(BF + 'ClassificationDdc')} END", "'uri'"),
+    triple_select("k", "CLN", q(TYPE), f"CASE WHEN tag = '050' THEN {q(BF + 'ClassificationLcc')} WHEN tag = '082' THEN "
+                  f"{q(BF + 'ClassificationDdc')} ELSE {q(BF + 'Classification')} END", "'uri'"),
     triple_select("k", "CLN", q(BF + "classificationPortion"), "av.value"),
-    triple_select("k", "CLN", q(BF + "source"), f"'{CL.ORGANIZATIONS}dlc'", "'uri'", "ind2 = '0'"),
-    triple_select("k", f"'{CL.ORGANIZATIONS}dlc'", q(TYPE), q(BF + "Source"), "'uri'", "ind2 = '0'"),
+    triple_select("k", "CLN", q(BF + "source"), f"'{CL.ORGANIZATIONS}dlc'", "'uri'", "ind2 = '0' AND tag IN ('050', '082')"),
+    triple_select("k", f"'{CL.ORGANIZATIONS}dlc'", q(TYPE), q(BF + "Source"), "'uri'", "ind2 = '0' AND tag IN ('050', '082')"),
+    triple_select("x", "CLN", q(BF + "source"), "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "tag = '084' AND x.code = '2'"),
+    triple_select("x", "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Source"), "'uri'", "tag = '084' AND x.code = '2'"),
+    triple_select("x", "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "x.value", "'literal'", "tag = '084' AND x.code = '2'"),
+    triple_select("k", "CLN", q(BF + "adminMetadata"), "CLN || '-admin'", "'bnode'",
+                  "tag = '084' AND len(list_filter(sfs, lambda s: s.code = 'q')) > 0"),
+    triple_select("k", "CLN || '-admin'", q(TYPE), q(BF + "AdminMetadata"), "'uri'",
+                  "tag = '084' AND len(list_filter(sfs, lambda s: s.code = 'q')) > 0"),
+    triple_select("x", "CLN || '-admin'", q(BF + "assigner"), "CLN || '-assigner-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'",
+                  "tag = '084' AND x.code = 'q'"),
+    triple_select("x", "CLN || '-assigner-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Agent"), "'uri'", "tag = '084' AND x.code = 'q'"),
+    triple_select("x", "CLN || '-assigner-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "x.value", "'literal'", "tag = '084' AND x.code = 'q'"),
+    triple_select("nl", "W", q(BF + "classification"), "CLN", "'bnode'"),
+    triple_select("nl", "CLN", q(TYPE), q(BF + "ClassificationNlm"), "'uri'"),
+    triple_select("nx", "CLN", q(BF + "classificationPortion"), "x.value", "'literal'", "x.code = 'a'"),
+    triple_select("nx", "CLN", q(BF + "itemPortion"), "x.value", "'literal'", "x.code = 'b'"),
+    triple_select("nl", "CLN", q(BF + "source"), "CLN || '-source'", "'bnode'", "ind2 = '0'"),
+    triple_select("nl", "CLN || '-source'", q(TYPE), q(BF + "Source"), "'uri'", "ind2 = '0'"),
+    triple_select("nl", "CLN || '-source'", q(LABEL), f"'{CL.NLM_SOURCE}'", "'literal'", "ind2 = '0'"),
     triple_select("xb", "CLN", q(BF + "itemPortion"), "x.value", "'literal'", "p = 0 AND (tag <> '050' OR nb = 1)"),
-    triple_select("x", "CLN", q(BF + "edition"), "x.value", "'literal'", "tag <> '050' AND x.code = '2'"),
-    triple_select("k", "CLN", q(BF + "edition"), "ed", "'literal'", "tag <> '050' AND ed IS NOT NULL"),
-    triple_select("x", "CLN", q(BF + "source"), "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "tag <> '050' AND x.code = 'q'"),
-    triple_select("x", "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Source"), "'uri'", "tag <> '050' AND x.code = 'q'"),
-    triple_select("x", "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "x.value", "'literal'", "tag <> '050' AND x.code = 'q'"),
+    triple_select("x", "CLN", q(BF + "edition"), "x.value", "'literal'", "tag = '082' AND x.code = '2'"),
+    triple_select("k", "CLN", q(BF + "edition"), "ed", "'literal'", "tag = '082' AND ed IS NOT NULL"),
+    triple_select("x", "CLN", q(BF + "source"), "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", "'bnode'", "tag = '082' AND x.code = 'q'"),
+    triple_select("x", "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Source"), "'uri'", "tag = '082' AND x.code = 'q'"),
+    triple_select("x", "CLN || '-source-' || CAST(x.sf_ord AS VARCHAR)", q(LABEL), "x.value", "'literal'", "tag = '082' AND x.code = 'q'"),
 ]
 
 
