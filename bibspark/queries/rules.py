@@ -1509,3 +1509,40 @@ _CL_SELS = [
 def classification(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return CL.classification(fx.nested("fx_class"), ruris(fx))
+
+
+def _mark_sql(a: str, b: str) -> str:
+    return _ns(f"CASE WHEN {b} IS NULL THEN {a} WHEN starts_with({b}, '.') THEN {a} || {b} ELSE concat_ws(' ', {a}, {b}) END")
+
+
+_SI_PREP = rf"""{R_CTE},
+{nested_cte('f', "tag IN ('050', '051')").replace('fx_subfields', 'fx_class')},
+g AS (SELECT f.*, list_filter(sfs, lambda s: s.code = 'a')[1].value AS a1, list_filter(sfs, lambda s: s.code = 'b')[1].value AS b1,
+        list_filter(sfs, lambda s: s.code = 'c')[1].value AS c1 FROM f),
+i AS (SELECT g.record_id, g.ord, g.ind2, r.ruri || '#Instance' AS I, r.ruri || '#Item050-' || CAST(g.ord AS VARCHAR) AS ITEM,
+        {_mark_sql('a1', 'b1')} AS mark, regexp_matches(coalesce(a1, ''), '^([A-Z]{{1,3}}[0-9]|[A-Z]{{0,3}}\z)') AS lcc
+      FROM g JOIN r ON r.record_id = g.record_id WHERE g.tag = '050'),
+m AS (SELECT i.record_id, i.ITEM, i.ITEM || '-shelfMark051-' || CAST(g.ord AS VARCHAR) AS S51,
+        rtrim({_ns("concat_ws(' ', CASE WHEN starts_with(g.b1, '.') THEN g.a1 || g.b1 ELSE concat_ws(' ', g.a1, g.b1) END, g.c1)")}, '.:,;/ ') AS label
+      FROM i JOIN g ON g.record_id = i.record_id AND g.tag = '051')"""
+
+_SI_SELS = [
+    triple_select("i", "I", q(BF + "hasItem"), "ITEM", "'uri'"),
+    triple_select("i", "ITEM", q(TYPE), q(BF + "Item"), "'uri'"),
+    triple_select("i", "ITEM", q(BF + "shelfMark"), "ITEM || '-shelfMark'", "'bnode'"),
+    triple_select("i", "ITEM || '-shelfMark'", q(TYPE), f"CASE WHEN lcc THEN {q(BF + 'ShelfMarkLcc')} ELSE {q(BF + 'ShelfMark')} END", "'uri'"),
+    triple_select("i", "ITEM || '-shelfMark'", q(LABEL), "mark"),
+    triple_select("i", "ITEM", q(BF + "itemOf"), "I", "'uri'"),
+    triple_select("i", "ITEM || '-shelfMark'", q(BF + "source"), f"'{CL.ORGANIZATIONS}dlc'", "'uri'", "ind2 = '0'"),
+    triple_select("i", f"'{CL.ORGANIZATIONS}dlc'", q(TYPE), q(BF + "Source"), "'uri'", "ind2 = '0'"),
+    triple_select("m", "ITEM", q(BF + "shelfMark"), "S51", "'bnode'"),
+    triple_select("m", "S51", q(TYPE), q(BF + "ShelfMarkLcc"), "'uri'"),
+    triple_select("m", "S51", q(LABEL), "label"),
+]
+
+
+@query("shelf_items", f"WITH {_SI_PREP}\n" + finish("R14", _SI_SELS))
+def shelf_items(spark, sf_dir):
+    """Items of 050 with their shelf marks, 051 copies as further shelf marks."""
+    fx = Fixtures(spark, sf_dir)
+    return CL.shelf_items(fx.nested("fx_class"), ruris(fx))
