@@ -107,6 +107,7 @@ _NOTE_SF = [
     (28, "082", 1, "a"), (28, "082", 2, "b"), (28, "082", 3, "2"),
     (29, "060", 1, "a"), (29, "060", 2, "b"),
     (31, "084", 1, "a"), (31, "084", 2, "a"), (31, "084", 3, "b"), (31, "084", 4, "q"), (31, "084", 5, "2"),
+    (32, "086", 1, "a"), (32, "086", 2, "z"), (32, "086", 3, "2"),
 ]
 _NOTE_LIST = "\n    UNION ALL ".join(
     (f"SELECT {o} AS ord, '{t}' AS tag, {s} AS sf_ord, '{c}' AS code" if i == 0 else f"SELECT {o}, '{t}', {s}, '{c}'")
@@ -118,6 +119,7 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
     WHEN '028' THEN CASE WHEN l_orderkey % 2 = 0 THEN '2' ELSE '5' END
     WHEN '545' THEN CAST(l_orderkey % 3 AS STRING) WHEN '555' THEN substr(' 08', CAST(l_orderkey % 3 AS INT) + 1, 1)
     WHEN '511' THEN CAST(l_orderkey % 2 AS STRING) WHEN '082' THEN substr('01 ', CAST(l_orderkey % 3 AS INT) + 1, 1)
+    WHEN '086' THEN substr('01 ', CAST(l_orderkey % 3 AS INT) + 1, 1)
     ELSE ' ' END AS ind1,
   CASE t.tag WHEN '246' THEN CAST(l_orderkey % 9 AS STRING) WHEN '653' THEN CAST(l_orderkey % 8 AS STRING)
     WHEN '048' THEN CASE WHEN l_orderkey % 5 = 0 THEN '7' ELSE ' ' END
@@ -133,6 +135,7 @@ SELECT 'ord' || CAST(l_orderkey AS STRING) AS record_id, t.ord, t.tag,
     WHEN '060a' THEN 'W ' || CAST(p_size AS STRING) WHEN '060b' THEN 'B' || CAST(l_orderkey % 50 AS STRING)
     WHEN '084a' THEN 'KB ' || CAST(p_size + t.sf_ord AS STRING) WHEN '084b' THEN 'X' || CAST(p_size AS STRING)
     WHEN '084q' THEN 'DE-101' WHEN '0842' THEN 'rvk'
+    WHEN '086a' THEN 'Y 4.' || CAST(p_size AS STRING) WHEN '086z' THEN 'Y 3.' || CAST(p_size AS STRING) WHEN '0862' THEN 'cacodoc'
     WHEN '773e' THEN 'eng' WHEN '752a' THEN n_name WHEN '752b' THEN 'State ' || CAST(p_size % 7 AS STRING)
     WHEN '752d' THEN 'City ' || s_name WHEN '7522' THEN 'naf' WHEN '787i' THEN 'Related to:'
     WHEN '653a' THEN CASE WHEN t.sf_ord = 1 THEN 'keyword ' || p_brand ELSE lower(p_type) || '.-' END

@@ -1546,3 +1546,33 @@ def shelf_items(spark, sf_dir):
     """Items of 050 with their shelf marks, 051 copies as further shelf marks."""
     fx = Fixtures(spark, sf_dir)
     return CL.shelf_items(fx.nested("fx_class"), ruris(fx))
+
+
+_GD_PREP = f"""{R_CTE},
+{nested_cte('f', "tag = '086'").replace('fx_subfields', 'fx_notes')},
+g AS (SELECT f.*, r.ruri || '#Instance' AS I, CASE ind1 WHEN '0' THEN 'sudocs' WHEN '1' THEN 'Government of Canada Publications' END AS src,
+        unnest(list_filter(sfs, lambda s: s.code IN ('a', 'z'))) AS x FROM f JOIN r ON r.record_id = f.record_id),
+k AS (SELECT g.*, '_:' || record_id || '-' || CAST(ord AS VARCHAR) || '-' || CAST(x.sf_ord AS VARCHAR) || '-govdoc-1' AS CLN FROM g),
+y AS (SELECT record_id, CLN, unnest(list_filter(sfs, lambda s: s.code = '2')) AS y FROM k WHERE src IS NULL)"""
+
+_GD_SELS = [
+    triple_select("k", "I", q(BF + "classification"), "CLN", "'bnode'"),
+    triple_select("k", "CLN", q(TYPE), q(BF + "Classification"), "'uri'"),
+    triple_select("k", "CLN", q(LABEL), "x.value"),
+    triple_select("k", "CLN", q(BF + "status"), "CLN || '-status'", "'bnode'", "x.code = 'z'"),
+    triple_select("k", "CLN || '-status'", q(TYPE), q(BF + "Status"), "'uri'", "x.code = 'z'"),
+    triple_select("k", "CLN || '-status'", q(LABEL), "'invalid'", "'literal'", "x.code = 'z'"),
+    triple_select("k", "CLN", q(BF + "source"), "CLN || '-source'", "'bnode'", "src IS NOT NULL"),
+    triple_select("k", "CLN || '-source'", q(TYPE), q(BF + "Source"), "'uri'", "src IS NOT NULL"),
+    triple_select("k", "CLN || '-source'", q(LABEL), "src", "'literal'", "src IS NOT NULL"),
+    triple_select("y", "CLN", q(BF + "source"), "CLN || '-source-' || CAST(y.sf_ord AS VARCHAR)", "'bnode'"),
+    triple_select("y", "CLN || '-source-' || CAST(y.sf_ord AS VARCHAR)", q(TYPE), q(BF + "Source"), "'uri'"),
+    triple_select("y", "CLN || '-source-' || CAST(y.sf_ord AS VARCHAR)", q(LABEL), "y.value"),
+]
+
+
+@query("government_documents", f"WITH {_GD_PREP}\n" + finish("R14", _GD_SELS))
+def government_documents(spark, sf_dir):
+    """086 government document numbers."""
+    fx = Fixtures(spark, sf_dir)
+    return CL.government_documents(fx.nested("fx_notes"), ruris(fx))
