@@ -7,7 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -108,3 +110,28 @@ def components(edges: DataFrame, u: str, v: str) -> DataFrame:
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _local_totals(value: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, so_far = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            own = so_far + np.cumsum(batch.column(value).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+            so_far = int(own[-1]) if len(own) else so_far
+            cols = [*batch.columns, pa.array(np.full(len(own), here, np.int32)), pa.array(own, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names, "_part", "_own"])
+
+    return run
+
+
+def running_total(df: DataFrame, order: list[str], value: str, name: str, partitions: int | None = None) -> DataFrame:
+    """``df`` with the sum of ``value`` (a long) over all rows up to and including each, in the
+    total order ``order``: a distributed sort, sums inside its partitions, written once, then
+    each partition's offset (one row for each partition)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, _part int, _own long"
+    local = keep(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                 .mapInArrow(_local_totals(df.columns.index(value)), schema), "sorted")
+    sums = local.groupBy("_part").agg(F.max("_own").alias("_sum"))
+    offsets = sums.select("_part", (F.sum("_sum").over(W.orderBy("_part")) - F.col("_sum")).alias("_off"))
+    return local.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_own") + F.col("_off")).drop("_part", "_own", "_off")
