@@ -7,15 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .chat import digests, examples
+from .counts import token_counts
 from .mixing import mixed
 from .ngram_join import ngram_components
 from .shared import table
 
+BPE_FILE, PIECE_FILE = "word_bpe_49k.json", "piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer file, which the driver reads and broadcasts."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -38,3 +49,13 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_file(BPE_FILE)))
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_FILE))
