@@ -32,11 +32,13 @@ _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
 def load_pieces(path: str) -> tuple[tuple[str, float], ...]:
-    """The pieces and scores of a sentencepiece file, in id order."""
+    """The pieces that texts can match and their scores, in id order; control strings, the
+    unknown piece and the byte pieces are no text."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return tuple((model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size()))
+    text = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    return tuple((model.id_to_piece(i), model.get_score(i)) for i in text)
 
 
 class Segmenter:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .chat import digests, examples
 from .counts import token_counts
+from .licenses import license_hits
 from .mixing import mixed
 from .ngram_join import ngram_components
 from .shared import table
@@ -59,3 +60,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_file(PIECE_FILE))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_hits(table(spark, sf_dir, "documents"))

@@ -76,11 +76,19 @@ def chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, np.ndarr
         row = end
 
 
-def spans(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def separators(inside: str) -> np.ndarray:
+    """A table of bytes that separate words: all ASCII but those in ``inside``."""
+    out = np.zeros(256, dtype=bool)
+    out[:128] = True
+    out[[ord(c) for c in inside]] = False
+    return out
+
+
+def spans(raw: np.ndarray, at: np.ndarray, separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each text (plus one) the index of its first word."""
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-    space = _SPACE[raw]
+    space = separator[raw]
     cut = np.zeros(len(raw) + 1, dtype=bool)  # a text begins here
     cut[at] = True
     before = np.empty(len(raw), dtype=bool)
@@ -133,7 +141,7 @@ def shingles(word: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, n
         return np.insert(full, before[short], mix(own)), np.concatenate([[0], np.cumsum(sizes)])
 
 
-def distinct_shingles(column: pa.Array, k: int, keep=None) -> Iterator[tuple[int, np.ndarray]]:
+def distinct_shingles(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of each text."""
     for row, raw, at in chunks(column):
         starts, ends, first = spans(raw, at)
