@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, quality, toxicity
 from .chat import digests, examples
 from .counts import token_counts
 from .licenses import license_hits
 from .mixing import mixed
 from .ngram_join import ngram_components
+from .quality import in_fold
 from .shared import table
 
 BPE_FILE, PIECE_FILE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -65,3 +66,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_hits(table(spark, sf_dir, "documents"))
+
+
+def _judged(spark: SparkSession, sf_dir: str, module, label: str, folds: int, fold: int) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = in_fold(F.col("doc_id"), folds, fold)
+    score = module.scorer(docs, labels.where(~held_out).select("doc_id", F.col(label).alias("label")))
+    return (docs.select("doc_id", held_out.alias("held_out"), score("text").alias("score"))
+            .withColumn("predicted", (F.col("score") >= module.THRESHOLD).cast("int")))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, quality, "quality", 5, 0)
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged(spark, sf_dir, toxicity, "toxic", 4, 2)

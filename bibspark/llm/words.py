@@ -104,15 +104,30 @@ def spans(raw: np.ndarray, at: np.ndarray, separator: np.ndarray = _SPACE) -> tu
     return starts, ends, np.searchsorted(starts, at).astype(np.int64)
 
 
+def prefix_sums(raw: np.ndarray) -> np.ndarray:
+    """What ``hash_between`` needs of a block of bytes, once for any number of spans."""
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, dtype=_U)
+        np.cumsum(_VALUE[raw] * _power(_BASE, len(raw) + 1, "up")[: len(raw)], out=sums[1:])
+        return sums
+
+
+def hash_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix((sums[ends] - sums[starts]) * _power(_INV, len(sums), "down")[starts] + (ends - starts).astype(_U))
+
+
 def hash_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span with A-Z lower-cased (polynomial prefix sums, then mixed)."""
     if not len(starts):
         return np.zeros(0, _U)
-    up, down = _power(_BASE, len(raw) + 1, "up"), _power(_INV, len(raw) + 1, "down")
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(raw) + 1, dtype=_U)
-        np.cumsum(_VALUE[raw] * up[: len(raw)], out=sums[1:])
-        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    return hash_between(prefix_sums(raw), starts, ends)
+
+
+def hash_word(word: bytes) -> int:
+    """The hash that ``hash_spans`` gives a span with these bytes."""
+    raw = np.frombuffer(word, np.uint8)
+    return int(hash_spans(raw, np.array([0]), np.array([len(raw)]))[0])
 
 
 def shingles(word: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
