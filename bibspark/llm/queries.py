@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, quality, toxicity
+from .ann import nearest_neighbours
 from .chat import digests, examples
 from .counts import token_counts
 from .licenses import license_hits
@@ -15,6 +16,7 @@ from .mixing import mixed
 from .ngram_join import ngram_components
 from .quality import in_fold
 from .shared import table
+from .vector_dedup import near_duplicates
 
 BPE_FILE, PIECE_FILE = "word_bpe_49k.json", "piece_bpe_32k.model"
 
@@ -84,3 +86,13 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir, toxicity, "toxic", 4, 2)
+
+
+@query
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
