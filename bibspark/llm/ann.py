@@ -33,7 +33,7 @@ from .shared import bounded_rows, keep
 from .vector_dedup import matrix, usable
 
 SAMPLE = 10_000
-CENTRES = 16
+CENTRES = 32
 SHARE = 0.6
 LEAST = 2_000
 CHUNK = 4_096
