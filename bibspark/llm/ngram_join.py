@@ -39,6 +39,7 @@ from .words import distinct_shingles, mix
 BUCKETS = 1 << 20  # of the count table: 4 MB whatever the corpus
 SLICE = 1 << 16
 FRAGMENTS = 8
+WANTED = 1 << 24  # bits of the map of documents whose segments are wanted: 2 MB whatever their number
 
 
 def _class(sets: np.ndarray) -> int:
@@ -120,13 +121,30 @@ def _prefixes(k: int, percent: int, counts):
     return run
 
 
-def _segments(k: int, counts, pivots):
-    """(class, fragment, segment) of each text: its set cut along the pivots of the global order."""
+def _bit(doc_id):
+    """A document's place in the bitmap of wanted documents."""
+    return F.pmod(F.xxhash64(F.coalesce(doc_id, F.lit(-1))), F.lit(WANTED)).cast("int")
+
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """The bitmap of these doc_ids: WANTED bits, whatever their number."""
+    words = ids.select(_bit(F.col("doc_id")).alias("bit")).groupBy((F.col("bit") / 64).cast("int").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, bit % 64)")).alias("bits"))
+    got = words.toArrow()  # at most WANTED / 64 rows of two numbers
+    out = np.zeros(WANTED // 64, np.int64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def _segments(k: int, counts, pivots, wanted):
+    """(class, fragment, segment) of each wanted text: its set cut along the pivots of the global order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, cut = counts.value, pivots
         for batch in batches:
             cls, frag, seg = [], [], []
-            for _, own in distinct_shingles(batch.column(0), k):
+            bit = batch.column(0).to_numpy()
+            chosen = (wanted.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
+            for _, own in distinct_shingles(batch.column(1).filter(pa.array(chosen.astype(bool))), k):
                 if not len(own):
                     continue
                 c, part = _class(own), np.searchsorted(cut, often[(own >> np.uint64(44)).astype(np.int64)], side="right")
@@ -153,22 +171,28 @@ def _pivots(often: np.ndarray, fragments: int) -> np.ndarray:
 def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int, counts, pivots) -> DataFrame:
     """Those of the pairs (a, b, na, nb) that reach the threshold: overlaps counted by fragment, then summed."""
     nodes = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    ids = reps.join(nodes, "cls", "left_semi").select("rep").distinct()
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi").select("text")
-    segs = keep(texts.mapInArrow(_segments(k, counts, pivots), "cls long, frag int, seg array<long>").dropDuplicates(["cls", "frag"]), "segments")
+    ids = reps.join(nodes, "cls", "left_semi").select(F.col("rep").alias("doc_id"))
+    # texts stay where they are: a document that the map names by chance only adds segments that no pair asks for
+    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
+    segs = docs.select(_bit(F.col("doc_id")).alias("bit"), "text").mapInArrow(
+        _segments(k, counts, pivots, wanted), "cls long, frag int, seg array<long>")
+    segs = keep(segs, "segments")
     left = segs.select(F.col("cls").alias("a"), "frag", F.col("seg").alias("sa"))
     right = segs.select(F.col("cls").alias("b"), "frag", F.col("seg").alias("sb"))
     partial = (pairs.join(left, "a").join(right, ["b", "frag"])
-               .select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("part")))
-    return (partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("common"))
+               .select("a", "b", "na", "nb", "frag", F.size(F.array_intersect("sa", "sb")).alias("part")))
+    # a class whose segments came twice counts once
+    return (partial.repartition("a", "b").groupBy("a", "b", "na", "nb", "frag").agg(F.max("part").alias("part"))
+            .groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("common"))
             .where(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))))
 
 
-def _possible(na: str, pa_: str, nb: str, pb: str, percent: int):
-    """Whether sets of these sizes that share a shingle at these positions can reach the threshold:
-    by size, and because the overlap is at most one plus what follows on either side."""
-    a, b = F.col(na).cast("long"), F.col(nb).cast("long")
-    most = F.lit(1) + F.least(a - F.col(pa_) - 1, b - F.col(pb) - 1)
+def _possible(a: str, b: str, percent: int):
+    """Whether two rows (structs of n, pos, free) of a list can be a link: by size, because the overlap is at most
+    one plus what follows the shared shingle on either side, and at most what is not in one set alone."""
+    row = lambda x, f: F.col(f"{x}.{f}").cast("long")
+    most = F.least(row(a, "n") - row(a, "pos"), row(b, "n") - row(b, "pos"), row(a, "free"), row(b, "free"))
+    a, b = row(a, "n"), row(b, "n")
     return ((F.lit(100) * F.least(a, b) >= F.lit(percent) * F.greatest(a, b))
             & (F.lit(100 + percent) * most >= F.lit(percent) * (a + b)))
 
@@ -190,38 +214,53 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, fragments:
     reps = keep(sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
     found = docs.select("text").mapInArrow(_prefixes(k, percent, counts), "tok long, cls long, n int, pos int")
     lists = W.partitionBy("tok").orderBy("n", "cls")
-    here = F.struct("cls", "n", "pos")
     # equal neighbours on a list are one class; lists of one class link nothing and go
-    shared = keep(found.withColumn("prev", F.lag(here).over(lists)).withColumn("top", F.first(here).over(lists))
-                  .withColumn("next", F.lead("cls").over(lists))
-                  .where("(prev IS NULL AND next IS NOT NULL) OR prev.cls <> cls").drop("next"), "postings")
-    first_pairs = (shared.select("cls", "n", "pos", F.explode(F.array("prev", "top")).alias("other"))
-                   .where("other IS NOT NULL AND other.cls <> cls")
-                   .select("cls", "n", "pos", F.col("other.cls").alias("oc"), F.col("other.n").alias("on"), F.col("other.pos").alias("op")))
+    shared = keep(found.withColumn("prev", F.lag("cls").over(lists)).withColumn("next", F.lead("cls").over(lists))
+                  .where("(prev IS NULL AND next IS NOT NULL) OR prev <> cls").drop("prev", "next"), "postings")
+    # what of a set can be shared at all: all but the shingles of its prefix that no other class has
+    support = shared.groupBy("cls").agg(F.count("*").alias("met"))
+    alone = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1 - F.col("met")
+    shared = keep(shared.join(support, "cls").select("tok", F.struct("cls", "n", "pos", (F.col("n") - alone).alias("free")).alias("row")), "postings")
+    # first pairs: neighbours by size, and all with the set that has least of its own
+    near = W.partitionBy("tok").orderBy("row.n", "row.cls")
+    hub = F.max(F.struct(F.col("row.free") - F.col("row.n"), F.col("row.cls"), F.col("row.n"), F.col("row.pos"), F.col("row.free"))).over(W.partitionBy("tok"))
+    first_pairs = (shared.withColumn("prev", F.lag("row").over(near)).withColumn("hub", hub)
+                   .select("row", F.explode(F.array("prev", F.struct("hub.cls", "hub.n", "hub.pos", "hub.free"))).alias("other"))
+                   .where("other IS NOT NULL AND other.cls <> row.cls"))
     pairs = keep(_ordered(first_pairs, percent), "pairs")
     links = keep(_linked(pairs, docs, reps, k, percent, counts, pivots).select("a", "b"), "links")
     comp = keep(components(links, "a", "b"), "components")
 
     # what is left: sets on one list whose components differ
-    label = F.coalesce("component", "cls")
-    rows = (shared.select("tok", "cls", "n", "pos")
-            .join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("tok", "cls", "n", "pos", label.alias("comp")))
+    rows = shared.join(comp.withColumnRenamed("node", "cls"), F.col("row.cls") == F.col("cls"), "left").select(
+        "tok", "row", F.coalesce("component", "row.cls").alias("comp"))
     mixed = rows.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("tok")
     rows = keep(rows.join(mixed, "tok", "left_semi"), "mixed")
-    # the size and position bounds, taken over a component's rows on the list, rule out most pairs of components
-    groups = rows.groupBy("tok", "comp").agg(F.min("n").alias("n0"), F.max("n").alias("n1"))
-    x, y = groups.select("tok", F.col("comp").alias("ca"), F.col("n0").alias("a0"), F.col("n1").alias("a1")), \
-        groups.select("tok", F.col("comp").alias("cb"), F.col("n0").alias("b0"), F.col("n1").alias("b1"))
-    sides = (x.join(y, "tok").where((F.col("ca") < F.col("cb")) & (F.lit(100) * F.col("a1") >= F.lit(percent) * F.col("b0"))
-                                    & (F.lit(100) * F.col("b1") >= F.lit(percent) * F.col("a0"))).select("tok", "ca", "cb"))
-    rest = (sides.join(rows.withColumnRenamed("comp", "ca"), ["tok", "ca"])
-            .join(rows.select("tok", F.col("comp").alias("cb"), F.col("cls").alias("oc"), F.col("n").alias("on"), F.col("pos").alias("op")),
-                  ["tok", "cb"]).select("cls", "n", "pos", "oc", "on", "op"))
-    rest = keep(_ordered(rest, percent), "pairs").join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    more = keep(_linked(rest, docs, reps, k, percent, counts, pivots).select("a", "b"), "links")
-    comp = components(links.union(more), "a", "b")
-
-    comp = keep(reps.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", label.alias("comp")), "components")
+    # first which kinds of rows (size, most that can be shared) can meet at all, then which components have such
+    # rows, and only then which rows: nothing is paired that the bounds rule out or that is joined already
+    kind, cap = ["tok", "n", "cap"], F.least(F.col("row.n") - F.col("row.pos"), F.col("row.free"))
+    rows = rows.select("tok", F.col("row.n").alias("n"), cap.alias("cap"), "comp", F.col("row.cls").alias("cls"))
+    holders = rows.select(*kind, "comp").distinct()
+    kinds = holders.select(*kind).distinct()
+
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(c if c == "tok" else c + mark) for c in df.columns])
+
+    na, nb = F.col("n1").cast("long"), F.col("n2").cast("long")
+    can = ((F.lit(100) * F.least(na, nb) >= F.lit(percent) * F.greatest(na, nb))
+           & (F.lit(100 + percent) * F.least("cap1", "cap2").cast("long") >= F.lit(percent) * (na + nb)))
+    met = (side(kinds, "1").join(side(kinds, "2"), "tok").where(can & (F.struct("n1", "cap1") <= F.struct("n2", "cap2")))
+           .join(side(holders, "1"), ["tok", "n1", "cap1"]).join(side(holders, "2"), ["tok", "n2", "cap2"]).where("comp1 <> comp2")
+           .join(side(rows, "1"), ["tok", "n1", "cap1", "comp1"]).join(side(rows, "2"), ["tok", "n2", "cap2", "comp2"]))
+    rest = met.select(F.least("cls1", "cls2").alias("a"), F.greatest("cls1", "cls2").alias("b"),
+                      F.when(F.col("cls1") < F.col("cls2"), na).otherwise(nb).alias("na"), F.when(F.col("cls1") < F.col("cls2"), nb).otherwise(na).alias("nb"))
+    rest = keep(rest.distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    more = _linked(rest, docs, reps, k, percent, counts, pivots).select("a", "b")
+    for end in ("a", "b"):  # links between components found so far
+        more = more.join(comp.select(F.col("node").alias(end), F.col("component").alias(f"{end}c")), end, "left").withColumn(end, F.coalesce(f"{end}c", end)).drop(f"{end}c")
+    joined = components(more, "a", "b").select(F.col("node").alias("comp"), F.col("component").alias("joined"))
+    comp = reps.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("comp"))
+    comp = keep(comp.join(joined, "comp", "left").select("cls", "rep", F.coalesce("joined", "comp").alias("comp")), "components")
     least = comp.groupBy("comp").agg(F.min("rep").alias("component_id"))
     known = comp.join(least, "comp").select("cls", "component_id")
     return (sets.join(known, "cls", "left")
@@ -230,9 +269,10 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, fragments:
 
 
 def _ordered(found: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs a < b of possible links."""
-    a_first = F.col("cls") < F.col("oc")
-    pick = lambda x, y: F.when(a_first, F.col(x)).otherwise(F.col(y))
-    return (found.where(_possible("n", "pos", "on", "op", percent) & (F.col("cls") != F.col("oc")))
-            .select(pick("cls", "oc").alias("a"), pick("oc", "cls").alias("b"), pick("n", "on").cast("long").alias("na"), pick("on", "n").cast("long").alias("nb"))
+    """Distinct pairs a < b of possible links, from rows (row, other)."""
+    a_first = F.col("row.cls") < F.col("other.cls")
+    pick = lambda f, x, y: F.when(a_first, F.col(f"{x}.{f}")).otherwise(F.col(f"{y}.{f}"))
+    return (found.where(_possible("row", "other", percent) & (F.col("row.cls") != F.col("other.cls")))
+            .select(pick("cls", "row", "other").alias("a"), pick("cls", "other", "row").alias("b"),
+                    pick("n", "row", "other").cast("long").alias("na"), pick("n", "other", "row").cast("long").alias("nb"))
             .distinct())

@@ -63,51 +63,55 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a partition replaced by a star forest, a block of a million edges at a time."""
-    u = v = np.zeros(0, np.int64)
+    """Edges of a partition replaced by a star forest; ``moved`` marks those that were not there before."""
+    def out(u: np.ndarray, v: np.ndarray, moved: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(moved)], ["u", "v", "moved"])
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size, last = 0, None
     for batch in batches:
-        u = np.concatenate([u, batch.column(0).to_numpy()])
-        v = np.concatenate([v, batch.column(1).to_numpy()])
-        if len(u) > 1_000_000:
-            u, v = forest(u, v)
-            if len(u) > 500_000:  # still large: pass it on rather than hold more
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
-                u = v = np.zeros(0, np.int64)
-    if len(u):
-        u, v = forest(u, v)
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        size += batch.num_rows
+        if size > 2_000_000:  # a partition beyond that is contracted piece by piece
+            u, v = forest(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            last = True
+            if len(u) > 1_000_000:
+                yield out(u, v, np.ones(len(u), bool))
+                held, size = [], 0
+            else:
+                held, size = [(u, v)], len(u)
+    if held:
+        before = [np.concatenate(x) for x in zip(*held, strict=True)]
+        u, v = forest(*before)
+        same = np.zeros(len(u), bool)
+        if not last:
+            order = np.lexsort((before[1], before[0]))
+            old = np.rec.fromarrays([before[0][order], before[1][order]])
+            at = np.minimum(np.searchsorted(old, np.rec.fromarrays([u, v])), len(old) - 1)
+            same = (old.f0[at] == u) & (old.f1[at] == v) & (len(old) == len(u))
+        yield out(u, v, ~same)
 
 
 def components(edges: DataFrame, u: str, v: str) -> DataFrame:
-    """(node, component): the smallest node that each node of an edge reaches.
+    """(node, component): the smallest node that each node of an edge reaches.  Nodes are longs.
 
-    Each partition first replaces its edges by a star forest; then alternating large-star
-    and small-star rounds (joins and minima by key, no group gathered) run until no edge
-    changes.  Every round is written to the shared folder.  Nodes are longs.
+    Edges point from a node to a smaller one.  A round brings all edges of a node together (a
+    node has at most one edge from each partition of the round before, so there is no hot
+    one), replaces each partition's edges by a star forest, and then lets every edge jump to where its
+    end points (a join that Spark can split when many edges end at one node).  It ends when a
+    round changes nothing.  Every round is written to the shared folder.
     """
-    def contracted(df: DataFrame) -> DataFrame:
-        return df.mapInArrow(_contract, "u long, v long")
-
+    flagged = "u long, v long, moved boolean"
     e = edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).where("u <> v")
-    e = keep(contracted(e), "edges")
+    e = e.mapInArrow(_contract, flagged).select("u", "v")
     while True:
-        # large-star: the larger neighbours of each node point at the smallest of its neighbourhood
-        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        # small-star: the smaller neighbours and the node itself point at the smallest of them
-        down = large.where("u > v").distinct()
-        least = down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("k"))
-        small = down.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
-                                             F.col("m").alias("v"))
-        nxt = keep(contracted(small.where("u > v").distinct()), "edges")
-        # stars: no node is both a leaf and a centre, and every leaf has one centre
-        leaves = nxt.groupBy("u").agg(F.count("*").alias("k"))
-        open_ = leaves.where("k > 1").select("u").union(
-            leaves.select("u").join(nxt.select(F.col("v").alias("u")).distinct(), "u", "left_semi"))
-        e = nxt
-        if open_.isEmpty():
+        c = e.repartition("u").mapInArrow(_contract, flagged)
+        up = c.select(F.col("u").alias("p"), F.col("v").alias("g"))
+        e = keep(c.join(up, F.col("v") == F.col("p"), "left")
+                 .select("u", F.coalesce("g", "v").alias("v"), (F.col("moved") | F.col("g").isNotNull()).alias("moved")), "edges")
+        if e.where("moved").isEmpty():
             break
+        e = e.select("u", "v")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
