@@ -18,9 +18,11 @@ rows are returned as often as they come; other columns are ignored; an empty tab
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,16 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lexicon import Lexicon, compile_lexicon
-from .shared import bounded_rows, fresh_path
+from .shared import bounded_rows, fresh_path, keep
+from .words import chunks, hash_spans, mix, spans
 
-FREQUENT = 32_768  # words in the lexicon
-MEMO = 300_000  # runs that a task remembers before it starts afresh
+FREQUENT = 65_536  # words in the lexicon at most
+LONG = 48  # bytes of a word that is merged on its own
+_NONE = 1 << 40  # the rank of what is no pair
+MEMO = 400_000  # runs that a task remembers before it starts afresh
 OUT_BYTES = 1 << 22  # of texts in an output batch
 
-_CONTROLS = regex.compile("[\x1c-\x1f]")  # str.split takes these for white space, the tokenizer does not
-_BLANK = regex.compile(r"\p{White_Space}+")
-
-
 def byte_chars() -> list[str]:
     """The printable character that byte-level vocabularies write for each byte."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -49,6 +50,11 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in plain else chr(256 + other.index(b)) for b in range(256)]
 
 
+def lower(text: str) -> str:
+    """Lower case letter by letter; str.lower alone looks at a capital sigma's place in the word."""
+    return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+
+
 class Bpe:
     """The model of a tokenizer file: byte-level BPE with a word-end suffix, lower case."""
 
@@ -66,19 +72,28 @@ class Bpe:
         self.chars = byte_chars()
         self.cut = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.names = {**{i: t for t, i in self.ids.items()}, **{i: t for t, i in self.special.items()}}
+        single = {c for c in self.chars} | {c + self.suffix for c in self.chars}
+        if not single <= self.ids.keys() or max(self.ids.values()) >= 1 << 16:
+            raise ValueError("every byte must be a token, and ids fit 16 bits")
+        self.inner = np.array([self.ids[c] for c in self.chars], np.int64)
+        self.ending = np.array([self.ids[c + self.suffix] for c in self.chars], np.int64)
+        table = sorted((self.ids[a] << 16 | self.ids[b], r, self.ids[a + b]) for (a, b), r in self.ranks.items())
+        self.pairs, self.pair_ranks, self.merged = (np.array(x, np.int64) for x in zip(*table, strict=True))
+        names = {**{i: t for t, i in self.ids.items()}, **{i: t for t, i in self.special.items()}}
+        self.names = [names.get(i, "") for i in range(max(names) + 1)]  # every id has a token in such a file
 
     def words(self, run: str) -> list[str | int]:
         """The words of a run without white space, normalised; special strings as their ids."""
         if run.isascii() and "<|" not in run:
-            return self.cut.findall(run.lower())
+            return [run.lower()] if run.isalpha() else self.cut.findall(run.lower())
+        if "<|" not in run:
+            return self.cut.findall(lower(unicodedata.normalize("NFC", run)))
         out: list[str | int] = []
         for part in self.marks.split(run) if self.marks else [run]:
             if part in self.special:
                 out.append(self.special[part])
             else:
-                plain = unicodedata.normalize("NFC", part)
-                out += self.cut.findall("".join(c.lower() for c in plain))
+                out += self.cut.findall(lower(unicodedata.normalize("NFC", part)))
         return out
 
     def merge(self, word: str) -> list[int]:
@@ -104,40 +119,123 @@ class Bpe:
                     heapq.heappush(queue, (r, x, parts[x], parts[y]))
         return [self.ids[p] for p, here in zip(parts, alive, strict=True) if here and p in self.ids]
 
-    def decode(self, ids: list[int]) -> str:
-        return " ".join([self.names[i] for i in ids if i in self.names])
-
-
-def runs(text: str) -> list[str]:
-    """The maximal parts of a text without white space."""
-    if _CONTROLS.search(text):
-        return [r for r in _BLANK.split(text) if r]
-    return text.split()
-
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words at once: each step merges the pair of lowest rank, leftmost, in every word."""
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        out: list[list[int]] = [[]] * len(words)
+        for i in long:
+            out[i] = self.merge(words[i].decode("utf-8", "surrogatepass"))
+        live = np.array([i for i, w in enumerate(words) if 0 < len(w) <= LONG], np.int64)
+        if not len(live):
+            return out
+        size = np.array([len(words[i]) for i in live])
+        raw = np.frombuffer(b"".join([words[i] for i in live]), np.uint8)
+        ids, word = self.inner[raw], np.repeat(np.arange(len(live)), size)
+        last = np.cumsum(size) - 1
+        ids[last] = self.ending[raw[last]]
+        parts = []  # finished words: (their number, their ids)
+        while len(ids):
+            key = ids[:-1] << 16 | ids[1:]
+            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            rank = np.full(len(ids), _NONE)
+            rank[:-1] = np.where((self.pairs[at] == key) & (word[1:] == word[:-1]), self.pair_ranks[at], _NONE)
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            best = np.minimum.reduceat(rank, first)
+            best = np.repeat(best, np.diff(np.append(first, len(ids))))
+            done = best == _NONE
+            if done.any():
+                parts.append((word[done], ids[done]))
+            hit = np.flatnonzero((rank == best) & ~done)
+            hit = hit[np.concatenate([[True], word[hit[1:]] != word[hit[:-1]]])] if len(hit) else hit
+            ids[hit] = self.merged[at[hit]] if len(hit) else ids[hit]
+            stay = ~done
+            stay[hit + 1] = False
+            ids, word = ids[stay], word[stay]
+        word, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
+        bounds = np.append(np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])), len(word))
+        flat = ids.tolist()
+        for lo, hi, w in zip(bounds[:-1].tolist(), bounds[1:].tolist(), live[word[bounds[:-1]]].tolist(), strict=True):
+            out[w] = flat[lo:hi]
+        return out
 
-def frequent_words(docs: DataFrame, model, most: int = FREQUENT) -> list[str]:
-    """The most frequent words of all texts (ties by code point)."""
+    def decode(self, ids: list[int]) -> str:
+        return " ".join(map(self.names.__getitem__, ids))
+
+
+def distinct_runs(raw: np.ndarray, at: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct runs of texts without ASCII white space (one spelling of those that differ in
+    the case of A-Z only), each run's place among them, and each text's bounds in the runs."""
+    starts, ends, first = spans(raw, at)
+    if not len(starts):
+        return [], np.zeros(0, np.int64), first
+    h = hash_spans(raw, starts, ends)
+    mark = np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
+    if len(mark):  # special strings keep their case: such a run is only like itself
+        own = np.unique(np.searchsorted(starts, mark, side="right") - 1)
+        h[own] = mix(own.astype(np.uint64) + np.uint64(1 << 40))
+    _, one, place = np.unique(h, return_index=True, return_inverse=True)
+    block = raw.tobytes()
+    return [block[s:e] for s, e in zip(starts[one].tolist(), ends[one].tolist(), strict=True)], place, first
+
+
+def gathered(pieces: list[bytes], place: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces in the order of ``place`` as one block of bytes, and the texts' bounds in it."""
+    blob = np.frombuffer(b"".join(pieces), np.uint8)
+    size = np.array(list(map(len, pieces)), np.int64) if pieces else np.zeros(1, np.int64)
+    low = np.cumsum(size) - size
+    size = size[place]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    out = blob[np.repeat(low[place] - (ends - size), size) + np.arange(total)] if total else np.zeros(0, np.uint8)
+    return out, np.concatenate([[0], ends])[first]
+
+
+def _column(data: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def frequent_words(docs: DataFrame, model, most: int = FREQUENT) -> dict[bytes, list[int]]:
+    """The most frequent words of all texts, at most ``most``, and their ids: all words whose count
+    reaches the least eighth of a power of two that so few reach."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, seen = Bpe(model.value), Counter()
+        gc.disable()
 
         def out() -> pa.RecordBatch:
             words: Counter = Counter()
             for run, n in seen.items():
-                for w in bpe.words(run):
+                for w in bpe.words(run.decode("utf-8", "replace")):
                     if isinstance(w, str):
                         words[w] += n
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for t in batch.column(0):
-                seen.update(runs(t.as_py() or ""))
+            for _, raw, at in chunks(batch.column(0), OUT_BYTES):
+                distinct, place, _ = distinct_runs(raw, at)
+                for run, n in zip(distinct, np.bincount(place, minlength=len(distinct)).tolist(), strict=True):
+                    seen[run] += n
                 if len(seen) > MEMO:
                     yield out()
         yield out()
 
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = Bpe(model.value)
+        for batch in batches:
+            own = bpe.merge_all([w.encode("utf-8", "surrogatepass") for w in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int32()))], ["word", "ids"])
+
     counted = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in bounded_rows(counted.orderBy(F.desc("n"), "word").limit(most).select("word"), most)]
+    counted = keep(counted.withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "counts")
+    steps = sorted(((r["step"], r["n"]) for r in bounded_rows(counted.groupBy("step").agg(F.count("*").alias("n")), 1024)), reverse=True)
+    reach, held = 1 << 20, 0
+    for step, n in steps:
+        held += n
+        if held > most:
+            break
+        reach = step
+    chosen = counted.where(F.col("step") >= reach).select("word").mapInArrow(ids, "word string, ids array<int>")
+    return {r["word"].encode("utf-8", "surrogatepass"): r["ids"] for r in bounded_rows(chosen, most)}
 
 
 def put_file(spark: SparkSession, content: bytes, name: str) -> str:
@@ -161,44 +259,48 @@ def encoded(docs: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> DataFr
     with open(tokenizer, encoding="utf-8") as f:
         content = f.read()
     model = spark.sparkContext.broadcast(content)
-    bpe = Bpe(content)
-    name = put_file(spark, compile_lexicon({w.encode("utf-8", "surrogatepass"): bpe.merge(w) for w in frequent_words(docs, model, frequent)}), "lexicon")
+    name = put_file(spark, compile_lexicon(frequent_words(docs, model, frequent)), "lexicon")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, lexicon = Bpe(model.value), Lexicon(SparkFiles.get(name))
-        known: dict[str, tuple[bytes, str]] = {}
-
-        def learn(new: list[str]) -> None:
-            words = [bpe.words(r) for r in new]
-            distinct = list(dict.fromkeys(w for ws in words for w in ws if isinstance(w, str)))
-            ranks = lexicon.ranks([w.encode("utf-8", "surrogatepass") for w in distinct]).tolist()
-            ids = {w: lexicon.tokens(r) if r >= 0 else bpe.merge(w) for w, r in zip(distinct, ranks, strict=True)}
+        known: dict[bytes, tuple[bytes, bytes]] = {}  # ids, and the decoded tokens with a space after each
+        gc.disable()  # the memo has no cycles, and walking it costs more than it frees
+
+        def learn(new: list[bytes]) -> None:
+            words = [bpe.words(r.decode("utf-8", "replace")) for r in new]
+            distinct = list({w for ws in words for w in ws if isinstance(w, str)})
+            raw = [w.encode("utf-8", "surrogatepass") for w in distinct]
+            ids = lexicon.tokens(lexicon.ranks(raw))
+            rest = [i for i, own in enumerate(ids) if own is None]
+            for i, own in zip(rest, bpe.merge_all([raw[i] for i in rest]), strict=True):
+                ids[i] = own
+            coded: dict[str | int, tuple[bytes, bytes]] = {
+                w: (array("I", own).tobytes(), (bpe.decode(own) + " ").encode()) for w, own in zip(distinct, ids, strict=True)}
+            coded.update({i: (array("I", [i]).tobytes(), (bpe.decode([i]) + " ").encode()) for i in bpe.special.values()})
             for r, ws in zip(new, words, strict=True):
-                own = [i for w in ws for i in (ids[w] if isinstance(w, str) else [w])]
-                known[r] = np.array(own, "<u4").tobytes(), bpe.decode(own)
+                if len(ws) == 1:
+                    known[r] = coded[ws[0]]
+                else:
+                    known[r] = b"".join([coded[w][0] for w in ws]), b"".join([coded[w][1] for w in ws])
 
         for batch in batches:
-            texts, at = batch.column(1), 0
-            while at < len(texts):
-                cut, size = [], 0
-                first = at
-                while at < len(texts) and (size < OUT_BYTES or at == first):
-                    t = texts[at].as_py() or ""
-                    size += len(t)
-                    cut.append(runs(t))
-                    at += 1
-                new = {r for c in cut for r in c} - known.keys()
+            for row, raw, at in chunks(batch.column(1), OUT_BYTES):
+                distinct, place, first = distinct_runs(raw, at)
+                new = [r for r in distinct if r not in known]
                 if len(known) + len(new) > MEMO:
                     known.clear()
-                    new = {r for c in cut for r in c}
-                learn(list(new))
-                ids, back = [], []
-                for c in cut:
-                    pairs = [known[r] for r in c]
-                    ids.append(b"".join([i for i, _ in pairs]))
-                    back.append(" ".join([s for _, s in pairs if s]))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[first:at], pa.array(ids, pa.binary()), pa.array(back, pa.string())],
-                                                 ["doc_id", "ids", "decoded"])
+                    new = distinct
+                learn(new)
+                own = [known[r] for r in distinct]
+                ids, ends = gathered([i for i, _ in own], place, first)
+                said, bounds = gathered([d for _, d in own], place, first)
+                full = np.flatnonzero(np.diff(bounds) > 0)  # the space after a text's last token goes
+                stay = np.ones(len(said), bool)
+                stay[bounds[full + 1] - 1] = False
+                bounds = bounds - np.concatenate([[0], np.cumsum(np.diff(bounds) > 0)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(row, len(at) - 1), _column(ids, ends, pa.binary()), _column(said[stay], bounds, pa.string())],
+                    ["doc_id", "ids", "decoded"])
 
     return docs.mapInArrow(run, "doc_id long, ids binary, decoded string")
 

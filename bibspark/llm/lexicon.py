@@ -94,5 +94,13 @@ class Lexicon:
             step += 1
         return rank
 
-    def tokens(self, rank: int) -> list[int]:
-        return self.ids[self.bounds[rank] : self.bounds[rank + 1]].tolist()
+    def tokens(self, ranks: np.ndarray) -> list[list[int] | None]:
+        """The ids of the words with these ranks; None for -1."""
+        known = np.flatnonzero(ranks >= 0)
+        low, size = self.bounds[ranks[known]], self.bounds[ranks[known] + 1] - self.bounds[ranks[known]]
+        ends = np.cumsum(size)
+        flat = self.ids[np.repeat(low - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)].tolist()
+        out: list[list[int] | None] = [None] * len(ranks)
+        for at, end, n in zip(known.tolist(), ends.tolist(), size.tolist(), strict=True):
+            out[at] = flat[end - n : end]
+        return out

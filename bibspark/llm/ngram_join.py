@@ -90,7 +90,8 @@ def _least(n, percent: int):
 
 
 def _prefixes(k: int, percent: int, counts):
-    """Postings (shingle, class, size, position) of each set's prefix, once per class and task batch."""
+    """Postings (shingle, class, size, position) of each set's prefix, and of what follows it as far as a
+    shingle in a linked set's prefix can stand, once per class and task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, seen = counts.value, set()
         for batch in batches:
@@ -101,7 +102,8 @@ def _prefixes(k: int, percent: int, counts):
                     continue
                 if len(seen) < 1_000_000:  # a repeat that is sent twice is harmless
                     seen.add(c)
-                m = n - _least(n, percent) + 1
+                # a shingle in a set's prefix that a linked set also has stands within this many of the other's first
+                m = min(n, n * (100 - percent) * (100 + percent) // (100 * percent) + 2)
                 rank = often[(own >> np.uint64(44)).astype(np.int64)]
                 if m < n:
                     cut = np.partition(rank, m - 1)[m - 1]
@@ -217,10 +219,13 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, fragments:
     # equal neighbours on a list are one class; lists of one class link nothing and go
     shared = keep(found.withColumn("prev", F.lag("cls").over(lists)).withColumn("next", F.lead("cls").over(lists))
                   .where("(prev IS NULL AND next IS NOT NULL) OR prev <> cls").drop("prev", "next"), "postings")
-    # what of a set can be shared at all: all but the shingles of its prefix that no other class has
+    # of a set and a linked one all can be shared but those shingles of its prefix that no other class has as far down as
+    # the postings reach
+    least = F.ceil(F.col("n").cast("long") * percent / 100).cast("int")
+    shared = shared.where(F.col("pos") <= F.col("n") - least)
     support = shared.groupBy("cls").agg(F.count("*").alias("met"))
-    alone = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1 - F.col("met")
-    shared = keep(shared.join(support, "cls").select("tok", F.struct("cls", "n", "pos", (F.col("n") - alone).alias("free")).alias("row")), "postings")
+    free = least - 1 + F.col("met")
+    shared = keep(shared.join(support, "cls").select("tok", F.struct("cls", "n", "pos", free.alias("free")).alias("row")), "postings")
     # first pairs: neighbours by size, and all with the set that has least of its own
     near = W.partitionBy("tok").orderBy("row.n", "row.cls")
     hub = F.max(F.struct(F.col("row.free") - F.col("row.n"), F.col("row.cls"), F.col("row.n"), F.col("row.pos"), F.col("row.free"))).over(W.partitionBy("tok"))
