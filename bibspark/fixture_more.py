@@ -67,12 +67,13 @@ SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM (
     UNION ALL SELECT 4, '0' UNION ALL SELECT 5, 'x') t
   WHERE n <= 2
   UNION ALL
-  -- 852 holdings: $a organisation (code or long name), $b sub-location, $h $i call number parts
+  -- 852 holdings: $a organisation (code or long name), $b sub-location, $h $i call number parts, $e $n address
   SELECT 'ord' || CAST(l_orderkey AS STRING), 850 + n, '852', '0', ' ', sf_ord, code,
     CASE code WHEN 'a' THEN CASE WHEN n % 2 = 0 THEN 'DLC' ELSE 'Library of ' || n_name END
-      WHEN 'b' THEN 'Stacks ' || CAST(n AS STRING) WHEN 'h' THEN 'QA' || CAST(p_size AS STRING) ELSE '.B' || CAST(n AS STRING) END
+      WHEN 'b' THEN 'Stacks ' || CAST(n AS STRING) WHEN 'h' THEN 'QA' || CAST(p_size AS STRING) WHEN 'i' THEN '.B' || CAST(n AS STRING)
+      WHEN 'e' THEN CAST(n AS STRING) || ' Main Street' ELSE n_name || '.' END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, 'b' UNION ALL SELECT 3, 'h'
-    UNION ALL SELECT 4, 'i') t
+    UNION ALL SELECT 4, 'i' UNION ALL SELECT 5, 'e' UNION ALL SELECT 6, 'n') t
   WHERE n <= 2
 ) u
 """)

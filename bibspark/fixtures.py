@@ -18,7 +18,7 @@ from .session import TABLES, scratch_path
 # fixtures read by many queries: written once per session as tables in the shared
 # folder (spark.checkpoint.dir) and read back, instead of re-deriving them per query
 MATERIALIZE = {"fx_lines", "fx_subfields", "fx_more", "fx_notes", "fx_records"}
-_WRITTEN: dict[tuple[int, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 _FX_NAME = re.compile(r"\bfx_[a-z0-9_]+\b")
 
@@ -79,7 +79,7 @@ class Fixtures:
     def _register(self, n: str) -> None:
         df = self.spark.sql(FIXTURE_SQL[n])
         if self.materialize and n in MATERIALIZE:
-            key = (id(self.spark), self.sf_dir, n)
+            key = (self.spark.sparkContext.applicationId, self.sf_dir, n)
             path = _WRITTEN.get(key)
             if path is None:
                 path = scratch_path(self.spark, f"fixture-{n}")
@@ -92,7 +92,7 @@ class Fixtures:
         """Fields of a flat subfield source nested once per session (one shuffle by field),
         with the effective tag, written to the shared folder; rule jobs read this table."""
         from .plans import common as C
-        key = (id(self.spark), self.sf_dir, f"nested:{source}")
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, f"nested:{source}")
         path = _WRITTEN.get(key) if self.materialize else None
         if path is None:
             df = C.with_eff_tag(C.nest_fields(self[source]))
@@ -117,7 +117,7 @@ def with_fixtures(sql: str) -> str:
     used = {n for n in _FX_NAME.findall(body) if n in FIXTURE_SQL}
     if not used:
         return body
-    ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n].strip()})" for n in _closure(used))
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({FIXTURE_SQL[n].strip()})" for n in _closure(used))
     if re.match(r"(?is)^with\s", body):
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

@@ -175,22 +175,26 @@ def split_languages(s) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
-def time_period_code(code) -> Column:
-    """Code list of 045 time periods, generated by its rule.
+# --- fixed values: codes of 045 time periods ---------------------------------
+TIME_PERIODS = [
+    ("a0", "-XXXX/-3000"), ("b0", "-29XX"), ("b1", "-28XX"), ("b2", "-27XX"), ("b3", "-26XX"),
+    ("b4", "-25XX"), ("b5", "-24XX"), ("b6", "-23XX"), ("b7", "-22XX"), ("b8", "-21XX"),
+    ("b9", "-20XX"), ("c0", "-19XX"), ("c1", "-18XX"), ("c2", "-17XX"), ("c3", "-16XX"),
+    ("c4", "-15XX"), ("c5", "-14XX"), ("c6", "-13XX"), ("c7", "-12XX"), ("c8", "-11XX"),
+    ("c9", "-10XX"), ("d0", "-09XX"), ("d1", "-08XX"), ("d2", "-07XX"), ("d3", "-06XX"),
+    ("d4", "-05XX"), ("d5", "-04XX"), ("d6", "-03XX"), ("d7", "-02XX"), ("d8", "-01XX"),
+    ("d9", "-00XX"), ("e", "00"), ("f", "01"), ("g", "02"), ("h", "03"),
+    ("i", "04"), ("j", "05"), ("k", "06"), ("l", "07"), ("m", "08"),
+    ("n", "09"), ("o", "10"), ("p", "11"), ("q", "12"), ("r", "13"),
+    ("s", "14"), ("t", "15"), ("u", "16"), ("v", "17"), ("w", "18"),
+    ("x", "19"), ("y", "20"),
+]
+# ---------------------------------------------------------------------------
 
-    a0 -> -XXXX/-3000; b0..b9 -> -29XX..-20XX; c0..c9 -> -19XX..-10XX;
-    d0..d9 -> -09XX..-00XX; e..y (one letter) -> 00..20.
-    """
-    c = _c(code)
-    l1 = F.substring(c, 1, 1)
-    d = F.substring(c, 2, 1)
-    dig = d.try_cast("int")
-    century = F.when(l1 == "b", 29 - dig).when(l1 == "c", 19 - dig).when(l1 == "d", 9 - dig)
-    return (F.when(c == "a0", F.lit("-XXXX/-3000"))
-            .when(l1.isin("b", "c", "d") & (F.length(c) == 2) & d.rlike("^[0-9]$"),
-                  F.concat(F.lit("-"), F.lpad(century.cast("string"), 2, "0"), F.lit("XX")))
-            .when((F.length(c) == 1) & (c >= "e") & (c <= "y"),
-                  F.lpad((F.ascii(c) - F.ascii(F.lit("e"))).cast("string"), 2, "0")))
+
+def time_period_code(code) -> Column:
+    """Code list of 045 time periods; null for any other code."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for row in TIME_PERIODS for x in row]), _c(code))
 
 
 def _period_half(s: Column, pos: int) -> Column:

@@ -79,15 +79,16 @@ def work_title_anti(subfields: DataFrame) -> DataFrame:
 
 
 def shelfmarks(subfields: DataFrame) -> DataFrame:
-    """J05 + X19: every 051 of the record is another shelf mark of each 050 item."""
-    f050 = C.nest_fields(subfields.where(F.col("tag") == "050"))
-    f051 = C.nest_fields(subfields.where(F.col("tag") == "051"))
-    def mark(df, src):
-        a = C.first_value(F.col("sfs"), "a")
-        b = C.first_value(F.col("sfs"), "b")
-        return df.select("record_id", F.col("ord").alias(f"ord_{src}"), X.shelf_mark(a, b).alias(f"mark_{src}"))
-    items = mark(f050, "050").where(X.lcc_valid(F.col("mark_050")))
-    return items.join(mark(f051, "051"), "record_id", "left")
+    """J05 + X19: the shelf mark of each 050 item, its class by the first $a alone, and every 051 of
+    the record ($a, $b and $c) as a further mark of it."""
+    a, b, c = (C.first_value(F.col("sfs"), x) for x in "abc")
+    mark = X.shelf_mark(a, b)
+    f050 = C.nest_fields(subfields.where(F.col("tag") == "050")).select(
+        "record_id", F.col("ord").alias("ord_050"), X.normalize_space(mark).alias("mark_050"),
+        F.when(X.lcc_valid(F.coalesce(a, F.lit(""))), F.lit("ShelfMarkLcc")).otherwise(F.lit("ShelfMark")).alias("class_050"))
+    f051 = C.nest_fields(subfields.where(F.col("tag") == "051")).select(
+        "record_id", F.col("ord").alias("ord_051"), X.chop_punct(X.normalize_space(F.concat_ws(" ", mark, c))).alias("mark_051"))
+    return f050.join(f051, "record_id", "left")
 
 
 def translation_language(subfields: DataFrame) -> DataFrame:
@@ -271,17 +272,25 @@ def item_grouping(fields: DataFrame, records: DataFrame) -> DataFrame:
                     F.concat(F.col("ruri"), F.lit("#Item"), tag, F.lit("-"), o.cast("string")).alias("item_uri"))
 
 
+# --- fixed values: subfields of a subject's label, by tag -------------------------
+SUBJECT_CODES = {"648": "avxyz", "650": "abcdvxyz", "651": "abvxyz", "655": "avxyz"}
+# ----------------------------------------------------------------------------------
+
+
 def subject_label(subfields: DataFrame) -> DataFrame:
-    """Subject label, components joined by '--' in document order."""
-    s = subfields.where(F.col("tag").isin("600", "610", "611", "648", "650", "651", "655")
-                        & ~F.col("code").isin("0", "2", "3", "4", "5", "6", "8", "e", "w"))
+    """Label of 648/650/651 and 655 (first indicator blank): the tag's components, each
+    followed by '--', in document order, without what of ``- `` ends it."""
+    codes = F.create_map(*[F.lit(x) for row in SUBJECT_CODES.items() for x in row])
+    s = subfields.where(F.col("tag").isin(*SUBJECT_CODES) & ((F.col("tag") != "655") | (F.col("ind1") == " "))
+                        & (F.instr(codes[F.col("tag")], F.col("code")) > 0))
     g = s.groupBy("record_id", "ord").agg(F.array_sort(F.collect_list(F.struct("sf_ord", "value"))).alias("p"))
-    return g.select("record_id", "ord", F.array_join(F.transform("p", lambda x: X.chop_punct(x["value"])), "--")
-                    .alias("label"))
+    whole = F.array_join(F.transform("p", lambda x: F.concat(x["value"], F.lit("--"))), "")
+    return g.select("record_id", "ord", X.rtrim_set(whole, "- ").alias("label"))
 
 
 def holding_address(subfields: DataFrame) -> DataFrame:
-    """852 shelf address: call number parts $h $i ... joined by a space."""
-    s = subfields.where((F.col("tag") == "852") & F.col("code").isin("h", "i", "j", "k", "l", "m"))
+    """Address of 850/852: $e and $n in document order, each followed by ', ', chopped."""
+    s = subfields.where(F.col("tag").isin("850", "852") & F.col("code").isin("e", "n"))
     g = s.groupBy("record_id", "ord").agg(F.array_sort(F.collect_list(F.struct("sf_ord", "value"))).alias("p"))
-    return g.select("record_id", "ord", F.array_join(F.transform("p", lambda x: x["value"]), " ").alias("shelf_mark"))
+    whole = F.array_join(F.transform("p", lambda x: F.concat(x["value"], F.lit(", "))), "")
+    return g.select("record_id", "ord", X.chop_punct(whole).alias("address"))

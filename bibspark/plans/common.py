@@ -33,7 +33,8 @@ def nest_fields(subfields: DataFrame) -> DataFrame:
 
 def nested_from_fields(fields: DataFrame) -> DataFrame:
     """Decoded data fields (value with 0x1F delimiters) -> nested ``sfs``; narrow."""
-    parts = F.slice(F.split(F.col("value"), "\x1f", -1), 2, 100000)
+    parts = F.split(F.col("value"), "\x1f", -1)
+    parts = F.slice(parts, F.lit(2), F.size(parts))  # all after the indicators
     sfs = F.transform(parts, lambda p, i: F.struct((i + 1).cast("int").alias("sf_ord"),
                                                    F.substring(p, 1, 1).alias("code"),
                                                    F.substr(p, F.lit(2)).alias("value")))
@@ -77,7 +78,12 @@ def marc_key(tag: Column, ind1: Column, ind2: Column, sfs: Column, codes: str |
 
 def record_uris(records: DataFrame, id_col: str = "c001", base: str = BASE_URI) -> DataFrame:
     """F05 on the header table: base URI + url-encoded control number."""
-    return records.select("record_id", F.concat(F.lit(base), X.url_encode(id_col)).alias("ruri"))
+    return with_record_uri(records, id_col, base).select("record_id", "ruri")
+
+
+def with_record_uri(records: DataFrame, id_col: str = "c001", base: str = BASE_URI) -> DataFrame:
+    """The header table with each record's URI: a projection, no join."""
+    return records.withColumn("ruri", F.concat(F.lit(base), X.url_encode(id_col)))
 
 
 def with_uri(fields: DataFrame, uris: DataFrame) -> DataFrame:

@@ -19,8 +19,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 MODULES = (
-    "sources", "decode", "expressions", "joins", "aggregates", "rules",
-    "graph", "streams", "sinks", "metrics",
+    "sources", "expressions", "joins", "rules", "graph", "streams", "sinks",
 )
 
 
@@ -35,11 +34,7 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     for m in MODULES:
-        try:
-            importlib.import_module(f"{__name__}.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"{__name__}.{m}":
-                raise
+        importlib.import_module(f"{__name__}.{m}")
     return REGISTRY
 
 

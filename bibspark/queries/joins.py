@@ -76,10 +76,8 @@ def work_title_anti(spark, sf_dir):
 
 
 def _mark_sql(tag: str) -> str:
-    return f"""SELECT record_id, ord,
-    arg_min(CASE WHEN code = 'a' THEN value END, CASE WHEN code = 'a' THEN sf_ord END) AS a,
-    arg_min(CASE WHEN code = 'b' THEN value END, CASE WHEN code = 'b' THEN sf_ord END) AS b
-  FROM fx_all WHERE tag = '{tag}' GROUP BY record_id, ord"""
+    first = ", ".join(f"arg_min(CASE WHEN code = '{c}' THEN value END, CASE WHEN code = '{c}' THEN sf_ord END) AS {c}" for c in "abc")
+    return f"SELECT record_id, ord, {first} FROM fx_class WHERE tag = '{tag}' GROUP BY record_id, ord"
 
 
 def _shelf_sql(a: str, b: str) -> str:
@@ -88,12 +86,12 @@ def _shelf_sql(a: str, b: str) -> str:
 
 @query("shelfmarks", rf"""
 WITH m0 AS ({_mark_sql('050')}), m1 AS ({_mark_sql('051')}),
-i AS (SELECT record_id, ord AS ord_050, {_shelf_sql('a', 'b')} AS mark_050 FROM m0),
-j AS (SELECT record_id, ord AS ord_051, {_shelf_sql('a', 'b')} AS mark_051 FROM m1)
-SELECT i.record_id, ord_050, mark_050, ord_051, mark_051 FROM i LEFT JOIN j USING (record_id)
-WHERE regexp_matches(coalesce(mark_050, ''), '^([A-Z]{{1,3}}[0-9]|[A-Z]{{0,3}}\z)')""")
+i AS (SELECT record_id, ord AS ord_050, trim(regexp_replace({_shelf_sql('a', 'b')}, '\s+', ' ', 'g')) AS mark_050,
+  CASE WHEN regexp_matches(coalesce(a, ''), '^([A-Z]{{1,3}}[0-9]|[A-Z]{{0,3}}\z)') THEN 'ShelfMarkLcc' ELSE 'ShelfMark' END AS class_050 FROM m0),
+j AS (SELECT record_id, ord AS ord_051, rtrim(trim(regexp_replace(concat_ws(' ', {_shelf_sql('a', 'b')}, c), '\s+', ' ', 'g')), '.:,;/ ') AS mark_051 FROM m1)
+SELECT i.record_id, ord_050, mark_050, class_050, ord_051, mark_051 FROM i LEFT JOIN j USING (record_id)""")
 def shelfmarks(spark, sf_dir):
-    return W.shelfmarks(_all(spark, sf_dir))
+    return W.shelfmarks(Fixtures(spark, sf_dir).fx_class)
 
 
 @query("translation_language", f"""
@@ -242,18 +240,19 @@ def item_grouping(spark, sf_dir):
 
 
 @query("subject_label", """
-SELECT record_id, ord, string_agg(rtrim(value, '.:,;/ '), '--' ORDER BY sf_ord) AS label FROM fx_all
-WHERE tag IN ('600','610','611','648','650','651','655') AND code NOT IN ('0','2','3','4','5','6','8','e','w')
+SELECT record_id, ord, rtrim(string_agg(value || '--', '' ORDER BY sf_ord), '- ') AS label FROM fx_all
+WHERE (tag = '650' AND code IN ('a','b','c','d','v','x','y','z')) OR (tag = '651' AND code IN ('a','b','v','x','y','z'))
+  OR (tag = '648' AND code IN ('a','v','x','y','z')) OR (tag = '655' AND ind1 = ' ' AND code IN ('a','v','x','y','z'))
 GROUP BY record_id, ord""")
 def subject_label(spark, sf_dir):
     return W.subject_label(_all(spark, sf_dir))
 
 
 @query("holding_address", """
-SELECT record_id, ord, string_agg(value, ' ' ORDER BY sf_ord) AS shelf_mark FROM fx_all
-WHERE tag = '852' AND code IN ('h','i','j','k','l','m') GROUP BY record_id, ord""")
+SELECT record_id, ord, rtrim(string_agg(value || ', ', '' ORDER BY sf_ord), '.:,;/ ') AS address FROM fx_more
+WHERE tag IN ('850', '852') AND code IN ('e', 'n') GROUP BY record_id, ord""")
 def holding_address(spark, sf_dir):
-    return W.holding_address(_all(spark, sf_dir))
+    return W.holding_address(Fixtures(spark, sf_dir).fx_more)
 
 
 @query("tag_ordinal", """

@@ -281,7 +281,8 @@ c AS (SELECT f.*, coalesce(ex.cls, st.cls) AS id_cls, r.ruri || '#Instance' AS I
       JOIN r USING (record_id)),
 i AS (SELECT c.*, unnest(list_filter(sfs, lambda s: s.code IN ('a', 'y', 'z'))) AS s FROM c),
 j AS (SELECT record_id, tag, sfs, I, id_cls, s.code AS code,
-        CASE WHEN tag = '035' AND instr(s.value, ')') > 0 THEN substr(s.value, instr(s.value, ')') + 1) ELSE s.value END AS vid,
+        CASE WHEN tag = '035' AND instr(s.value, ')') > 0 THEN substr(s.value, instr(s.value, ')') + 1)
+          WHEN tag = '020' THEN rtrim(s.value, '.:,;/ ') ELSE s.value END AS vid,
         '_:' || record_id || '-' || CAST(ord AS VARCHAR) || '-' || CAST(s.sf_ord AS VARCHAR) || '-identifier-1' AS B,
         list_filter(sfs, lambda y: y.code = 'd')[1].value AS d017 FROM i),
 k AS (SELECT j.record_id, j.B, unnest(list_filter(sfs, lambda s: s.code IN ('c', 'q'))) AS x FROM j)"""
@@ -292,7 +293,7 @@ _IDS_SELS = [
     triple_select("j", "B", q(RDF + "value"), "vid"),
     triple_select("j", "B", q(BF + "status"), "B || '-status'", "'bnode'", "code IN ('y', 'z')"),
     triple_select("j", "B || '-status'", q(TYPE), q(BF + "Status"), "'uri'", "code IN ('y', 'z')"),
-    triple_select("j", "B || '-status'", q(LABEL), "CASE WHEN code = 'z' THEN 'invalid' ELSE 'incorrect' END", "'literal'",
+    triple_select("j", "B || '-status'", q(LABEL), "CASE WHEN code = 'y' THEN 'incorrect' WHEN tag = '022' THEN 'canceled' ELSE 'invalid' END", "'literal'",
                   "code IN ('y', 'z')"),
     triple_select("k", "B", f"CASE WHEN x.code = 'c' THEN {q(BF + 'acquisitionTerms')} ELSE {q(BF + 'qualifier')} END",
                   "rtrim(x.value, ':,;/ ')"),
@@ -1432,7 +1433,7 @@ j AS (SELECT s.record_id, ic.*, s.cnt0, CASE WHEN TRY_CAST(trim(s.cnt0) AS INT)
         THEN CAST(TRY_CAST(trim(s.cnt0) AS INT) AS VARCHAR) ELSE 'NaN' END AS cnt,
         '_:' || s.record_id || '-' || CAST(s.ord AS VARCHAR) || '-' || CAST(s.sf_ord AS VARCHAR) || '-instrument-1' AS N,
         r.ruri || '#Work' AS W
-      FROM s JOIN {_vals(INS.instrument_codes(), 'i_code, prop, entity, tprop, itype, label', 'ic')} ON ic.i_code = s.code2
+      FROM s JOIN {_vals(INS.INSTRUMENT_CODES, 'i_code, prop, entity, tprop, itype, label', 'ic')} ON ic.i_code = s.code2
       JOIN r ON r.record_id = s.record_id)
 """ + finish("R10", [
     triple_select("j", "W", f"'{BF}' || prop", "N", "'bnode'"),

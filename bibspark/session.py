@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,13 +46,15 @@ def spark_session(cpus: int | str | None = None, app: str = "bibspark",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    scratch folder is made and set, so lineage cuts and intermediate
-    tables never land on a machine-local path on a real cluster.
+    Read from the session.  Only a local session (tests) may leave it unset; it
+    gets a fresh scratch folder.  On a cluster a folder of the driver's machine
+    would be no shared one, so an unset value is an error there.
     """
     conf = spark.sparkContext.getConf()
     path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="bibspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -62,14 +65,5 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder (one per call)."""
     base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
-
-def _gen():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _gen()
