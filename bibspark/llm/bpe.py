@@ -40,8 +40,8 @@ from .words import chunks, hash_spans, mix, spans
 FREQUENT = 65_536  # words in the lexicon at most
 LONG = 48  # bytes of a word that is merged on its own
 _NONE = 1 << 40  # the rank of what is no pair
-MEMO = 400_000  # runs that a task remembers before it starts afresh
-OUT_BYTES = 1 << 22  # of texts in an output batch
+MEMO = 250_000  # runs that a task remembers before it starts afresh
+OUT_BYTES = 1 << 20  # of texts that are worked on and put out together
 
 def byte_chars() -> list[str]:
     """The printable character that byte-level vocabularies write for each byte."""
@@ -194,12 +194,23 @@ def _column(data: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
 
 
+def without_gc(run):
+    """A batch function that runs with the cycle collector off: its memo has no cycles, and walking it costs more than it frees."""
+    def quiet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            gc.enable()
+
+    return quiet
+
+
 def frequent_words(docs: DataFrame, model, most: int = FREQUENT) -> dict[bytes, list[int]]:
     """The most frequent words of all texts, at most ``most``, and their ids: all words whose count
     reaches the least eighth of a power of two that so few reach."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, seen = Bpe(model.value), Counter()
-        gc.disable()
 
         def out() -> pa.RecordBatch:
             words: Counter = Counter()
@@ -225,7 +236,7 @@ def frequent_words(docs: DataFrame, model, most: int = FREQUENT) -> dict[bytes,
             own = bpe.merge_all([w.encode("utf-8", "surrogatepass") for w in batch.column(0).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int32()))], ["word", "ids"])
 
-    counted = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(without_gc(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = keep(counted.withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "counts")
     steps = sorted(((r["step"], r["n"]) for r in bounded_rows(counted.groupBy("step").agg(F.count("*").alias("n")), 1024)), reverse=True)
     reach, held = 1 << 20, 0
@@ -264,7 +275,6 @@ def encoded(docs: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, lexicon = Bpe(model.value), Lexicon(SparkFiles.get(name))
         known: dict[bytes, tuple[bytes, bytes]] = {}  # ids, and the decoded tokens with a space after each
-        gc.disable()  # the memo has no cycles, and walking it costs more than it frees
 
         def learn(new: list[bytes]) -> None:
             words = [bpe.words(r.decode("utf-8", "replace")) for r in new]
@@ -302,7 +312,7 @@ def encoded(docs: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> DataFr
                     [batch.column(0).slice(row, len(at) - 1), _column(ids, ends, pa.binary()), _column(said[stay], bounds, pa.string())],
                     ["doc_id", "ids", "decoded"])
 
-    return docs.mapInArrow(run, "doc_id long, ids binary, decoded string")
+    return docs.mapInArrow(without_gc(run), "doc_id long, ids binary, decoded string")
 
 
 def digests(tokens: DataFrame) -> DataFrame:
