@@ -40,8 +40,8 @@ from .words import chunks, hash_spans, mix, spans
 FREQUENT = 65_536  # words in the lexicon at most
 LONG = 48  # bytes of a word that is merged on its own
 _NONE = 1 << 40  # the rank of what is no pair
-MEMO = 250_000  # runs that a task remembers before it starts afresh
-OUT_BYTES = 1 << 20  # of texts that are worked on and put out together
+MEMO = 150_000  # runs that a task remembers before it starts afresh
+OUT_BYTES = 1 << 18  # of texts that are worked on and put out together
 
 def byte_chars() -> list[str]:
     """The printable character that byte-level vocabularies write for each byte."""

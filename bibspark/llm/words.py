@@ -2,7 +2,7 @@
 
 A word is a maximal run of bytes other than space and 0x09-0x0D (so the text is
 UTF-8 bytes throughout); hashing lower-cases A-Z only.  A column is worked off in
-chunks of about a megabyte, so a task's memory is bounded by one chunk (or one
+chunks of about a quarter of a megabyte, so a task's memory is bounded by one chunk (or one
 text, if a text is longer).
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
