@@ -11,7 +11,7 @@ table and taken up to the budget.
 Both running totals (within a source, then over all) are distributed sorts with one
 offset for each partition; a hot source is cut by the random key.  What is taken of a
 source is a prefix of its order, so a table of one cut for each source marks the
-documents, and texts are never shuffled.
+documents.
 
 Defined cases: a null text has size 0 and is taken in full length 0; rows with the same
 source, doc_id and text stand at one place in the order and are taken together; sources of
