@@ -9,8 +9,8 @@ brought to NFC, white space separates, letters are lower-cased one by one, the f
 pattern cuts words, and bytes are merged with the word-end mark.  Without a decoder in
 the file, decoding joins the tokens with spaces.
 
-Texts are cut at white space, and each distinct run is worked out once per task (a
-bounded memo).  Ids are kept as little-endian unsigned 32-bit integers.
+A block of texts is cut at white space, its distinct runs into words, and each distinct word
+is worked out once per block, all as arrays.  Ids are kept as little-endian unsigned 32-bit integers.
 
 Defined cases: a null text is empty, an empty text has no ids and decodes to ""; repeated
 rows are returned as often as they come; other columns are ignored; an empty table gives no rows.
@@ -22,9 +22,9 @@ import gc
 import heapq
 import json
 import unicodedata
-from array import array
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +35,25 @@ from pyspark.sql import functions as F
 
 from .lexicon import Lexicon, compile_lexicon
 from .shared import bounded_rows, fresh_path, keep
-from .words import chunks, hash_spans, mix, spans
+from .words import chunks, hash_spans, hash_word, mix, spans, text_buffers
 
 FREQUENT = 65_536  # words in the lexicon at most
 LONG = 48  # bytes of a word that is merged on its own
 _NONE = 1 << 40  # the rank of what is no pair
-MEMO = 150_000  # runs that a task remembers before it starts afresh
+MEMO = 150_000  # words that a task counts before it puts them out
 OUT_BYTES = 1 << 18  # of texts that are worked on and put out together
 
+_DIGIT = 2
+_KIND = np.zeros(256, np.uint8)  # of an ASCII character: letter, digit or neither
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[48:58] = _DIGIT
+_ODD = np.zeros(256, bool)  # characters whose run the pattern cuts
+_ODD[128:] = True
+_ODD[[ord("'"), ord("|")]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
 def byte_chars() -> list[str]:
     """The printable character that byte-level vocabularies write for each byte."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -55,6 +66,28 @@ def lower(text: str) -> str:
     return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
 
 
+def spread(block: np.ndarray, low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of a block one after another, and where each ends there."""
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return block[np.repeat(low - (ends - size), size) + np.arange(total)], ends
+
+
+class Cut(NamedTuple):
+    """A block of texts in words: the distinct words (spans of ``block``, by hash), the distinct runs between
+    white space (``n_words`` places in ``which`` from ``run_low``), and the texts (runs by ``place``, bounded by ``first``)."""
+
+    block: np.ndarray
+    low: np.ndarray
+    size: np.ndarray
+    hash: np.ndarray
+    which: np.ndarray
+    run_low: np.ndarray
+    n_words: np.ndarray
+    place: np.ndarray
+    first: np.ndarray
+
+
 class Bpe:
     """The model of a tokenizer file: byte-level BPE with a word-end suffix, lower case."""
 
@@ -80,18 +113,23 @@ class Bpe:
         table = sorted((self.ids[a] << 16 | self.ids[b], r, self.ids[a + b]) for (a, b), r in self.ranks.items())
         self.pairs, self.pair_ranks, self.merged = (np.array(x, np.int64) for x in zip(*table, strict=True))
         names = {**{i: t for t, i in self.ids.items()}, **{i: t for t, i in self.special.items()}}
-        self.names = [names.get(i, "") for i in range(max(names) + 1)]  # every id has a token in such a file
-
-    def words(self, run: str) -> list[str | int]:
-        """The words of a run without white space, normalised; special strings as their ids."""
+        said = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]  # every id has a token in such a file
+        self.said = np.frombuffer(b"".join(said), np.uint8)
+        self.said_size = np.array([len(x) for x in said], np.int64)
+        self.said_low = np.cumsum(self.said_size) - self.said_size
+        self.special_hash = np.array([hash_word(t.encode()) for t in self.special], np.uint64)
+        self.special_ids = np.array(list(self.special.values()), np.int64)
+
+    def words(self, run: str) -> list[str]:
+        """The words of a run without white space, normalised; special strings as they are."""
         if run.isascii() and "<|" not in run:
             return [run.lower()] if run.isalpha() else self.cut.findall(run.lower())
         if "<|" not in run:
             return self.cut.findall(lower(unicodedata.normalize("NFC", run)))
-        out: list[str | int] = []
+        out: list[str] = []
         for part in self.marks.split(run) if self.marks else [run]:
             if part in self.special:
-                out.append(self.special[part])
+                out.append(part)
             else:
                 out += self.cut.findall(lower(unicodedata.normalize("NFC", part)))
         return out
@@ -119,75 +157,102 @@ class Bpe:
                     heapq.heappush(queue, (r, x, parts[x], parts[y]))
         return [self.ids[p] for p, here in zip(parts, alive, strict=True) if here and p in self.ids]
 
-    def merge_all(self, words: list[bytes]) -> list[list[int]]:
-        """``merge`` of many words at once: each step merges the pair of lowest rank, leftmost, in every word."""
-        long = [i for i, w in enumerate(words) if len(w) > LONG]
-        out: list[list[int]] = [[]] * len(words)
-        for i in long:
-            out[i] = self.merge(words[i].decode("utf-8", "surrogatepass"))
-        live = np.array([i for i, w in enumerate(words) if 0 < len(w) <= LONG], np.int64)
-        if not len(live):
-            return out
-        size = np.array([len(words[i]) for i in live])
-        raw = np.frombuffer(b"".join([words[i] for i in live]), np.uint8)
-        ids, word = self.inner[raw], np.repeat(np.arange(len(live)), size)
-        last = np.cumsum(size) - 1
-        ids[last] = self.ending[raw[last]]
+    def looked_up(self, ids: np.ndarray, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rank of the pair that begins at each of these places, and what it merges to."""
+        at_next = np.minimum(at + 1, len(ids) - 1)
+        key = ids[at] << 16 | ids[at_next]
+        i = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        pair = (self.pairs[i] == key) & (word[at_next] == word[at]) & (at_next > at)
+        return np.where(pair, self.pair_ranks[i], _NONE), self.merged[i]
+
+    def merge_all(self, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` of many words (spans of bytes) at once: each step merges the pair of lowest rank,
+        leftmost, in every word.  The ids of all words in their order, and how many each has."""
+        long = np.flatnonzero(size > LONG)
         parts = []  # finished words: (their number, their ids)
+        for i in long.tolist():
+            own = self.merge(raw[start[i] : start[i] + size[i]].tobytes().decode("utf-8", "surrogatepass"))
+            parts.append((np.full(len(own), i), np.array(own, np.int64)))
+        live = np.flatnonzero((size > 0) & (size <= LONG))
+        block, ends = spread(raw, start[live], size[live])
+        ids, word = self.inner[block], np.repeat(live, size[live])
+        ids[ends - 1] = self.ending[block[ends - 1]]
+        rank, new = self.looked_up(ids, word, np.arange(len(ids)))
         while len(ids):
-            key = ids[:-1] << 16 | ids[1:]
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            rank = np.full(len(ids), _NONE)
-            rank[:-1] = np.where((self.pairs[at] == key) & (word[1:] == word[:-1]), self.pair_ranks[at], _NONE)
             first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            best = np.minimum.reduceat(rank, first)
-            best = np.repeat(best, np.diff(np.append(first, len(ids))))
+            best = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(ids))))
             done = best == _NONE
             if done.any():
                 parts.append((word[done], ids[done]))
             hit = np.flatnonzero((rank == best) & ~done)
             hit = hit[np.concatenate([[True], word[hit[1:]] != word[hit[:-1]]])] if len(hit) else hit
-            ids[hit] = self.merged[at[hit]] if len(hit) else ids[hit]
+            ids[hit] = new[hit]
+            beside = np.zeros(len(ids), bool)
+            beside[hit] = beside[hit - 1] = True
             stay = ~done
             stay[hit + 1] = False
-            ids, word = ids[stay], word[stay]
+            ids, word, rank, new, beside = ids[stay], word[stay], rank[stay], new[stay], beside[stay]
+            at = np.flatnonzero(beside)
+            if len(at):
+                rank[at], new[at] = self.looked_up(ids, word, at)
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(len(size), np.int64)
         word, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
-        bounds = np.append(np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])), len(word))
-        flat = ids.tolist()
-        for lo, hi, w in zip(bounds[:-1].tolist(), bounds[1:].tolist(), live[word[bounds[:-1]]].tolist(), strict=True):
-            out[w] = flat[lo:hi]
-        return out
-
-    def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.names.__getitem__, ids))
-
-
-def distinct_runs(raw: np.ndarray, at: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The distinct runs of texts without ASCII white space (one spelling of those that differ in
-    the case of A-Z only), each run's place among them, and each text's bounds in the runs."""
-    starts, ends, first = spans(raw, at)
-    if not len(starts):
-        return [], np.zeros(0, np.int64), first
-    h = hash_spans(raw, starts, ends)
-    mark = np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
-    if len(mark):  # special strings keep their case: such a run is only like itself
-        own = np.unique(np.searchsorted(starts, mark, side="right") - 1)
-        h[own] = mix(own.astype(np.uint64) + np.uint64(1 << 40))
-    _, one, place = np.unique(h, return_index=True, return_inverse=True)
-    block = raw.tobytes()
-    return [block[s:e] for s, e in zip(starts[one].tolist(), ends[one].tolist(), strict=True)], place, first
-
-
-def gathered(pieces: list[bytes], place: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pieces in the order of ``place`` as one block of bytes, and the texts' bounds in it."""
-    blob = np.frombuffer(b"".join(pieces), np.uint8)
-    size = np.array(list(map(len, pieces)), np.int64) if pieces else np.zeros(1, np.int64)
-    low = np.cumsum(size) - size
-    size = size[place]
-    ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    out = blob[np.repeat(low[place] - (ends - size), size) + np.arange(total)] if total else np.zeros(0, np.uint8)
-    return out, np.concatenate([[0], ends])[first]
+        return ids[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(size))
+
+    def cut_runs(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The words of runs without white space: a block of bytes, each word's start and size in it, and
+        how many words each run has.  A word of plain ASCII is a stretch of letters, one digit, or a stretch of
+        anything else; the pattern cuts runs with other characters, an apostrophe or a special string.
+        Special strings come as words with their own spelling."""
+        n_odd = np.concatenate([[0], np.cumsum(_ODD[raw])])
+        odd = n_odd[ends] > n_odd[starts]
+        plain = np.flatnonzero(~odd)
+        block, bounds = spread(raw, starts[plain], (ends - starts)[plain])
+        kind, run = _KIND[block], np.repeat(plain, (ends - starts)[plain])
+        begins = np.ones(len(block), bool)
+        begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT) | (run[1:] != run[:-1])
+        low = np.flatnonzero(begins)
+        size = np.diff(np.append(low, len(block)))
+        odd = np.flatnonzero(odd)
+        pieces, counts, text = [], [], raw.tobytes()
+        for lo, hi in zip(starts[odd].tolist(), ends[odd].tolist(), strict=True):
+            words = self.words(text[lo:hi].decode("utf-8", "replace"))
+            counts.append(len(words))
+            pieces += words
+        pieces = [w.encode("utf-8", "surrogatepass") for w in pieces]
+        more = np.array([len(w) for w in pieces], np.int64)
+        run = np.concatenate([run[low], np.repeat(odd, np.array(counts, np.int64))])
+        low = np.concatenate([low, len(block) + np.cumsum(more) - more])
+        size = np.concatenate([size, more])
+        order = np.argsort(run, kind="stable")
+        block = np.concatenate([_LOWER[block], np.frombuffer(b"".join(pieces), np.uint8)])
+        return block, low[order], size[order], np.bincount(run, minlength=len(starts))
+
+    def words_of(self, raw: np.ndarray, at: np.ndarray) -> Cut:
+        """The distinct words of a block of texts, and where they stand."""
+        starts, ends, first = spans(raw, at)
+        if len(starts):
+            h = hash_spans(raw, starts, ends)
+            mark = np.flatnonzero((raw[:-1] == ord("<")) & (raw[1:] == ord("|")))
+            if len(mark):  # special strings keep their case: such a run is only like itself
+                alone = np.unique(np.searchsorted(starts, mark, side="right") - 1)
+                h[alone] = mix(alone.astype(np.uint64) + np.uint64(1 << 40))
+            _, one, place = np.unique(h, return_index=True, return_inverse=True)
+        else:
+            one = place = np.zeros(0, np.int64)
+        block, low, size, n_words = self.cut_runs(raw, starts[one], ends[one])
+        h, word, which = np.unique(hash_spans(block, low, low + size), return_index=True, return_inverse=True)
+        return Cut(block, low[word], size[word], h, which, np.cumsum(n_words) - n_words, n_words, place, first)
+
+    def decoded(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts that bounded stretches of ids decode to, in one block, and their bounds there."""
+        said, ends = spread(self.said, self.said_low[ids], self.said_size[ids])
+        bounds = np.concatenate([[0], ends])[bounds]
+        full = np.diff(bounds) > 0  # the space after a text's last token goes
+        stay = np.ones(len(said), bool)
+        stay[bounds[1:][full] - 1] = False
+        return said[stay], bounds - np.concatenate([[0], np.cumsum(full)])
 
 
 def _column(data: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -213,19 +278,20 @@ def frequent_words(docs: DataFrame, model, most: int = FREQUENT) -> dict[bytes,
         bpe, seen = Bpe(model.value), Counter()
 
         def out() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for run, n in seen.items():
-                for w in bpe.words(run.decode("utf-8", "replace")):
-                    if isinstance(w, str):
-                        words[w] += n
+            batch = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
             seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
+            return batch
 
         for batch in batches:
             for _, raw, at in chunks(batch.column(0), OUT_BYTES):
-                distinct, place, _ = distinct_runs(raw, at)
-                for run, n in zip(distinct, np.bincount(place, minlength=len(distinct)).tolist(), strict=True):
-                    seen[run] += n
+                cut = bpe.words_of(raw, at)
+                uses = np.repeat(np.bincount(cut.place, minlength=len(cut.n_words)), cut.n_words)
+                n = np.bincount(cut.which, weights=uses, minlength=len(cut.low)).astype(np.int64)
+                n[np.isin(cut.hash, bpe.special_hash)] = 0
+                block = cut.block.tobytes()
+                for low, size, own in zip(cut.low.tolist(), cut.size.tolist(), n.tolist(), strict=True):
+                    if own:
+                        seen[block[low : low + size]] += own
                 if len(seen) > MEMO:
                     yield out()
         yield out()
@@ -233,8 +299,10 @@ def frequent_words(docs: DataFrame, model, most: int = FREQUENT) -> dict[bytes,
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(model.value)
         for batch in batches:
-            own = bpe.merge_all([w.encode("utf-8", "surrogatepass") for w in batch.column(0).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int32()))], ["word", "ids"])
+            raw, at = text_buffers(batch.column(0))
+            flat, size = bpe.merge_all(raw, at[:-1], np.diff(at))
+            own = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), own], ["word", "ids"])
 
     counted = docs.select("text").mapInArrow(without_gc(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = keep(counted.withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "counts")
@@ -274,43 +342,33 @@ def encoded(docs: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, lexicon = Bpe(model.value), Lexicon(SparkFiles.get(name))
-        known: dict[bytes, tuple[bytes, bytes]] = {}  # ids, and the decoded tokens with a space after each
-
-        def learn(new: list[bytes]) -> None:
-            words = [bpe.words(r.decode("utf-8", "replace")) for r in new]
-            distinct = list({w for ws in words for w in ws if isinstance(w, str)})
-            raw = [w.encode("utf-8", "surrogatepass") for w in distinct]
-            ids = lexicon.tokens(lexicon.ranks(raw))
-            rest = [i for i, own in enumerate(ids) if own is None]
-            for i, own in zip(rest, bpe.merge_all([raw[i] for i in rest]), strict=True):
-                ids[i] = own
-            coded: dict[str | int, tuple[bytes, bytes]] = {
-                w: (array("I", own).tobytes(), (bpe.decode(own) + " ").encode()) for w, own in zip(distinct, ids, strict=True)}
-            coded.update({i: (array("I", [i]).tobytes(), (bpe.decode([i]) + " ").encode()) for i in bpe.special.values()})
-            for r, ws in zip(new, words, strict=True):
-                if len(ws) == 1:
-                    known[r] = coded[ws[0]]
-                else:
-                    known[r] = b"".join([coded[w][0] for w in ws]), b"".join([coded[w][1] for w in ws])
+
+        def ids_of(cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Each distinct word's ids: a block of ids, where each word's begin and how many they are."""
+            rank = lexicon.span_ranks(cut.block, cut.low, cut.size)
+            known, size = lexicon.flat_tokens(rank)
+            special = np.flatnonzero(np.isin(cut.hash, bpe.special_hash))
+            rest = np.flatnonzero(rank < 0)
+            merged, own = bpe.merge_all(cut.block, cut.low[rest], cut.size[rest])
+            low = np.cumsum(size) - size
+            size[rest], low[rest] = own, len(known) + np.cumsum(own) - own
+            own = [bpe.special_ids[np.flatnonzero(bpe.special_hash == h)[:1]] for h in cut.hash[special]]
+            size[special], low[special] = 1, len(known) + len(merged) + np.arange(len(special))
+            return np.concatenate([known, merged, *own]), low, size
 
         for batch in batches:
             for row, raw, at in chunks(batch.column(1), OUT_BYTES):
-                distinct, place, first = distinct_runs(raw, at)
-                new = [r for r in distinct if r not in known]
-                if len(known) + len(new) > MEMO:
-                    known.clear()
-                    new = distinct
-                learn(new)
-                own = [known[r] for r in distinct]
-                ids, ends = gathered([i for i, _ in own], place, first)
-                said, bounds = gathered([d for _, d in own], place, first)
-                full = np.flatnonzero(np.diff(bounds) > 0)  # the space after a text's last token goes
-                stay = np.ones(len(said), bool)
-                stay[bounds[full + 1] - 1] = False
-                bounds = bounds - np.concatenate([[0], np.cumsum(np.diff(bounds) > 0)])
+                cut = bpe.words_of(raw, at)
+                ids, low, size = ids_of(cut)
+                ids, ends = spread(ids, low[cut.which], size[cut.which])  # of the distinct runs
+                ends = np.concatenate([[0], ends])
+                low, high = ends[cut.run_low], ends[cut.run_low + cut.n_words]
+                ids, ends = spread(ids, low[cut.place], (high - low)[cut.place])  # of the texts
+                bounds = np.concatenate([[0], ends])[cut.first]
+                said, said_bounds = bpe.decoded(ids, bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(at) - 1), _column(ids, ends, pa.binary()), _column(said[stay], bounds, pa.string())],
-                    ["doc_id", "ids", "decoded"])
+                    [batch.column(0).slice(row, len(at) - 1), _column(ids.astype("<u4"), 4 * bounds, pa.binary()),
+                     _column(said, said_bounds, pa.string())], ["doc_id", "ids", "decoded"])
 
     return docs.mapInArrow(without_gc(run), "doc_id long, ids binary, decoded string")
 

@@ -71,15 +71,12 @@ class Lexicon:
             at += n
         self.keys, self.targets, self.outputs, self.bounds, self.final, self.ids = views
 
-    def ranks(self, words: list[bytes]) -> np.ndarray:
-        """The rank of each word, -1 if it is not in the lexicon; all words step together."""
-        rank = np.full(len(words), -1, np.int64)
-        if not len(self.keys) or not words:
+    def span_ranks(self, raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The rank of each word (a span of bytes), -1 if it is not in the lexicon; all words step together."""
+        rank = np.full(len(start), -1, np.int64)
+        if not len(self.keys):
             return rank
-        size = np.array([len(w) for w in words])
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        start = np.cumsum(size) - size
-        live, state, out = np.arange(len(words)), np.full(len(words), self.root), np.zeros(len(words), np.int64)
+        live, state, out = np.arange(len(start)), np.full(len(start), self.root), np.zeros(len(start), np.int64)
         step = 0
         while len(live):
             ended = size[live] == step
@@ -94,13 +91,20 @@ class Lexicon:
             step += 1
         return rank
 
+    def flat_tokens(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words with these ranks one after another, and how many each has (-1: none)."""
+        known = ranks >= 0
+        low = np.where(known, self.bounds[np.maximum(ranks, 0)], 0)
+        size = np.where(known, self.bounds[np.maximum(ranks, 0) + 1] - low, 0) if len(self.bounds) > 1 else np.zeros(len(ranks), np.int64)
+        ends = np.cumsum(size)
+        return self.ids[np.repeat(low - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], size
+
+    def ranks(self, words: list[bytes]) -> np.ndarray:
+        size = np.array([len(w) for w in words], np.int64)
+        return self.span_ranks(np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size, size)
+
     def tokens(self, ranks: np.ndarray) -> list[list[int] | None]:
         """The ids of the words with these ranks; None for -1."""
-        known = np.flatnonzero(ranks >= 0)
-        low, size = self.bounds[ranks[known]], self.bounds[ranks[known] + 1] - self.bounds[ranks[known]]
-        ends = np.cumsum(size)
-        flat = self.ids[np.repeat(low - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)].tolist()
-        out: list[list[int] | None] = [None] * len(ranks)
-        for at, end, n in zip(known.tolist(), ends.tolist(), size.tolist(), strict=True):
-            out[at] = flat[end - n : end]
-        return out
+        flat, size = self.flat_tokens(ranks)
+        own = np.split(flat, np.cumsum(size)[:-1])
+        return [ids.tolist() if rank >= 0 else None for rank, ids in zip(ranks.tolist(), own, strict=True)]
