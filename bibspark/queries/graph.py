@@ -129,13 +129,13 @@ def entities_of_type(spark, sf_dir):
 
 
 @query("delete_pattern", """
-WITH e AS (SELECT DISTINCT subj AS e FROM fx_triples WHERE pred = 'rdf:type' AND obj IN ('bf:Work', 'bf:Instance') AND kind <> 'bnode'),
-s AS (SELECT subj, pred, obj, kind FROM fx_triples WHERE v = 1),
-inc AS (SELECT e.e, s.* FROM s JOIN e ON s.obj = e.e),
-out AS (SELECT e.e, s.* FROM s JOIN e ON s.subj = e.e),
-both_ AS (SELECT DISTINCT e FROM inc WHERE e IN (SELECT e FROM out))
-SELECT e, 'in' AS side, subj, pred, obj, kind FROM inc WHERE e IN (SELECT e FROM both_)
-UNION ALL SELECT e, 'out', subj, pred, obj, kind FROM out WHERE e IN (SELECT e FROM both_)""")
+WITH f AS MATERIALIZED (SELECT subj, pred, obj, kind, v FROM fx_triples),
+e AS (SELECT DISTINCT subj AS e FROM f WHERE pred = 'rdf:type' AND obj IN ('bf:Work', 'bf:Instance') AND kind <> 'bnode'),
+s AS MATERIALIZED (SELECT subj, pred, obj, kind FROM f WHERE v = 1),
+i AS (SELECT DISTINCT obj AS e FROM s), o AS (SELECT DISTINCT subj AS e FROM s),
+m AS MATERIALIZED (SELECT e.e FROM e JOIN i ON i.e = e.e JOIN o ON o.e = e.e)
+SELECT m.e, 'in' AS side, subj, pred, obj, kind FROM s JOIN m ON s.obj = m.e
+UNION ALL SELECT m.e, 'out', subj, pred, obj, kind FROM s JOIN m ON s.subj = m.e""")
 def delete_pattern(spark, sf_dir):
     t = Fixtures(spark, sf_dir).fx_triples
     ents = G.entities_of_type(t, ["bf:Work", "bf:Instance"])

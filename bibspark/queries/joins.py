@@ -68,9 +68,10 @@ def series_count(spark, sf_dir):
 
 
 @query("work_title_anti", f"""
-WITH t AS ({_label_sql('abfgknps', 'fx_all', "tag = '245'")})
-SELECT record_id, ord, lbl AS title FROM t
-WHERE NOT EXISTS (SELECT 1 FROM fx_all u WHERE u.record_id = t.record_id AND u.tag IN ('130', '240'))""")
+WITH r AS MATERIALIZED (SELECT record_id, ord, tag, code, sf_ord, value FROM fx_all WHERE tag IN ('130', '240', '245')),
+t AS ({_label_sql('abfgknps', 'r', "tag = '245'")}),
+u AS (SELECT DISTINCT record_id FROM r WHERE tag <> '245')
+SELECT t.record_id, ord, lbl AS title FROM t LEFT JOIN u ON u.record_id = t.record_id WHERE u.record_id IS NULL""")
 def work_title_anti(spark, sf_dir):
     return W.work_title_anti(_all(spark, sf_dir))
 
