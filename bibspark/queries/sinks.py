@@ -37,10 +37,9 @@ SELECT 'p' || CAST(k AS VARCHAR) || '.mrc' AS name, CAST(strlen(frame) AS INT) A
 def split_by_control_number(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     frames = fx.fx_frames.select("k", F.encode("frame", "UTF-8").alias("frame"))
-    fields = D.decode_fields(frames, keep=["k"])
-    recs = K.records_by_control_number(fields, frames, "k")
+    recs = K.records_by_control_number(D.decode_fields(frames, keep=["frame"]))
     path = scratch_path(spark, "records")
-    K.write_table(recs.select("name", "frame"), path, partition_hash="name", n=8)
+    K.write_table(recs, path, partition_hash="name", n=8)
     return K.manifest(spark.read.parquet(path), "name", "frame")
 
 

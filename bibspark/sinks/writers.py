@@ -24,10 +24,10 @@ def write_kafka(payload: DataFrame, servers: str) -> None:
     payload.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
-def records_by_control_number(fields: DataFrame, frames: DataFrame, key: str) -> DataFrame:
-    """One row per record named '<001>.mrc' with its frame; duplicates kept."""
-    names = fields.where(F.col("tag") == "001").select(key, F.concat(F.col("value"), F.lit(".mrc")).alias("name"))
-    return names.join(frames.select(key, "frame"), key)
+def records_by_control_number(fields: DataFrame) -> DataFrame:
+    """One row per record named '<001>.mrc' with its frame, which the decoded fields carry
+    (``decode_fields(..., keep=["frame"])``); duplicates kept, no join."""
+    return fields.where(F.col("tag") == "001").select(F.concat(F.col("value"), F.lit(".mrc")).alias("name"), "frame")
 
 
 def write_table(df: DataFrame, path: str, partition_hash: str | None = None, n: int | None = None) -> None:
