@@ -77,13 +77,19 @@ def marc_key(tag: Column, ind1: Column, ind2: Column, sfs: Column, codes: str |
 
 
 def record_uris(records: DataFrame, id_col: str = "c001", base: str = BASE_URI) -> DataFrame:
-    """F05 on the header table: base URI + url-encoded control number."""
+    """F05 on the header table: base URI + url-encoded control number, or a generated id without one."""
     return with_record_uri(records, id_col, base).select("record_id", "ruri")
 
 
 def with_record_uri(records: DataFrame, id_col: str = "c001", base: str = BASE_URI) -> DataFrame:
     """The header table with each record's URI: a projection, no join."""
-    return records.withColumn("ruri", F.concat(F.lit(base), X.url_encode(id_col)))
+    own = F.nullif(X.url_encode(id_col), F.lit(""))
+    return records.withColumn("ruri", F.concat(F.lit(base), F.coalesce(own, generated_id(F.col("record_id")))))
+
+
+def generated_id(record_id: Column) -> Column:
+    """The id of a record whose id field does not give one."""
+    return F.concat(F.lit("r"), F.substring(F.sha2(record_id, 256), 1, 16))
 
 
 def with_uri(fields: DataFrame, uris: DataFrame) -> DataFrame:
@@ -112,7 +118,7 @@ def mint_record_id(fields: DataFrame, idfield: str = "001", base: str = BASE_URI
     allr = fields.select("record_id").distinct()
     j = allr.join(ids, "record_id", "left")
     minted = F.when((F.col("n") == 1) & (X.url_encode("v") != ""), F.concat(F.lit(base), X.url_encode("v")))
-    gen = F.concat(F.lit(base), F.lit("r"), F.substring(F.sha2(F.col("record_id"), 256), 1, 16))
+    gen = F.concat(F.lit(base), generated_id(F.col("record_id")))
     return j.select("record_id", F.coalesce(minted, gen).alias("ruri"), minted.isNull().alias("generated"))
 
 
