@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
+#: Edges that one task contracts at a time.
+PIECE = 2_000_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -62,50 +65,62 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[root[moved]]
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges of a partition replaced by a star forest; ``moved`` marks those that were not there before."""
-    def out(u: np.ndarray, v: np.ndarray, moved: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(moved)], ["u", "v", "moved"])
-
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size, last = 0, None
-    for batch in batches:
-        held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-        size += batch.num_rows
-        if size > 2_000_000:  # a partition beyond that is contracted piece by piece
-            u, v = forest(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            last = True
-            if len(u) > 1_000_000:
-                yield out(u, v, np.ones(len(u), bool))
-                held, size = [], 0
-            else:
-                held, size = [(u, v)], len(u)
-    if held:
-        before = [np.concatenate(x) for x in zip(*held, strict=True)]
+def _contract(most: int, by_node: bool):
+    """Edges of a partition replaced by a star forest; ``moved`` marks those that were not there before.
+
+    A partition of more than ``most`` edges is contracted piece by piece.  With ``by_node`` the
+    edges come sorted by u and pieces end between nodes: no node then has edges of two pieces,
+    and a piece that is a star forest comes out as it went in, with nothing moved.
+    """
+    def out(before: list[np.ndarray]) -> pa.RecordBatch:
         u, v = forest(*before)
-        same = np.zeros(len(u), bool)
-        if not last:
-            order = np.lexsort((before[1], before[0]))
-            old = np.rec.fromarrays([before[0][order], before[1][order]])
-            at = np.minimum(np.searchsorted(old, np.rec.fromarrays([u, v])), len(old) - 1)
-            same = (old.f0[at] == u) & (old.f1[at] == v) & (len(old) == len(u))
-        yield out(u, v, ~same)
+        order = np.lexsort((before[1], before[0]))
+        old = np.rec.fromarrays([before[0][order], before[1][order]])
+        at = np.minimum(np.searchsorted(old, np.rec.fromarrays([u, v])), len(old) - 1)
+        same = (old.f0[at] == u) & (old.f1[at] == v) & (len(old) == len(u))
+        return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(~same)], ["u", "v", "moved"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size <= most:
+                continue
+            u, v = (np.concatenate(x) for x in zip(*held, strict=True))
+            if by_node:  # the last node may go on in the next batch
+                cut = int(np.searchsorted(u, u[-1]))
+                if cut:
+                    yield out([u[:cut], v[:cut]])
+                held = [(u[cut:], v[cut:])]
+            else:
+                u, v = forest(u, v)
+                if 2 * len(u) > most:
+                    yield out([u, v])
+                    u, v = u[:0], v[:0]
+                held = [(u, v)]
+            size = len(held[0][0])
+        if size:
+            yield out([np.concatenate(x) for x in zip(*held, strict=True)])
+
+    return run
 
 
-def components(edges: DataFrame, u: str, v: str) -> DataFrame:
+def components(edges: DataFrame, u: str, v: str, most: int = PIECE) -> DataFrame:
     """(node, component): the smallest node that each node of an edge reaches.  Nodes are longs.
 
     Edges point from a node to a smaller one.  A round brings all edges of a node together (a
-    node has at most one edge from each partition of the round before, so there is no hot
-    one), replaces each partition's edges by a star forest, and then lets every edge jump to where its
-    end points (a join that Spark can split when many edges end at one node).  It ends when a
-    round changes nothing.  Every round is written to the shared folder.
+    node has at most one edge from each piece of a partition of the round before, so there is no
+    hot one), replaces each partition's edges by a star forest (in pieces of about ``most`` edges), and then
+    lets every edge jump to where its end points (a join that Spark can split when many edges
+    end at one node).  It ends when a round changes nothing.  Every round is written to the shared folder.
     """
     flagged = "u long, v long, moved boolean"
     e = edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).where("u <> v")
-    e = e.mapInArrow(_contract, flagged).select("u", "v")
+    e = e.mapInArrow(_contract(most, by_node=False), flagged).select("u", "v")
     while True:
-        c = e.repartition("u").mapInArrow(_contract, flagged)
+        c = e.repartition("u").sortWithinPartitions("u").mapInArrow(_contract(most, by_node=True), flagged)
         up = c.select(F.col("u").alias("p"), F.col("v").alias("g"))
         e = keep(c.join(up, F.col("v") == F.col("p"), "left")
                  .select("u", F.coalesce("g", "v").alias("v"), (F.col("moved") | F.col("g").isNotNull()).alias("moved")), "edges")

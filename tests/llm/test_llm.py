@@ -99,6 +99,30 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert all(got[2 * 10**6 + i] == 2 * 10**6 for i in range(500)) and len(got) == 2000
 
 
+def test_components_end_when_partitions_are_contracted_in_pieces(spark, monkeypatch):
+    rng = random.Random(6)
+    edges = [(10 * i + j, 10 * i + j + 1) for i in range(400) for j in range(rng.randint(1, 6))]
+    rng.shuffle(edges)
+    rounds, kept = [], shared.keep
+
+    def keep(df, name):
+        rounds.append(name)
+        assert len(rounds) <= 12, "components() does not end"
+        return kept(df, name)
+
+    monkeypatch.setattr(shared, "keep", keep)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+        got = dict(rows(shared.components(spark.createDataFrame(edges, "x long, y long").repartition(3), "x", "y", most=50)))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    u, v = shared.forest(*np.array(edges).T)
+    assert got == {**{int(b): int(b) for b in v}, **dict(zip(u.tolist(), v.tolist(), strict=True))}
+
+
 # 2 and 9: classifiers
 
 def judged(spark, module, label, folds, fold):
