@@ -234,6 +234,41 @@ def test_near_duplicates(spark):
     assert rows(vector_dedup.near_duplicates(df.limit(0))) == []
 
 
+def lone_pairs(n, cosine, common, seed=2, dim=64):
+    """n unit vectors of evenly spread directions and a common one: every tenth has a partner of this cosine."""
+    rng = np.random.default_rng(seed)
+    x = vector_dedup.unit(rng.standard_normal((n, dim)) + common * np.sqrt(dim) * np.eye(dim)[0])
+    a = x[: n // 10]
+    side = rng.standard_normal(a.shape)
+    side = vector_dedup.unit(side - (side * a).sum(1, keepdims=True) * a)
+    x[n // 10 : 2 * (n // 10)] = (cosine + 1e-9) * a + np.sqrt(1 - (cosine + 1e-9) ** 2) * side
+    return x
+
+
+@pytest.mark.parametrize("common", [0.0, 1.0])
+def test_passes_find_lone_pairs(spark, common):
+    n = 12_000
+    x = lone_pairs(n, 0.9, common)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = dict(vector_dedup.near_duplicates(df, window=4).select("vec_id", "component_id").collect())
+    found = sum(got[i + n // 10] == got[i] for i in range(n // 10))
+    assert found >= 0.995 * (n // 10)
+
+
+def test_links_over_partition_edges(spark):
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.standard_normal((30, 8)), 4, axis=0) + 0.01 * rng.standard_normal((120, 8))
+    line = spark.createDataFrame([(i // 60, i, v) for i, v in enumerate(x.tolist())], "pass int, node long, embedding array<double>")
+    a = vector_dedup.unit(x)
+    u, v = np.nonzero(np.tril(a @ a.T >= 0.9, -1))
+    near = (u - v <= 7) & (u // 60 == v // 60)
+    expect = shared.forest(u[near], v[near])
+    for parts in (1, 11, 50):  # down to partitions smaller than a window
+        cut = line.repartitionByRange(parts, "node").sortWithinPartitions("node")
+        got = np.array(rows(vector_dedup.window_links(cut, 7, 0.9)))
+        assert all(np.array_equal(p, q) for p, q in zip(shared.forest(got[:, 0], got[:, 1]), expect, strict=True))
+
+
 def test_nearest_neighbours(spark):
     df, x, odd = vectors(spark, 1)
     n = len(x) - odd - 2  # without the two huge and tiny ones
