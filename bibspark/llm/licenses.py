@@ -14,6 +14,14 @@ without one have a coefficient of 0 and go no further.
 A unit gives one row, for its best template (ties: by name).  A block that is one line, or a
 text that is one block, is reported once, as the smaller unit.
 
+A licence need not be a unit, so windows are looked for over the whole text as well: runs of
+words that begin and end with a bigram of a template and have at most (2 - t) / t times its
+words.  From each begin the window with the highest coefficient counts (ties: the shortest); of
+those that reach the threshold the one with most common bigrams, weighted by its coefficient,
+comes first.  A window is left out if it overlaps one of the same licence, or if over half of
+its common bigrams are explained: they lie in a unit or window reported before and belong to its
+template (so the BSD-2 passage of a BSD-3 text is no second licence).
+
 Defined cases: null, empty and blank texts have no units; a unit of one word has no bigram
 and matches nothing; equal lines give a row each; repeated rows are scanned as often as
 they come; other columns are ignored; an empty table gives no rows.
@@ -110,6 +118,11 @@ def template_sets(templates: dict[str, str]) -> list[tuple[str, np.ndarray]]:
     return out
 
 
+def template_words(templates: dict[str, str]) -> dict[str, int]:
+    raw = {name: np.frombuffer(t.encode(), np.uint8) for name, t in templates.items()}
+    return {name: len(spans(r, np.array([0, len(r)]), _WORDS)[0]) for name, r in raw.items()}
+
+
 def best_template(grams: np.ndarray, sets: list[tuple[str, np.ndarray]], least: float) -> tuple[float, str] | None:
     """The best template of a unit's distinct bigrams, if one reaches ``least``."""
     best = None
@@ -122,6 +135,47 @@ def best_template(grams: np.ndarray, sets: list[tuple[str, np.ndarray]], least:
     return best
 
 
+def _windows(grams: np.ndarray, doc_of: np.ndarray, at: np.ndarray, ids: np.ndarray, sets: list[tuple[str, np.ndarray]],
+             member: np.ndarray, longest: list[int], explained: np.ndarray, least: float) -> list[tuple[int, int, int, float]]:
+    """(template, first bigram, last bigram, dice) of the windows to report.  ``at`` are the bigrams that are in
+    any template, ``ids`` their places in ``member`` (template x bigram); ``explained`` says which
+    lie in a reported unit of each template (template x ``at``)."""
+    found = []
+    done = (explained & member[:, ids]).any(axis=0)
+    stop = np.searchsorted(doc_of, doc_of[at], side="right") - 1  # a text's last word begins no bigram
+    for k, (_, own) in enumerate(sets):
+        here = np.flatnonzero(member[k][ids])
+        pos, m = at[here], len(own)
+        fewest = int(np.ceil(least * m / (2 - least) * (1 - 1e-12)))
+        if len(pos) < fewest:
+            continue
+        end = np.searchsorted(pos, np.minimum(pos + longest[k], stop[here]))
+        new = np.concatenate([[0], np.cumsum(~done[here])])
+        many = (end - np.arange(len(pos)) >= fewest) & (2 * (new[end] - new[:-1]) >= fewest)
+        for i in np.flatnonzero(many).tolist():
+            a, b = int(pos[i]), int(pos[end[i] - 1]) + 1
+            first = np.zeros(b - a, dtype=bool)
+            first[np.unique(grams[a:b], return_index=True)[1]] = True
+            common = np.zeros(b - a, dtype=np.int64)
+            common[pos[i : end[i]] - a] = 1
+            common = np.cumsum(common * first)
+            dice = 2 * common / (m + np.cumsum(first))
+            best = int(np.argmax(dice))
+            if dice[best] >= least:
+                found.append((float(common[best] * dice[best]), k, a, a + best, float(dice[best])))
+    out: list[tuple[int, int, int, float]] = []
+    for _, k, a, b, dice in sorted(found, key=lambda f: (-f[0], f[1], f[2])):
+        if any(k == o[0] and a <= o[2] and o[1] <= b for o in out):
+            continue
+        lo, hi = np.searchsorted(at, a), np.searchsorted(at, b, side="right")
+        own = member[k][ids[lo:hi]]
+        if 2 * len(np.unique(ids[lo:hi][own & ~done[lo:hi]])) < len(np.unique(ids[lo:hi][own])):
+            continue
+        done[lo:hi] |= own
+        out.append((k, a, b, dice))
+    return out
+
+
 def _units(blank: np.ndarray) -> Iterator[tuple[str, int, int]]:
     """(kind, first line, last line) of a text's blocks that are more than a line, and of the text if it is more than a block."""
     full = np.flatnonzero(~blank)
@@ -137,10 +191,14 @@ def _units(blank: np.ndarray) -> Iterator[tuple[str, int, int]]:
 
 
 def license_hits(docs: DataFrame, templates: dict[str, str] | None = None, least: float = THRESHOLD) -> DataFrame:
-    """One row for each unit that matches: doc_id, unit (line, block, text), first_line and n_lines
-    (from 0), license, dice and the unit's text."""
+    """One row for each unit or window that matches: doc_id, unit (line, block, text, window), first_line
+    and n_lines (from 0), license, dice and the unit's text."""
     sets = template_sets(TEMPLATES if templates is None else templates)
     union = np.unique(np.concatenate([g for _, g in sets])) if sets else np.zeros(0, np.uint64)
+    member = np.array([np.isin(union, g) for _, g in sets]).reshape(len(sets), len(union))
+    place = {name: k for k, (name, _) in enumerate(sets)}
+    words = template_words(TEMPLATES if templates is None else templates)
+    longest = [int(words[name] * (2 - least) / least) - 1 for name, _ in sets]  # bigrams of a window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,6 +216,8 @@ def license_hits(docs: DataFrame, templates: dict[str, str] | None = None, least
                 hit = (union[near] == grams) & (doc_of[:-1] == doc_of[1:])
                 if not hit.any():
                     continue
+                hits = np.flatnonzero(hit)
+                explained = np.zeros((len(sets), len(hits)), dtype=bool)
 
                 def unit(a: int, b: int) -> np.ndarray:
                     """Distinct bigrams of lines a to b."""
@@ -167,6 +227,8 @@ def license_hits(docs: DataFrame, templates: dict[str, str] | None = None, least
                 def add(doc: int, kind: str, a: int, b: int, base: int) -> None:
                     best = best_template(unit(a, b), sets, least)
                     if best:
+                        lo, hi = np.searchsorted(line, a), np.searchsorted(line, b, side="right") - 1
+                        explained[place[best[1]], np.searchsorted(hits, lo) : np.searchsorted(hits, hi)] = True
                         end = edge[b + 1] if b + 1 < len(edge) else len(raw)
                         text = raw[edge[a] : end].tobytes().decode("utf-8", "replace").strip("\r\n")
                         out.append((ids[row + doc], kind, a - base, b - a + 1, best[1], best[0], text))
@@ -182,6 +244,11 @@ def license_hits(docs: DataFrame, templates: dict[str, str] | None = None, least
                         lo, hi = np.searchsorted(line, base + a), np.searchsorted(line, base + b, side="right")
                         if hit[lo : max(lo, hi - 1)].any():
                             add(doc, kind, base + a, base + b, base)
+                for k, a, b, dice in _windows(grams, doc_of, hits, near[hits], sets, member, longest, explained, least):
+                    doc = int(doc_of[a])
+                    top = int(line[a])
+                    out.append((ids[row + doc], "window", top - int(np.searchsorted(edge, at[doc])), int(line[b + 1]) - top + 1, sets[k][0], dice,
+                                raw[starts[a] : ends[b + 1]].tobytes().decode("utf-8", "replace")))
             cols = list(zip(*out, strict=True)) if out else [[]] * 7
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],

@@ -385,6 +385,58 @@ def test_licenses(spark):
     assert sorted(got) == sorted(x for i, text in enumerate(texts, 1) for x in brute_licenses(i, text)) and len(got) > 10
 
 
+def test_licenses_that_are_no_unit(spark):
+    t = licenses.TEMPLATES
+    fill = " ".join(f"word{i}" for i in range(120))
+    mit = t["MIT"].replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    assert mit.count("\n\n") == 2
+    apache = t["Apache-2.0 header"].replace("License. You", "License.\n\nYou").replace("2.0 Unless", "2.0\n\nUnless")
+    cases = [
+        (f"{fill}\n\n{mit}\n\n{fill}", {("MIT", 2, 5)}),
+        (f"{fill} {t['MIT']} {fill}", {("MIT", 0, 1)}),
+        (f"{fill}\n\n{apache}\n\n{fill}", {("Apache-2.0 header", 2, 5)}),
+        (f"{fill} {t['BSD-2-Clause']} {fill}", {("BSD-2-Clause", 0, 1)}),
+        (f"{fill} {t['BSD-3-Clause']} {fill}", {("BSD-3-Clause", 0, 1)}),
+        (f"{fill} {t['MIT']} {fill} {t['ISC']} {t['MIT']}", {("MIT", 0, 1), ("ISC", 0, 1)}),
+        ("Released under the MIT License. See LICENSE.", {("MIT notice", 0, 1)}),
+        ("Copyright 2020 Foo. Released under the MIT License.", {("MIT notice", 0, 1)}),
+        ("Licensed under the Apache License, Version 2.0. All rights reserved.", {("Apache-2.0 notice", 0, 1)}),
+        (t["ISC"] + "\nCopyright 2020 Foo. Released under the MIT License. See LICENSE.", {("MIT notice", 1, 1)}),
+        ("released under the", set()), (fill, set()), ("under the\nMIT", set()),
+    ]
+    got = licenses.license_hits(docs_of(spark, [text for text, _ in cases])).where("unit = 'window'").collect()
+    for i, (_, expect) in enumerate(cases, 1):
+        assert {(r["license"], r["first_line"], r["n_lines"]) for r in got if r["doc_id"] == i} == expect, i
+    assert sum(r["doc_id"] == 6 for r in got) == 3 and all(r["dice"] >= licenses.THRESHOLD for r in got)
+    assert next(r["matched"] for r in got if r["doc_id"] == 8) == "Released under the MIT License"
+
+
+def test_licenses_windows_from_every_begin(spark):
+    """Every window by brute force: one that reaches the threshold is reported, or mostly explained by what is."""
+    rng = random.Random(4)
+    words = lambda t: re.findall(r"[0-9a-z]+", t.lower())
+    small = {k: licenses.TEMPLATES[k] for k in ("MIT notice", "Apache-2.0 notice", "GPL-3.0 notice", "CC-BY-NC-4.0 notice")}
+    texts = []
+    for _ in range(150):
+        w = [x for _ in range(3) for x in [*words(rng.choice(list(small.values()))), *rng.choices(["foo", "the", "license", "under"], k=rng.randint(0, 4))]]
+        for _ in range(rng.randint(0, 3)):
+            w.insert(rng.randrange(len(w)), "zz")
+        texts.append(" ".join(w))
+    got = licenses.license_hits(docs_of(spark, texts), small).collect()
+    for i, text in enumerate(texts, 1):
+        w, own = words(text), [r for r in got if r["doc_id"] == i]
+        for r in own:
+            assert r["matched"] in text
+        for name, template in small.items():
+            tw = words(template)
+            grams, most = set(zip(tw, tw[1:], strict=False)), int(len(tw) * (2 - licenses.THRESHOLD) / licenses.THRESHOLD)
+            for a in range(len(w)):
+                for b in range(a + 2, min(len(w), a + most) + 1):
+                    g = set(zip(w[a:b], w[a + 1 : b], strict=False))
+                    if 2 * len(g & grams) / (len(g) + len(grams)) >= licenses.THRESHOLD:
+                        assert any(set(zip(x := words(r["matched"]), x[1:], strict=False)) & g & grams for r in own), (text, name, w[a:b])
+
+
 # 7: chat
 
 def test_chat_round_trip(spark):
