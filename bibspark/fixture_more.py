@@ -26,11 +26,10 @@ SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM (
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, 'b' UNION ALL SELECT 3, 'a') t
   WHERE n = 1 AND (sf_ord < 3 OR l_orderkey % 5 = 0)
   UNION ALL
-  -- 051: copy statement on every third record
+  -- 051: copy statements
   SELECT 'ord' || CAST(l_orderkey AS STRING), 13 + n, '051', ' ', ' ', sf_ord, code,
     CASE code WHEN 'a' THEN 'QA' || CAST(p_size AS STRING) WHEN 'b' THEN '.C' || CAST(n AS STRING) ELSE 'Copy ' || CAST(n AS STRING) END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, 'b' UNION ALL SELECT 3, 'c') t
-  WHERE n <= 2 AND l_orderkey % 3 = 0
   UNION ALL
   -- 336 content type pairs ($a label, $b code, $0 id, $2 source); a trailing $a on some
   SELECT 'ord' || CAST(l_orderkey AS STRING), 60, '336', ' ', ' ', sf_ord, code,
@@ -57,15 +56,14 @@ SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM (
       ELSE CAST(sf_ord AS STRING) END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, 'n' UNION ALL SELECT 3, 'd'
     UNION ALL SELECT 4, 'n' UNION ALL SELECT 5, 's' UNION ALL SELECT 6, 'a' UNION ALL SELECT 7, 'n') t
-  WHERE n <= 2 AND (sf_ord < 6 OR l_orderkey % 2 = 0)
+  WHERE (sf_ord < 6 OR l_orderkey % 2 = 0)
   UNION ALL
   -- 600 name subject with title and two identifiers around it
-  SELECT 'ord' || CAST(l_orderkey AS STRING), 190 + n, '600', '1', CAST(n % 3 AS STRING), sf_ord, code,
+  SELECT 'ord' || CAST(l_orderkey AS STRING), 150 + n, '600', '1', CAST(n % 3 AS STRING), sf_ord, code,
     CASE code WHEN 'a' THEN s_name || ',' WHEN 't' THEN p_name || '.' WHEN 'x' THEN lower(p_type)
       ELSE CASE WHEN sf_ord = 2 THEN '(uri)http://example.org/p/' || s_name ELSE '(DLC)sh' || CAST(p_size AS STRING) || substr(p_brand, 7) END END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, '0' UNION ALL SELECT 3, 't'
     UNION ALL SELECT 4, '0' UNION ALL SELECT 5, 'x') t
-  WHERE n <= 2
   UNION ALL
   -- 852 holdings: $a organisation (code or long name), $b sub-location, $h $i call number parts, $e $n address
   SELECT 'ord' || CAST(l_orderkey AS STRING), 850 + n, '852', '0', ' ', sf_ord, code,
@@ -74,7 +72,6 @@ SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM (
       WHEN 'e' THEN CAST(n AS STRING) || ' Main Street' ELSE n_name || '.' END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, 'b' UNION ALL SELECT 3, 'h'
     UNION ALL SELECT 4, 'i' UNION ALL SELECT 5, 'e' UNION ALL SELECT 6, 'n') t
-  WHERE n <= 2
 ) u
 """)
 

@@ -82,7 +82,7 @@ SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM (
     CASE code WHEN 'v' THEN CAST(p_size AS STRING) || ' ;'
       ELSE p_brand || CASE WHEN l_returnflag = 'R' AND sf_ord = 1 THEN ' =' ELSE ' ;' END END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, 'a' UNION ALL SELECT 3, 'v') t
-  WHERE n <= 2 AND (sf_ord <> 2 OR l_returnflag IN ('R', 'A'))
+  WHERE (sf_ord <> 2 OR l_returnflag IN ('R', 'A'))
   UNION ALL
   -- 650/651/655: subjects
   SELECT 'ord' || CAST(l_orderkey AS STRING), 200 + n,
@@ -90,7 +90,7 @@ SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM (
     CASE code WHEN 'a' THEN p_brand WHEN 'x' THEN lower(p_type) || '.' WHEN 'z' THEN n_name || '.' ELSE 'src' END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, 'x'
     UNION ALL SELECT 3, 'z' UNION ALL SELECT 4, '2') t
-  WHERE n <= 4 AND (code <> 'z' OR p_size % 2 = 0)
+  WHERE (code <> 'z' OR p_size % 2 = 0)
   UNION ALL
   -- 700: added agents, with a title on every other line
   SELECT 'ord' || CAST(l_orderkey AS STRING), 300 + n, '700', '1', CASE WHEN n % 2 = 0 THEN '2' ELSE ' ' END,
@@ -99,7 +99,7 @@ SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM (
       WHEN 't' THEN p_name || '.' ELSE '(uri)http://example.org/w/' || p_brand END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, '0'
     UNION ALL SELECT 3, 't' UNION ALL SELECT 4, 'w') t
-  WHERE n <= 3 AND (code IN ('a', '0') OR n % 2 = 0)
+  WHERE (code IN ('a', '0') OR n % 2 = 0)
   UNION ALL
   -- 830: series added entries
   SELECT 'ord' || CAST(l_orderkey AS STRING), 400 + n, '830', ' ', '0', sf_ord, code,
@@ -117,7 +117,7 @@ SELECT record_id, ord, tag, ind1, ind2, sf_ord, code, value FROM (
   SELECT 'ord' || CAST(l_orderkey AS STRING), 540 + n, CASE WHEN n % 2 = 0 THEN '561' ELSE '541' END, ' ', ' ',
     sf_ord, code, CASE code WHEN 'a' THEN 'From ' || s_name ELSE 'INST' END
   FROM fx_lines CROSS JOIN (SELECT 1 AS sf_ord, 'a' AS code UNION ALL SELECT 2, '5') t
-  WHERE n <= 3 AND (code = 'a' OR p_size % 3 = 0)
+  WHERE (code = 'a' OR p_size % 3 = 0)
   UNION ALL
   -- 856: access
   SELECT 'ord' || CAST(l_orderkey AS STRING), 900, '856', '4', CAST(l_orderkey % 3 AS STRING), 1, 'u',
