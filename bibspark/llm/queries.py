@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, toxicity
+from . import bpe, quality, quality_rules, toxicity
 from .ann import nearest_neighbours
 from .chat import digests, examples
 from .counts import token_counts
@@ -96,3 +96,10 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality_rules.judged(table(spark, sf_dir, "documents"), labels).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
