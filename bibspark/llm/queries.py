@@ -16,6 +16,7 @@ from .mixing import mixed
 from .ngram_join import ngram_components
 from .quality import in_fold
 from .shared import table
+from .spelling import spelling_variants
 from .vector_dedup import near_duplicates
 
 BPE_FILE, PIECE_FILE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -103,3 +104,8 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return quality_rules.judged(table(spark, sf_dir, "documents"), labels).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
