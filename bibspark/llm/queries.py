@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, quality, quality_rules, toxicity
+from .alignment import aligned
 from .ann import nearest_neighbours
 from .chat import digests, examples
 from .counts import token_counts
@@ -19,7 +20,7 @@ from .shared import table
 from .spelling import spelling_variants
 from .vector_dedup import near_duplicates
 
-BPE_FILE, PIECE_FILE = "word_bpe_49k.json", "piece_bpe_32k.model"
+BPE_FILE, BYTE_FILE, PIECE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +110,8 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"), tokenizer_file(BYTE_FILE), tokenizer_file(PIECE_FILE))
