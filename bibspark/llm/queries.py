@@ -15,6 +15,7 @@ from .counts import token_counts
 from .licenses import license_hits
 from .mixing import mixed
 from .ngram_join import ngram_components
+from .oracles import ORACLES as ORACLES
 from .quality import in_fold
 from .shared import table
 from .spelling import spelling_variants
@@ -23,7 +24,6 @@ from .vector_dedup import near_duplicates
 BPE_FILE, BYTE_FILE, PIECE_FILE = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def tokenizer_file(name: str) -> str:
