@@ -6,11 +6,12 @@ dedup       of each group of near duplicates (five-word shingles, similarity 0.8
 mix         documents are taken as often as the weighted mix of sources reads them (0, 1 or 2 times)
 encode      BPE ids of every whole text, and digests of the ids and of the text they decode to
 
-Both classifiers learn from the labels of documents that their stage gets.  Rows without a
-doc_id cannot be named as duplicates of others and stay in dedup; rows that repeat a doc_id
-count there as one document, whose first text by code point stays.  Null and empty texts
-get the classifiers' base scores, are no duplicates, are never taken by the mix more often
-than others (they have no words) and have no ids.  An empty table gives an empty result.
+Both classifiers learn from the labels of documents that their stage gets.  Rows that share neither
+doc_id nor text are told apart in dedup by a 64-bit hash of both, so a text that is like no other stays
+whatever its doc_id; rows that repeat both count there as one document.  A row without a doc_id is a
+duplicate like others, and stays only where its group has no doc_id.  Null and empty texts get the
+classifiers' base scores, are no duplicates, are never taken by the mix more often than others (they have no
+words) and have no ids.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,12 +42,16 @@ def decent_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = ngram_components(docs, k=5, percent=80)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(first, docs["doc_id"] == first["kept_id"], "left_semi")
-    place = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    named = named.select(F.struct("*").alias("row"), place.alias("place")).where("place = 1").select("row.*")
-    return named.union(docs.where("doc_id IS NULL"))
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("own"), "text")
+    groups = keep(ngram_components(rows.select(F.col("key").alias("doc_id"), "text"), k=5, percent=80), "groups")
+    named = rows.select("key", "own").distinct().join(groups.select(F.col("doc_id").alias("key"), "component_id").distinct(), "key")
+    first = F.min(F.struct(F.col("own").isNull().alias("none"), F.col("own"), F.col("key")))
+    kept = named.groupBy("component_id").agg(first.alias("first")).select(F.col("first.key").alias("kept"))
+    own = docs.select(key.alias("key"), F.struct("*").alias("row"))
+    own = own.join(kept, F.col("key") == F.col("kept"), "left_semi")
+    place = F.row_number().over(W.partitionBy("key").orderBy("row"))
+    return own.withColumn("place", place).where("place = 1").select("row.*")
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
