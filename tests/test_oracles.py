@@ -28,7 +28,9 @@ def _bag(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(QUERIES) - set(ORACLES))
+    """Of the reference's own operators; queries of optional parts are held to their own tests."""
+    from bibspark import queries
+    missing = sorted(set(queries.queries()) - set(queries.oracle_sql()))
     assert missing == [], missing
 
 
