@@ -39,9 +39,8 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape_role(role: Column) -> Column:
-    # one pass from the left: \\ and \| first hide as marks that no escaped role holds
-    hidden = F.replace(F.replace(role, F.lit("\\\\"), F.lit("<|b")), F.lit("\\n"), F.lit("\n"))
-    return F.replace(F.replace(hidden, F.lit("\\|"), F.lit("|")), F.lit("<|b"), F.lit("\\"))
+    # an n after an odd run of backslashes was a line break; what stays in pairs is read as in a text
+    return unescape(F.regexp_replace(role, r"(?<!\\)((?:\\\\)*)\\n", "$1\n"))
 
 
 def examples(turns: DataFrame) -> DataFrame:
