@@ -19,7 +19,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 MODULES = (
-    "sources", "expressions", "joins", "rules", "graph", "streams", "sinks",
+    "sources", "expressions", "joins", "rules", "graph", "conversion", "streams", "sinks",
 )
 
 

@@ -1,4 +1,4 @@
-"""Queries for record-level rules (R01-R03), the record graph union (A06) and graph jobs."""
+"""Queries for record-level rules (R01-R03) and graph jobs."""
 
 from __future__ import annotations
 
@@ -97,25 +97,9 @@ def admin_metadata(spark, sf_dir):
     return REC.admin_control(_headers(spark, sf_dir))
 
 
-def _union_finish(parts: list[tuple[str, list[str]]]) -> str:
-    blocks = []
-    for rule, sels in parts:
-        for s in sels:
-            blocks.append(s.replace("SELECT record_id,", f"SELECT '{rule}' AS rule, record_id,", 1))
-    body = "\n  UNION ALL ".join(blocks)
-    return (f"SELECT DISTINCT record_id, subj, pred, obj, obj_kind, lang, datatype FROM (\n  {body}\n) z "
-            f"WHERE obj IS NOT NULL AND subj IS NOT NULL")
-
-
-@query("record_graph", f"WITH {_LEADER_CTE}\n" + _union_finish(
-    [("R01", _FRAME_SELECTS), ("R02", _LEADER_SELECTS), ("R03", _ADMIN_SELECTS)]))
-def record_graph(spark, sf_dir):
-    h = _headers(spark, sf_dir)
-    # A06 is a union: the record rules never emit one triple twice for a record (distinct
-    # predicates or nodes per rule), so no global de-duplication shuffle is needed; the
-    # oracle keeps its DISTINCT, so the row count checks that claim
-    g = G.record_graph([REC.record_frame(h), REC.leader_types(spark, h), REC.admin_control(h)])
-    return g.select("record_id", "subj", "pred", "obj", "obj_kind", "lang", "datatype")
+@query("record_frame", f"WITH {_H}\n" + finish("R01", _FRAME_SELECTS))
+def record_frame(spark, sf_dir):
+    return REC.record_frame(_headers(spark, sf_dir))
 
 
 # ---- graph jobs on fx_triples -------------------------------------------------

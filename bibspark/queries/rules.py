@@ -662,8 +662,7 @@ def title_sort_key(spark, sf_dir):
 
 # --- fixed values: ISO 639-2 to xml:lang language map (a parameter; the map the
 # stylesheet names is not part of the reference) --------------------------------
-LANGUAGE_MAP = [("eng", "en"), ("fre", "fr"), ("ger", "de"), ("spa", "es"), ("ita", "it"), ("rus", "ru"),
-                ("chi", "zh"), ("jpn", "ja"), ("kor", "ko"), ("ara", "ar"), ("heb", "he"), ("gre", "el")]
+from ..plans.convert import LANGUAGES as LANGUAGE_MAP  # noqa: E402
 
 
 @query("script_lang_tag", f"""WITH
