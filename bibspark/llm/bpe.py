@@ -24,6 +24,7 @@ import json
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lexicon import Lexicon, compile_lexicon
-from .shared import bounded_rows, fresh_path, keep
+from .shared import bounded_rows, fresh_path, give_back, keep
 from .words import chunks, hash_spans, hash_word, mix, spans, text_buffers
 
 FREQUENT = 65_536  # words in the lexicon at most
@@ -255,6 +256,12 @@ class Bpe:
         return said[stay], bounds - np.concatenate([[0], np.cumsum(full)])
 
 
+@lru_cache(maxsize=1)
+def _bpe(content: str) -> Bpe:
+    """The model, built once a worker."""
+    return Bpe(content)
+
+
 def _column(data: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.Array.from_buffers(kind, len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
 
@@ -267,6 +274,7 @@ def without_gc(run):
             yield from run(batches)
         finally:
             gc.enable()
+            give_back()
 
     return quiet
 
@@ -275,7 +283,7 @@ def frequent_words(docs: DataFrame, model, most: int = FREQUENT) -> dict[bytes,
     """The most frequent words of all texts, at most ``most``, and their ids: all words whose count
     reaches the least eighth of a power of two that so few reach."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, seen = Bpe(model.value), Counter()
+        bpe, seen = _bpe(model.value), Counter()
 
         def out() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
@@ -297,7 +305,7 @@ def frequent_words(docs: DataFrame, model, most: int = FREQUENT) -> dict[bytes,
         yield out()
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(model.value)
+        bpe = _bpe(model.value)
         for batch in batches:
             raw, at = text_buffers(batch.column(0))
             flat, size = bpe.merge_all(raw, at[:-1], np.diff(at))
@@ -341,7 +349,7 @@ def encoded(docs: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> DataFr
     name = put_file(spark, compile_lexicon(frequent_words(docs, model, frequent)), "lexicon")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, lexicon = Bpe(model.value), Lexicon(SparkFiles.get(name))
+        bpe, lexicon = _bpe(model.value), Lexicon(SparkFiles.get(name))
 
         def ids_of(cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             """Each distinct word's ids: a block of ids, where each word's begin and how many they are."""

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .shared import bounded_rows, components, keep
+from .shared import bounded_rows, components, giving_back, keep
 from .words import distinct_shingles, mix
 
 BUCKETS = 1 << 20  # of the count table: 4 MB whatever the corpus
@@ -141,15 +141,17 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 def _segments(k: int, counts, pivots, wanted):
     """(class, fragment, segment) of each wanted text: its set cut along the pivots of the global order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often, cut = counts.value, pivots
+        often, cut, seen = counts.value, pivots, set()
         for batch in batches:
             cls, frag, seg = [], [], []
             bit = batch.column(0).to_numpy()
             chosen = (wanted.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
             for _, own in distinct_shingles(batch.column(1).filter(pa.array(chosen.astype(bool))), k):
-                if not len(own):
+                if not len(own) or (c := _class(own)) in seen:
                     continue
-                c, part = _class(own), np.searchsorted(cut, often[(own >> np.uint64(44)).astype(np.int64)], side="right")
+                if len(seen) < 1_000_000:  # a repeat that is sent twice is harmless
+                    seen.add(c)
+                part = np.searchsorted(cut, _place(often, own), side="right")
                 for f in np.unique(part):
                     cls.append(c)
                     frag.append(int(f))
@@ -160,14 +162,20 @@ def _segments(k: int, counts, pivots, wanted):
     return run
 
 
+def _place(often: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """Places in the global order: by the count of the shingle's bucket, then by bucket, the hash's first bits."""
+    bucket = shingles >> np.uint64(44)
+    return often[bucket.astype(np.int64)].astype(np.uint64) << np.uint64(20) | bucket
+
+
 def _pivots(often: np.ndarray, fragments: int) -> np.ndarray:
-    """Counts at which the global order is cut, so that fragments hold about equally many shingles."""
-    order = np.sort(often[often > 0]).astype(np.uint64)
-    if not len(order):
-        return np.zeros(0, np.uint32)
-    reach = np.cumsum(order)
+    """Places at which the global order is cut, so that fragments hold about equally many shingles."""
+    place = np.sort(_place(often, np.flatnonzero(often).astype(np.uint64) << np.uint64(44)))
+    if not len(place):
+        return place
+    reach = np.cumsum(place >> np.uint64(20))
     at = [int(np.searchsorted(reach, reach[-1] * f // fragments)) for f in range(1, fragments)]
-    return np.unique(order[at]).astype(np.uint32)
+    return np.unique(place[at])
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int, counts, pivots) -> DataFrame:
@@ -177,15 +185,15 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent:
     # texts stay where they are: a document that the map names by chance only adds segments that no pair asks for
     wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
     segs = docs.select(_bit(F.col("doc_id")).alias("bit"), "text").mapInArrow(
-        _segments(k, counts, pivots, wanted), "cls long, frag int, seg array<long>")
-    segs = keep(segs, "segments")
+        giving_back(_segments(k, counts, pivots, wanted)), "cls long, frag int, seg array<long>")
+    # copies have one class: one row of each class and fragment meets the pairs, however many documents have it
+    segs = keep(segs.repartition("cls").dropDuplicates(["cls", "frag"]), "segments")
+    wanted.destroy()
     left = segs.select(F.col("cls").alias("a"), "frag", F.col("seg").alias("sa"))
     right = segs.select(F.col("cls").alias("b"), "frag", F.col("seg").alias("sb"))
     partial = (pairs.join(left, "a").join(right, ["b", "frag"])
                .select("a", "b", "na", "nb", "frag", F.size(F.array_intersect("sa", "sb")).alias("part")))
-    # a class whose segments came twice counts once
-    return (partial.repartition("a", "b").groupBy("a", "b", "na", "nb", "frag").agg(F.max("part").alias("part"))
-            .groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("common"))
+    return (partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("common"))
             .where(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("na") + F.col("nb") - F.col("common"))))
 
 
@@ -204,7 +212,7 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, fragments:
     that links of Jaccard similarity >= percent / 100 between k-word shingle sets reach."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    first = keep(docs.mapInArrow(_summaries(k), "doc_id long, n long, cls long, slice int, counts binary"), "sets")
+    first = keep(docs.mapInArrow(giving_back(_summaries(k)), "doc_id long, n long, cls long, slice int, counts binary"), "sets")
     sets = first.where("slice IS NULL").select("doc_id", "n", "cls")
     parts = first.where("slice IS NOT NULL").select("slice", "counts")
     summed = parts.mapInArrow(_add_counts, parts.schema).repartition(BUCKETS // SLICE, "slice").mapInArrow(_add_counts, parts.schema)
@@ -214,7 +222,7 @@ def ngram_components(docs: DataFrame, k: int = 4, percent: int = 85, fragments:
     counts, pivots = spark.sparkContext.broadcast(often), _pivots(often, fragments)
 
     reps = keep(sets.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
-    found = docs.select("text").mapInArrow(_prefixes(k, percent, counts), "tok long, cls long, n int, pos int")
+    found = docs.select("text").mapInArrow(giving_back(_prefixes(k, percent, counts)), "tok long, cls long, n int, pos int")
     lists = W.partitionBy("tok").orderBy("n", "cls")
     # equal neighbours on a list are one class; lists of one class link nothing and go
     shared = keep(found.withColumn("prev", F.lag("cls").over(lists)).withColumn("next", F.lead("cls").over(lists))

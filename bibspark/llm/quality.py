@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import bounded_rows
+from .shared import bounded_rows, give_back
 from .words import chunks, hash_spans, mix, spans
 
 FEATURES = 1 << 13
@@ -205,5 +205,6 @@ def scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         own = model.value
         for t in texts:
             yield pa.array(own.scores(t), pa.float64())
+        give_back()
 
     return score

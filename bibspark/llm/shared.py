@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -27,6 +29,32 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Arrow batches of ``rows`` rows from here on, where the session has Spark's 10,000: whole texts make those
+    tens of megabytes, held by the executor and by its Python worker at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) == 10_000:
+        spark.conf.set(name, rows)
+
+
+def give_back() -> None:
+    """Hand what a finished task has freed back to the machine: workers live on for the next stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def giving_back(run):
+    """A batch function that gives its memory back when it ends."""
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later jobs need none of its
     lineage, and a lost executor costs at most the tasks that ran on it."""

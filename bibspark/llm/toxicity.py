@@ -34,16 +34,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import labelled_sample
-from .shared import bounded_rows
+from .shared import bounded_rows, give_back
 from .words import chunks, hash_between, hash_word, prefix_sums, separators, spans
 
 SAMPLE = 1500  # labelled rows of each label
 THRESHOLD = 0.3
-MOST = 10
+MOST = 10  # what a kind's count in a text tends to, smoothly
 STEM = range(3, 9)  # characters of a learnt stem
 EVIDENCE = 14.0  # least log-likelihood gain of a learnt stem: about ln(10^6)
 
@@ -67,6 +68,7 @@ BASE = -2.5
 _LETTERS = separators(string.ascii_letters)
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[ord(c) for c in ".!?;\n"]] = True
+_ODD = r"[^\x00-\x7F\p{L}\p{M}]+"  # what is neither ASCII nor part of a letter separates words: quotes, dashes, an ellipsis
 Transducer = dict[tuple[object, int], tuple[object, int]]  # (state, input) to (state, output); starts at 0
 
 
@@ -160,7 +162,7 @@ class Model:
     def kinds(self, column: pa.Array) -> np.ndarray:
         """How often each of KINDS comes in each text."""
         counts = np.zeros((len(column), 11))
-        for row, raw, at in chunks(pc.utf8_lower(column.cast(pa.string()))):
+        for row, raw, at in chunks(pc.utf8_lower(plain(column.cast(pa.string())))):
             starts, ends, first = spans(raw, at, _LETTERS)
             if not len(starts):
                 continue
@@ -178,12 +180,17 @@ class Model:
                 for x in classes[lo:hi].tolist():
                     counts[doc, self.out[state][x]] += 1
                     state = self.next[state][x]
-        return np.minimum(counts[:, list(KINDS)], MOST)
+        return MOST * (1 - np.exp(-counts[:, list(KINDS)] / MOST))
 
     def scores(self, column: pa.Array) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.kinds(column) @ self.weights + self.base)))
 
 
+def plain(column: pa.Array) -> pa.Array:
+    """Texts with typographic apostrophes as ASCII ones and other typographic marks as spaces."""
+    return pc.replace_substring_regex(pc.replace_substring(column, "\u2019", "'"), _ODD, " ")
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(stem, label, context) of the words of labelled texts, once for each text."""
     import regex
@@ -194,7 +201,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ws = ["", *words.findall((text or "").lower()), ""]
             own = {(w[:n], zlib.crc32(f"{a[:4]} {b[:4]}".encode("utf-8", "surrogatepass"))) for a, w, b in zip(ws, ws[1:], ws[2:], strict=False) for n in {*STEM, len(w)}
-                   if STEM.start <= n <= min(len(w), 24)}
+                   if STEM.start <= n <= len(w)}
             stems += [s for s, _ in own]
             contexts += [c for _, c in own]
             labels += [label] * len(own)
@@ -275,5 +282,6 @@ def scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         own = Model(*shared.value)
         for t in texts:
             yield pa.array(own.scores(t), pa.float64())
+        give_back()
 
     return score

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and held-out labels, with odd rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import struct
@@ -8,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -576,6 +578,45 @@ def test_count_only_viterbi_against_all_segmentations():
         assert seg.count(text)[1] == best
 
 
+def test_chat_roles_and_texts_of_marks(spark):
+    said = ["".join(x) for n in range(6) for x in itertools.product("\\|<bn\n", repeat=n)]
+    df = spark.createDataFrame([(s,) for s in said], "s string")
+    back = df.where((chat.unescape_role(chat.escape_role(F.col("s"))) != F.col("s")) | (chat.unescape(chat.escape(F.col("s"))) != F.col("s")))
+    assert back.count() == 0
+    assert df.where(chat.escape_role(F.col("s")).contains("\n") | chat.escape_role(F.col("s")).contains("<|")).count() == 0
+    role = "<|bot|>"
+    got = chat.digests(chat.examples(spark.createDataFrame([(1, 0, role, "x")], "conv_id long, turn long, role string, text string"))).collect()
+    assert got[0]["turns_sha256"] == hashlib.sha256(f"{role}\nx\n".encode()).hexdigest()
+
+
+def test_ngram_join_with_a_full_map_and_copies(spark, monkeypatch):
+    """All documents share the bits of the map: copies still meet a linked text once a class."""
+    monkeypatch.setattr(ngram_join, "WANTED", 64)
+    rng = random.Random(21)
+    base = prose(rng, 60)
+    near = " ".join(base.split()[:-2])
+    texts = [base] * 400 + [near] * 400 + [prose(rng, 40) for _ in range(60)]
+    ids = [*range(1, 801), *[None] * 10, *range(900, 950)]
+    got = ngram_join.ngram_components(docs_of(spark, texts, ids), k=4, percent=85).collect()
+    by_id = {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None}
+    assert {by_id[i] for i in range(1, 801)} == {1} and all(by_id[i] == i for i in range(900, 950))
+
+
+def test_ngram_fragments_cut_equal_counts():
+    often = np.zeros(ngram_join.BUCKETS, np.uint32)
+    often[::7] = 3
+    cuts = ngram_join._pivots(often, 8)
+    held = np.searchsorted(cuts, ngram_join._place(often, np.flatnonzero(often).astype(np.uint64) << np.uint64(44)), side="right")
+    assert len(cuts) == 7 and np.ptp(np.bincount(held)) < 10
+
+
+def test_toxicity_reads_words_beside_typographic_marks():
+    model = toxicity.Model([], toxicity.PRIOR, toxicity.BASE)
+    texts = ["You idiot", "You \u201cidiot\u201d", "You\u2014idiot", "You idiot\u2026", "\u00abidiot\u00bb you", "you don\u2019t idiot"]
+    got = model.kinds(pa.array([*texts, "you don't idiot", "lovely caf\u00e9"]))
+    assert (got[:4] == got[0]).all() and got[4].sum() > 0 and (got[5] == got[6]).all() and got[7].sum() == 0
+
+
 # the pipeline
 
 def test_pipeline_stages(spark):
@@ -605,6 +646,10 @@ def test_pipeline_takes_odd_rows(spark, tmp_path):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     made.write.parquet(str(tmp_path / "in/documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "in/labels.parquet"))
+    kept = corpus_pipeline.distinct_documents(spark, made.unionByName(made.limit(0)), "").toPandas()
+    assert sorted(kept.doc_id.dropna()) == [0, 1, 2, 3, 5] and kept.doc_id.isna().sum() == 1
+    more = made.unionByName(spark.createDataFrame([(5, "another text under the same id", "en", "x", 1)], made.schema))
+    assert (corpus_pipeline.distinct_documents(spark, more, "").toPandas().doc_id == 5).sum() == 2
     got = corpus_pipeline.run(spark, str(tmp_path / "in")).toPandas()
     assert 5 not in set(got.doc_id) and 4 not in set(got.doc_id) and got.groupby("doc_id").size().max() <= 2
     made.limit(0).write.parquet(str(tmp_path / "none/documents.parquet"))
