@@ -12,6 +12,8 @@ whatever its doc_id; rows that repeat both count there as one document.  A row w
 duplicate like others, and stays only where its group has no doc_id.  Null and empty texts get the
 classifiers' base scores, are no duplicates, are never taken by the mix more often than others (they have no
 words) and have no ids.  An empty table gives an empty result.
+
+Every stage sets Arrow batches of 1,000 rows where the session has the default (``small_batches``).
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from bibspark.llm import bpe, quality, toxicity
 from bibspark.llm.mixing import mixed
 from bibspark.llm.ngram_join import ngram_components
 from bibspark.llm.queries import BPE_FILE, tokenizer_file
-from bibspark.llm.shared import keep, table
+from bibspark.llm.shared import keep, small_batches, table
 
 
 def _labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
@@ -32,16 +34,19 @@ def _labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     score = quality.scorer(docs, _labels(spark, sf_dir, "quality"))
     return docs.where(score("text") >= quality.THRESHOLD)
 
 
 def decent_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     score = toxicity.scorer(docs, _labels(spark, sf_dir, "toxic"))
     return docs.where(score("text") < toxicity.THRESHOLD)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     key = F.xxhash64("doc_id", "text")
     rows = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("own"), "text")
     groups = keep(ngram_components(rows.select(F.col("key").alias("doc_id"), "text"), k=5, percent=80), "groups")
@@ -55,11 +60,13 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     taken = mixed(docs).where("times > 0")
     return taken.select("row", F.explode(F.array_repeat(F.lit(True), F.col("times")))).select("row.*")
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return bpe.digests(bpe.encoded(docs, tokenizer_file(BPE_FILE)))
 
 
