@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from . import acquisition, capture, classification, common, control, copies, fixed, holdings, instruments, links, names, physical
+from . import access, acquisition, admin, capture, classification, common, control, copies, fixed, holdings, instruments, links, names, physical
 from . import publication, record, ruletable, series, subjects, titles, uniform
 
 TRIPLE = ["record_id", "subj", "pred", "obj", "obj_kind", "lang", "datatype"]
@@ -59,6 +59,7 @@ RULES = (
     Rule("physical_007_instance", lambda c: physical.physical_007_instance(c.spark, c.headers, c.fields)),
     Rule("fixed_field_work", lambda c: fixed.fixed_field_work(c.spark, c.headers)),
     Rule("fixed_field_instance", lambda c: fixed.fixed_field_instance(c.headers, c.spark)),
+    Rule("admin_fields", lambda c: admin.admin_fields(c.fields)),
     Rule("capture_events", lambda c: capture.capture_events(c.fields, c.uris)),
     Rule("lookup_instrument", lambda c: instruments.instruments(c.spark, c.subfields, c.uris)),
     Rule("instance_ids", lambda c: ruletable.instance_ids(c.spark, c.subfields, c.fields, c.uris)),
@@ -83,6 +84,7 @@ RULES = (
     Rule("hierarchical_places", lambda c: links.hierarchical_places(c.fields, c.uris)),
     Rule("linking_entries", lambda c: links.linking_entries(c.spark, c.fields, c.uris)),
     Rule("holdings", lambda c: holdings.holdings(c.fields, c.uris)),
+    Rule("online_access", lambda c: access.online_access(c.fields, c.headers)),
     Rule("series_entries", lambda c: series.series_entries(c.fields, c.uris)),
     Rule("control_subfields", lambda c: control.control_subfields(c.subfields)),
 )

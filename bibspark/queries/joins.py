@@ -308,24 +308,3 @@ def record_header(spark, sf_dir):
            .unionByName(r.select("record_id", F.lit(5).alias("ord"), F.lit("007").alias("tag"), F.col("c007").alias("value")))
            .unionByName(r.select("record_id", F.lit(6).alias("ord"), F.lit("008").alias("tag"), F.col("c008").alias("value"))))
     return D.record_header(ctl)
-
-
-@query("online_access", f"""
-WITH {R_CTE}
-SELECT s.record_id, s.ord, s.ind2, s.value AS url,
-  CASE WHEN s.ind2 = '2' THEN 'supplementary' WHEN substr(x.leader, 7, 1) IN ('m', 'a', 'e', 'g', 'k', 't') AND s.ind2 IN ('0', '1')
-       THEN CASE WHEN s.ind2 = '0' THEN 'item' ELSE 'instance' END ELSE 'instance' END AS target,
-  r.ruri || '#Instance' AS instance_uri
-FROM fx_all s JOIN fx_records x USING (record_id) JOIN r USING (record_id)
-WHERE s.tag = '856' AND s.code = 'u'""")
-def online_access(spark, sf_dir):
-    fx = Fixtures(spark, sf_dir)
-    s = fx.fx_all.where((F.col("tag") == "856") & (F.col("code") == "u"))
-    j = s.join(fx.fx_records.select("record_id", "leader"), "record_id").join(C.record_uris(fx.fx_records), "record_id")
-    lt = F.substring("leader", 7, 1)
-    target = (F.when(F.col("ind2") == "2", F.lit("supplementary"))
-              .when(lt.isin("m", "a", "e", "g", "k", "t") & F.col("ind2").isin("0", "1"),
-                    F.when(F.col("ind2") == "0", F.lit("item")).otherwise(F.lit("instance")))
-              .otherwise(F.lit("instance")))
-    return j.select("record_id", "ord", "ind2", F.col("value").alias("url"), target.alias("target"),
-                    F.concat(F.col("ruri"), F.lit("#Instance")).alias("instance_uri"))
