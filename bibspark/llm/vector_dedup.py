@@ -40,6 +40,7 @@ WINDOW = 64  # at least
 MOST_WINDOW = 4096
 ROW = 512  # comparisons that cost about as much as the sort of a row in a pass
 BLOCK = 1024
+SLICE = 1 << 24  # bytes of signs, and of copies, that a task makes at a time
 
 
 def usable(vector: str = "embedding"):
@@ -99,20 +100,26 @@ def _sums(dim: int):
     return run
 
 
-def _keyed(dim: int, passes: int, seed: int, mean: np.ndarray):
+def _keyed(dim: int, passes: int, seed: int, mean: np.ndarray, most: int = SLICE):
+    """Rows (node, embedding) to one row a pass with its key, in slices whose signs and copies take about ``most`` bytes
+    each, however many passes there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(seed).standard_normal((dim, passes * 64))
         weight = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
+        step = max(1, most // (8 * passes * max(64, dim)))
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            signs = ((unit(matrix(batch.column(1))) - mean) @ planes > 0).reshape(n, passes, 64)
-            keys = (signs.astype(np.uint64) @ weight) ^ (np.uint64(1) << np.uint64(63))  # in the order of signed longs
-            at = np.repeat(np.arange(n), passes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(np.arange(passes, dtype=np.int32), n)), pa.array(keys.reshape(-1).view(np.int64)),
-                 batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], ["pass", "key", "node", "embedding"])
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                n = part.num_rows
+                signs = ((unit(matrix(part.column(1))) - mean) @ planes > 0).reshape(n, passes, 64)
+                keys = np.empty((n, passes), np.uint64)
+                for row in range(n):  # a row's signs as 64-bit words: all at once they would be eight times their size
+                    keys[row] = signs[row].astype(np.uint64) @ weight
+                keys ^= np.uint64(1) << np.uint64(63)  # in the order of signed longs
+                at = pa.array(np.repeat(np.arange(n), passes))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.arange(passes, dtype=np.int32), n)), pa.array(keys.reshape(-1).view(np.int64)),
+                     part.column(0).take(at), part.column(1).take(at)], ["pass", "key", "node", "embedding"])
 
     return run
 

@@ -617,6 +617,20 @@ def test_toxicity_reads_words_beside_typographic_marks():
     assert (got[:4] == got[0]).all() and got[4].sum() > 0 and (got[5] == got[6]).all() and got[7].sum() == 0
 
 
+def test_projection_keys_do_not_depend_on_slices_and_bound_memory():
+    import tracemalloc
+    rng = np.random.default_rng(22)
+    x = rng.standard_normal((3000, 64))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(3000)), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 64).cast(pa.list_(pa.float64()))], ["node", "embedding"])
+    one = pa.Table.from_batches(vector_dedup._keyed(64, 5, 1, np.zeros(64))([batch]))
+    many = pa.Table.from_batches(vector_dedup._keyed(64, 5, 1, np.zeros(64), 4000)([batch]))
+    assert one.combine_chunks().equals(many.combine_chunks())
+    tracemalloc.start()
+    n = sum(b.num_rows for b in vector_dedup._keyed(64, 200, 1, np.zeros(64))([batch]))
+    assert n == 600_000 and tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+
+
 # the pipeline
 
 def test_pipeline_stages(spark):
