@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from . import access, acquisition, admin, capture, classification, common, control, copies, fixed, holdings, instruments, links, names, physical
+from . import access, acquisition, admin, capture, classification, common, control, copies, coverage, fixed, holdings, instruments, links, names, physical
 from . import publication, record, ruletable, series, subjects, titles, uniform
 
 TRIPLE = ["record_id", "subj", "pred", "obj", "obj_kind", "lang", "datatype"]
@@ -61,6 +61,8 @@ RULES = (
     Rule("fixed_field_instance", lambda c: fixed.fixed_field_instance(c.headers, c.spark)),
     Rule("admin_fields", lambda c: admin.admin_fields(c.fields)),
     Rule("capture_events", lambda c: capture.capture_events(c.fields, c.uris)),
+    Rule("cartography", lambda c: coverage.cartography(c.fields, c.uris)),
+    Rule("coverage", lambda c: coverage.coverage(c.fields, c.uris)),
     Rule("lookup_instrument", lambda c: instruments.instruments(c.spark, c.subfields, c.uris)),
     Rule("instance_ids", lambda c: ruletable.instance_ids(c.spark, c.subfields, c.fields, c.uris)),
     Rule("acquisition", lambda c: acquisition.acquisition(c.fields, c.uris)),

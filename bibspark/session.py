@@ -35,6 +35,8 @@ def spark_session(cpus: int | str | None = None, app: str = "bibspark",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BIBSPARK_DRIVER_MEMORY", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # call sites of column expressions cost several round trips each: most of the time to build all rules' plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # code lists are a few KB; anything bigger must go through a shuffle join
         .config("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     )

@@ -16,6 +16,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
