@@ -44,6 +44,7 @@ from .words import chunks, hash_between, hash_word, prefix_sums, separators, spa
 
 SAMPLE = 1500  # labelled rows of each label
 THRESHOLD = 0.3
+ROWS = 128  # texts that are normalised together
 MOST = 10  # what a kind's count in a text tends to, smoothly
 STEM = range(3, 9)  # characters of a learnt stem
 EVIDENCE = 14.0  # least log-likelihood gain of a learnt stem: about ln(10^6)
@@ -162,7 +163,8 @@ class Model:
     def kinds(self, column: pa.Array) -> np.ndarray:
         """How often each of KINDS comes in each text."""
         counts = np.zeros((len(column), 11))
-        for row, raw, at in chunks(pc.utf8_lower(plain(column.cast(pa.string())))):
+        parts = ((low, column.slice(low, ROWS).cast(pa.string())) for low in range(0, len(column), ROWS))  # few copies of texts at a time
+        for row, raw, at in ((low + row, raw, at) for low, part in parts for row, raw, at in chunks(pc.utf8_lower(plain(part)))):
             starts, ends, first = spans(raw, at, _LETTERS)
             if not len(starts):
                 continue
