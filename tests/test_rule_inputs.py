@@ -49,3 +49,11 @@ def test_next_field_of_flat_and_nested(spark):
     for fields in (W.field_heads(flat), C.nest_fields(flat)):
         assert sorted((r.record_id, r.holding_ord) for r in W.next_field_holding(fields).collect()) == want
     assert "collect_list" not in _plan(W.next_field_holding(C.nest_fields(flat.where("tag <> '880'"))))
+
+
+def test_versions_are_written_side_by_side(spark, monkeypatch, tmp_path):
+    from bibspark.queries import REGISTRY, streams
+    monkeypatch.setattr(streams, "scratch_path", lambda s, name: f"{tmp_path}/{name}")
+    REGISTRY["record_replace"][0](spark, SF_SMALL).count()
+    assert len(list(tmp_path.glob("versions-in/*.parquet"))) > 3  # three versions, none through one task
+    assert len(list(tmp_path.glob("ckpt/commits/[0-9]*"))) == 3   # a batch each
