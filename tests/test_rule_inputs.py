@@ -57,3 +57,14 @@ def test_versions_are_written_side_by_side(spark, monkeypatch, tmp_path):
     REGISTRY["record_replace"][0](spark, SF_SMALL).count()
     assert len(list(tmp_path.glob("versions-in/*.parquet"))) > 3  # three versions, none through one task
     assert len(list(tmp_path.glob("ckpt/commits/[0-9]*"))) == 3   # a batch each
+
+
+def test_generated_methods_stay_compiled(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(key)
+    fixtures.Fixtures(spark, SF_SMALL)
+    assert spark.conf.get(key) == "8000"
+    spark.conf.set(key, "9000")  # the session's own word counts
+    fixtures.Fixtures(spark, SF_SMALL)
+    assert spark.conf.get(key) == "9000"
+    spark.conf.unset(key)
