@@ -68,3 +68,20 @@ def test_generated_methods_stay_compiled(spark):
     fixtures.Fixtures(spark, SF_SMALL)
     assert spark.conf.get(key) == "9000"
     spark.conf.unset(key)
+
+
+def test_frames_are_written_side_by_side(spark, monkeypatch, tmp_path):
+    from bibspark.queries import REGISTRY, conversion
+    rows = []
+
+    def batch(out, rejects):
+        def fn(df, epoch):
+            rows.append(df.count())
+            df.selectExpr("string(frame) record_id", "'s' subj", "'p' pred", "'o' obj", "'uri' obj_kind", "'' lang", "'' datatype").write.parquet(f"{out}/epoch={epoch}")
+        return fn
+    monkeypatch.setattr(conversion, "scratch_path", lambda s, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(conversion, "frames_of_fixture", lambda fx: spark.sql("SELECT id AS k, binary(concat('r', id, chr(29))) AS frame FROM range(500)"))
+    monkeypatch.setattr(conversion.S, "graph_batch", batch)
+    assert REGISTRY["stream_graph"][0](spark, SF_SMALL).count() == 500
+    assert len(rows) == 2 and sum(rows) == 500                   # two batches
+    assert len(list(tmp_path.glob("frames-in/*.txt"))) > 2       # of several files each
