@@ -182,10 +182,14 @@ class Model:
                 for x in classes[lo:hi].tolist():
                     counts[doc, self.out[state][x]] += 1
                     state = self.next[state][x]
-        return MOST * (1 - np.exp(-counts[:, list(KINDS)] / MOST))
+        return counts[:, list(KINDS)]
+
+    def features(self, column: pa.Array) -> np.ndarray:
+        """The counts of KINDS, each levelling off at MOST."""
+        return MOST * (1 - np.exp(-self.kinds(column) / MOST))
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.kinds(column) @ self.weights + self.base)))
+        return 1 / (1 + np.exp(-(self.features(column) @ self.weights + self.base)))
 
 
 def plain(column: pa.Array) -> pa.Array:
@@ -264,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own.kinds(batch.column(2)).tolist(), pa.list_(pa.float64()))],
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own.features(batch.column(2)).tolist(), pa.list_(pa.float64()))],
                                              ["doc_id", "label", "kinds"])
 
     rows = bounded_rows(texts.mapInArrow(run, "doc_id long, label int, kinds array<double>").dropDuplicates(["doc_id", "label"]), 2 * sample)
