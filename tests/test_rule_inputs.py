@@ -51,6 +51,16 @@ def test_next_field_of_flat_and_nested(spark):
     assert "collect_list" not in _plan(W.next_field_holding(C.nest_fields(flat.where("tag <> '880'"))))
 
 
+def test_places_of_a_record_are_shuffled_once(spark):
+    rows = [("a", 5, "500", " ", " ", 1, "a", "x"), ("a", 5, "500", " ", " ", 2, "a", "y"), ("a", 2, "245", " ", " ", 1, "a", "x"),
+            (None, 1, "245", " ", " ", 1, "a", "x"), ("b", 9, None, " ", " ", 1, "a", "x")]
+    out = W.tag_ordinal(W.places(spark.createDataFrame(rows, SUB)))
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted([("a", 2, "245", 1), ("a", 5, "500", 2), (None, 1, "245", 1), ("b", 9, None, 1)], key=str)
+    from bibspark.queries import queries
+    plan = queries()["tag_ordinal"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(record_id") == 1  # one, and by nothing else than the record
+
+
 def test_versions_are_written_side_by_side(spark, monkeypatch, tmp_path):
     from bibspark.queries import REGISTRY, streams
     monkeypatch.setattr(streams, "scratch_path", lambda s, name: f"{tmp_path}/{name}")
