@@ -61,6 +61,26 @@ def test_places_of_a_record_are_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning(record_id") == 1  # one, and by nothing else than the record
 
 
+def test_nested_fields_are_shuffled_once(spark):
+    """Nested, joined to their records and windowed by record: dealt once, and sorted nowhere before that."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(key)
+    rows = [("a", 1, "245", "1", "0", 2, "b", "y"), ("a", 1, "245", "1", "0", 1, "a", "x"), ("a", 2, "500", " ", " ", 1, "a", "n"),
+            (None, 1, "245", "1", "0", 1, "a", "x"), ("c", 1, "245", "1", "0", 1, "a", "no record")]
+    spark.conf.set(key, "-1")
+    try:
+        uris = spark.createDataFrame([("a", "ra"), ("a", "twice"), ("b", "rb")], "record_id string, ruri string")
+        out = W.tag_ordinal(C.nest_fields(spark.createDataFrame(rows, SUB)).join(uris, "record_id").where("ruri = 'ra'"))
+        got = sorted((r.record_id, r.ord, r.ruri, r.position, [tuple(s) for s in r.sfs]) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    finally:
+        spark.conf.set(key, was)
+    assert got == [("a", 1, "ra", 1, [(1, "a", "x"), (2, "b", "y")]), ("a", 2, "ra", 2, [(1, "a", "n")])]
+    assert plan.count("Exchange hashpartitioning(") == 2  # the subfields and the record URIs
+    below = plan.split("partial_collect_list")[1]
+    assert "Exchange hashpartitioning(record_id" in below  # aggregated after the shuffle, not where the rows are made
+
+
 def test_versions_are_written_side_by_side(spark, monkeypatch, tmp_path):
     from bibspark.queries import REGISTRY, streams
     monkeypatch.setattr(streams, "scratch_path", lambda s, name: f"{tmp_path}/{name}")
