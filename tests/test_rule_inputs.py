@@ -4,6 +4,7 @@ from bibspark import fixtures
 from bibspark.operators import decode as D
 from bibspark.operators import windows as W
 from bibspark.plans import common as C
+from bibspark.session import compiled
 from conftest import SF_SMALL
 
 SUB = "record_id string, ord int, tag string, ind1 string, ind2 string, sf_ord int, code string, value string"
@@ -68,6 +69,7 @@ def test_nested_fields_are_shuffled_once(spark):
     rows = [("a", 1, "245", "1", "0", 2, "b", "y"), ("a", 1, "245", "1", "0", 1, "a", "x"), ("a", 2, "500", " ", " ", 1, "a", "n"),
             (None, 1, "245", "1", "0", 1, "a", "x"), ("c", 1, "245", "1", "0", 1, "a", "no record")]
     spark.conf.set(key, "-1")
+    compiled(spark)
     try:
         uris = spark.createDataFrame([("a", "ra"), ("a", "twice"), ("b", "rb")], "record_id string, ruri string")
         out = W.tag_ordinal(C.nest_fields(spark.createDataFrame(rows, SUB)).join(uris, "record_id").where("ruri = 'ra'"))
@@ -77,8 +79,8 @@ def test_nested_fields_are_shuffled_once(spark):
         spark.conf.set(key, was)
     assert got == [("a", 1, "ra", 1, [(1, "a", "x"), (2, "b", "y")]), ("a", 2, "ra", 2, [(1, "a", "n")])]
     assert plan.count("Exchange hashpartitioning(") == 2  # the subfields and the record URIs
-    below = plan.split("partial_collect_list")[1]
-    assert "Exchange hashpartitioning(record_id" in below  # aggregated after the shuffle, not where the rows are made
+    assert "SortAggregate(key=[record_id" in plan and "partial_" not in plan  # one aggregate, over sorted rows
+    assert plan.count("Sort [record_id") == 3 and "Exchange" in plan.split("SortAggregate")[1]  # subfields, URIs, window; none before the shuffle
 
 
 def test_versions_are_written_side_by_side(spark, monkeypatch, tmp_path):
